@@ -49,7 +49,7 @@ class Chain:
         self.events = fixture.table(spark, sf_dir, "events")
         self.raw = fixture.raw_month(spark, sf_dir, MONTH)
         self.std = C.standardize(self.raw.withColumn("source_month", F.lit(MONTH)), keep=("source_month",))
-        self.tagged = C.tag_rows(self.std)
+        self.tagged = C.tag_rows(self.std, MONTH)
         self.zones = fixture.zones(spark, sf_dir)
         self._clean = None
 

@@ -28,7 +28,7 @@ from tripmart.functions.months import validate_months
 from tripmart.operators.clean import enrich, split_clean, split_rejected, tag_rows
 from tripmart.operators.quality import counts_by_reason, run_summary
 from tripmart.plans.publish import FileOps, clean_partition, rejected_partition, replace_partition
-from tripmart.sources.lake import Lake, read_raw_months
+from tripmart.sources.lake import Lake, raw_month_scan, union_by_name
 
 OK, FAILED_INPUT, INVALID_MONTH, MISMATCH = 0, 1, 2, 3  # outcome codes (N3)
 
@@ -66,18 +66,17 @@ def _month_of_clean_readback(df: DataFrame) -> DataFrame:
 
 
 def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
-               raw: DataFrame | None = None) -> RunResult:
-    """Clean, verify and publish ``months``. ``raw`` (standardized, with
-    source_month) overrides reading ``lake.raw_month(m)`` folders."""
+               raw: dict[str, DataFrame] | None = None) -> RunResult:
+    """Clean, verify and publish ``months``. ``raw`` ({month: standardized
+    DataFrame}) overrides reading the ``lake.raw_month(m)`` folders."""
     started = time.time()
     months = validate_months(months)
     ops = FileOps(spark)
-    if raw is None:
-        raw = read_raw_months(spark, lake, months)
-    raw = raw.filter(F.col("source_month").isin(*months))
+    scans = {m: (raw[m] if raw is not None else raw_month_scan(spark, lake, m)) for m in months}
 
-    rows_in = raw.groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in"))
-    tagged = tag_rows(raw)
+    rows_in = union_by_name(scans.values()).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in"))
+    # Tag each month with its literal bounds (constant-folded), then union.
+    tagged = union_by_name(tag_rows(df, m) for m, df in scans.items())
     reasons = counts_by_reason(tagged)
 
     run_id = uuid.uuid4().hex[:12]

@@ -81,35 +81,45 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_raw_months(spark: SparkSession, lake: Lake, months) -> DataFrame:
-    """Raw trips of many months in one DataFrame with a ``source_month`` column.
-
-    Months are grouped by their footer schema (column names and types drift
-    between months); each group is ONE scan over all of its month folders, so
-    the plan holds one scan per distinct schema, not per month. The month comes
-    from the folder of each file (``_metadata.file_path``), so rows keep the
-    month they were published under. Groups are standardized by the caller and
-    unioned by name.
+def raw_month_scan(spark: SparkSession, lake: Lake, month: str) -> DataFrame:
+    """One raw month folder, standardized, with a literal ``source_month``.
+
+    Each month is its own scan: its footer schema is resolved on its own (column
+    names, case and integer widths drift between months) and the month is a
+    constant, so rules that depend on it fold to literals per scan instead of
+    being recomputed for every row.
     """
     from tripmart.operators.clean import standardize  # local import: operators depend on sources
 
-    months = validate_months(months)
-    groups: dict[tuple, list[str]] = {}
-    for m in months:
-        schema = spark.read.option("pathGlobFilter", "*.parquet").parquet(lake.raw_month(m)).schema
-        key = tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
-        groups.setdefault(key, []).append(lake.raw_month(m))
-    out = None
-    for paths in groups.values():
-        df = (
-            spark.read.option("pathGlobFilter", "*.parquet").parquet(*paths)
-            .withColumn("source_month", month_of_path(F.col("_metadata.file_path")))
-        )
-        std = standardize(df, keep=("source_month",))
-        out = std if out is None else out.unionByName(std)
+    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(lake.raw_month(month))
+    return standardize(df.withColumn("source_month", F.lit(month)), keep=("source_month",))
+
+
+def union_by_name(parts) -> DataFrame:
+    parts = list(parts)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def read_raw_months(spark: SparkSession, lake: Lake, months) -> DataFrame:
+    """Raw trips of many months in one DataFrame with a ``source_month`` column
+    (a union of per-month standardized scans, see :func:`raw_month_scan`)."""
+    return union_by_name(raw_month_scan(spark, lake, m) for m in validate_months(months))
+
+
+def read_raw_months_by_path(spark: SparkSession, lake: Lake, months) -> DataFrame:
+    """Alternative for very many months with one schema: ONE scan over all
+    month folders, ``source_month`` taken from each file's folder name."""
+    from tripmart.operators.clean import standardize
+
+    paths = [lake.raw_month(m) for m in validate_months(months)]
+    df = (spark.read.option("pathGlobFilter", "*.parquet").parquet(*paths)
+          .withColumn("source_month", month_of_path(F.col("_metadata.file_path"))))
+    return standardize(df, keep=("source_month",))
+
+
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """Hive-partitioned parquet table; filters on partition columns prune folders (A4)."""
     return spark.read.parquet(root)

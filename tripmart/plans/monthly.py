@@ -92,10 +92,11 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     # (AQE splits a hot month instead of sending it to one task).
     rejected.hint("rebalance", "source_month").write.mode("overwrite").partitionBy("source_month").parquet(rejected_stage)
 
+    # A write with zero rows leaves no partition folder (and no schema to read).
     clean_back = (_month_of_clean_readback(spark.read.parquet(clean_stage))
-                  if ops.exists(clean_stage) else None)
+                  if ops.list_dirs(clean_stage) else None)
     rejected_back = (spark.read.parquet(rejected_stage).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows"))
-                     if ops.exists(rejected_stage) else None)
+                     if ops.list_dirs(rejected_stage) else None)
     empty = spark.createDataFrame([], "source_month string, rows bigint")
     summary = run_summary(rows_in, clean_back if clean_back is not None else empty,
                           rejected_back if rejected_back is not None else empty, reasons)

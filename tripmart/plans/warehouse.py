@@ -84,7 +84,7 @@ def load_months(spark: SparkSession, lake: Lake, months) -> dict[str, LoadOutcom
     violations = {c: int(v) for c, v in obs.get.items() if v}
 
     loaded = {}
-    if ops.exists(staged):
+    if ops.list_dirs(staged):
         loaded = {r["m"]: int(r["n"]) for r in spark.read.parquet(staged)
                   .groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
 

@@ -2,17 +2,16 @@
 
 Flow per call, for all months together:
 
-1. raw months -> standardize (one scan per distinct schema, ``source_month``
-   from the file folder);
-2. rows_in per month: a column-free parquet count;
-3. reason counts per month: one aggregation over the five tagging columns;
-4. clean (enriched, broadcast zone joins) and rejected rows, each written
+1. raw months -> standardize (one scan per month folder, each with its own
+   footer schema and a literal ``source_month``);
+2. clean (enriched, broadcast zone joins) and rejected rows, each written
    ONCE to a staging folder in the lake (no cache: a lost executor recomputes
-   its split from the immutable raw files);
-5. read-back counts of the staged outputs (independent of the plan);
-6. months whose counts reconcile are published partition by partition;
+   its split from the immutable raw files); rows_in and the count of every
+   reason are observed metrics of the clean write, not extra scans;
+3. read-back counts of the staged outputs (independent of the plan);
+4. months whose counts reconcile are published partition by partition;
    months that do not are left untouched and reported;
-7. one run-summary row per month, persisted as JSON partitioned by month.
+5. one run-summary row per month, persisted as JSON partitioned by month.
 """
 
 from __future__ import annotations
@@ -21,12 +20,13 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.contracts import CLEAN_LABEL, REASON_ORDER
 from tripmart.functions.months import validate_months
 from tripmart.operators.clean import enrich, split_clean, split_rejected, tag_rows
-from tripmart.operators.quality import counts_by_reason, run_summary
+from tripmart.operators.quality import run_summary
 from tripmart.plans.publish import FileOps, clean_partition, rejected_partition, replace_partition
 from tripmart.sources.lake import Lake, raw_month_scan, union_by_name
 
@@ -65,6 +65,12 @@ def _month_of_clean_readback(df: DataFrame) -> DataFrame:
         F.format_string("%04d-%02d", F.col("year"), F.col("month")).alias("source_month"), "rows")
 
 
+def _tag_metrics():
+    reason = F.col("reject_reason")
+    return [F.count(F.lit(1)).alias("rows_in"), F.count_if(reason.isNull()).alias(CLEAN_LABEL),
+            *[F.count_if(reason == r).alias(r) for r in REASON_ORDER]]
+
+
 def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
                raw: dict[str, DataFrame] | None = None) -> RunResult:
     """Clean, verify and publish ``months``. ``raw`` ({month: standardized
@@ -74,25 +80,39 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     ops = FileOps(spark)
     scans = {m: (raw[m] if raw is not None else raw_month_scan(spark, lake, m)) for m in months}
 
-    rows_in = union_by_name(scans.values()).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in"))
-    # Tag each month with its literal bounds (constant-folded), then union.
-    tagged = union_by_name(tag_rows(df, m) for m, df in scans.items())
-    reasons = counts_by_reason(tagged)
-
     run_id = uuid.uuid4().hex[:12]
     staged = lake.work(f"run-{run_id}")
     clean_stage, rejected_stage = f"{staged}/yellow_trips", f"{staged}/rejected_trips"
 
-    clean = enrich(split_clean(tagged), zones)
+    # Tag each month with its literal bounds (constant-folded), then union. Each
+    # month's branch is observed BEFORE the clean filter, so the clean write
+    # (a map-only result stage: metrics of retried tasks count once) also
+    # yields rows_in and every reason count without another scan of the raw data.
+    observations: dict[str, Observation] = {}
+    observed, plain = [], []
+    for m, df in scans.items():
+        t = tag_rows(df, m)
+        observations[m] = Observation(f"tag_{m.replace('-', '_')}_{run_id}")
+        observed.append(t.observe(observations[m], *_tag_metrics()))
+        plain.append(t)
+
+    clean = enrich(split_clean(union_by_name(observed)), zones)
     # Clean rows of a month all fall inside it, so a raw split (one month) writes
     # to one partition folder: no shuffle is needed before the write.
     clean.write.mode("overwrite").partitionBy("year", "month").parquet(clean_stage)
-    rejected = split_rejected(tagged)
+    rejected = split_rejected(union_by_name(plain))
     # Rejected rows are a few percent: rebalance them into fewer, larger files
     # (AQE splits a hot month instead of sending it to one task).
     rejected.hint("rebalance", "source_month").write.mode("overwrite").partitionBy("source_month").parquet(rejected_stage)
 
-    # A write with zero rows leaves no partition folder (and no schema to read).
+    metrics = [(m, o.get) for m, o in observations.items()]
+    rows_in = spark.createDataFrame([(m, int(v["rows_in"])) for m, v in metrics], "source_month string, rows_in bigint")
+    reasons = spark.createDataFrame(
+        [(m, reason, int(v[reason])) for m, v in metrics for reason in [CLEAN_LABEL, *REASON_ORDER] if v[reason]],
+        "source_month string, reason string, rows bigint")
+
+    # Read back what was written (independent of the plan). A write with zero
+    # rows leaves no partition folder (and no schema to read).
     clean_back = (_month_of_clean_readback(spark.read.parquet(clean_stage))
                   if ops.list_dirs(clean_stage) else None)
     rejected_back = (spark.read.parquet(rejected_stage).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows"))

@@ -27,6 +27,9 @@ def build_session(master: str = "local[8]", app: str = "tripmart", shuffle_parti
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Partitioned writes: a task writes few partition folders (one month),
+        # so keep concurrent writers instead of sorting every task's rows.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():

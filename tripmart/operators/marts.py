@@ -89,8 +89,11 @@ def dim_payment_type(codes: DataFrame) -> DataFrame:
     return codes.select(F.col("payment_type").cast("int").alias("payment_type_key"), "payment_type_name")
 
 
-def fact_trips(stg: DataFrame) -> DataFrame:
-    """One row per clean trip, 24 columns, surrogate date key and renamed FKs."""
+def fact_trips(stg: DataFrame, keep=()) -> DataFrame:
+    """One row per clean trip, 24 columns, surrogate date key and renamed FKs.
+
+    ``keep`` passes extra columns through (the storage layout's year/month).
+    """
     return stg.select(
         date_key("pickup_date").alias("pickup_date_key"),
         "pickup_hour", "pickup_datetime", "dropoff_datetime",
@@ -98,4 +101,5 @@ def fact_trips(stg: DataFrame) -> DataFrame:
         F.col("dropoff_location_id").alias("dropoff_zone_key"),
         F.col("payment_type").alias("payment_type_key"),
         *FACT_MEASURES,
+        *keep,
     )

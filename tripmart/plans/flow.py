@@ -65,9 +65,9 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
     res.stages["load"] = "ok"
 
     seed = zone_seed if zone_seed is not None else zones
-    build_marts(spark, lake, seed, payment_type_codes(spark), dim_start, dim_end)
+    build_marts(spark, lake, seed, payment_type_codes(spark), dim_start, dim_end, months=months)
     res.stages["marts"] = "ok"
-    tests = run_data_tests(spark, lake)
+    tests = run_data_tests(spark, lake, months=months)
     failed = [r["test_name"] for r in tests.filter("NOT passed").collect()]
     res.detail["tests_failed"] = failed
     res.stages["tests"] = "failed" if failed else "ok"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import DIM_DATE_END, DIM_DATE_START
 from tripmart.operators import dq
 from tripmart.operators.marts import dim_date, dim_payment_type, dim_zone, fact_trips, stg_trips
+from tripmart.functions.months import validate_months
+from tripmart.plans.publish import FileOps, clean_partition, replace_partition
 from tripmart.plans.warehouse import read_staging_table
 from tripmart.sources.lake import Lake
 
@@ -21,29 +25,67 @@ def staging_view(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, lake: Lake, zone_seed: DataFrame, payment_codes: DataFrame,
-                start: str = DIM_DATE_START, end: str = DIM_DATE_END) -> dict[str, str]:
-    """Write dims and fact as parquet tables; stg stays a view (temp view ``stg_yellow_trips``)."""
+                start: str = DIM_DATE_START, end: str = DIM_DATE_END, months=None) -> dict[str, str]:
+    """Write the dims and the fact; stg stays a view (temp view ``stg_yellow_trips``).
+
+    The fact is stored partitioned by (year, month) like the staging table.
+    With ``months`` only those months' fact partitions are rebuilt (staged,
+    then swapped in), so a monthly load does not rewrite the whole history;
+    without it the fact is rebuilt in full.
+    """
     stg = stg_trips(staging_view(spark, lake))
     stg.createOrReplaceTempView("stg_yellow_trips")
-    models = {
+    dims = {
         "dim_date": dim_date(spark, start, end),
         "dim_zone": dim_zone(zone_seed),
         "dim_payment_type": dim_payment_type(payment_codes),
-        "fact_trips": fact_trips(stg),
     }
     paths = {}
-    for name, df in models.items():
-        path = lake.mart(name)
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+    for name, df in dims.items():
+        df.write.mode("overwrite").parquet(lake.mart(name))
+        paths[name] = lake.mart(name)
+    fact = fact_trips(stg, keep=("year", "month"))
+    target = lake.mart("fact_trips")
+    if months is None:
+        fact.write.mode("overwrite").partitionBy("year", "month").parquet(target)
+    else:
+        months = validate_months(months)
+        wanted = _months_filter(months)
+        staged = lake.work(f"fact-{uuid.uuid4().hex[:12]}")
+        fact.filter(wanted).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+        ops = FileOps(spark)
+        for m in months:
+            replace_partition(ops, staged, target, clean_partition(m))
+        ops.delete(staged)
+    paths["fact_trips"] = target
     return paths
 
 
 def read_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(lake.mart(n)) for n in MART_NAMES}
+    """The marts as their models define them (the fact's storage partition columns dropped)."""
+    out = {n: spark.read.parquet(lake.mart(n)) for n in MART_NAMES}
+    out["fact_trips"] = out["fact_trips"].drop("year", "month")
+    return out
 
 
-def run_data_tests(spark: SparkSession, lake: Lake) -> DataFrame:
+def run_data_tests(spark: SparkSession, lake: Lake, months=None) -> DataFrame:
+    """All data tests in one report. With ``months`` the fact and staging tests
+    read only those months' partitions (partition pruning); dimension tests
+    always cover the whole (small) dimensions."""
     marts = read_marts(spark, lake)
     staging = staging_view(spark, lake)
+    if months is not None:
+        keep = _months_filter(validate_months(months))
+        fact = spark.read.parquet(lake.mart("fact_trips")).filter(keep).drop("year", "month")
+        marts = {**marts, "fact_trips": fact}
+        staging = staging.filter(keep)
     return dq.dq_summary(staging, stg_trips(staging), marts["fact_trips"], marts)
+
+
+def _months_filter(months):
+    cond = None
+    for m in months:
+        y, mm = (int(x) for x in m.split("-"))
+        c = (F.col("year") == y) & (F.col("month") == mm)
+        cond = c if cond is None else cond | c
+    return cond

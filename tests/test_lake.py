@@ -199,3 +199,32 @@ def test_data_tests_scoped_to_months(spark, lake):
     feb = {r["test_name"]: r["failures"] for r in run_data_tests(spark, lake, months=["2024-02"]).collect()}
     k = "relationships:fact_trips.dropoff_zone_key->dim_zone.zone_key"
     assert jan[k] + feb[k] == full[k] and jan["fact_row_count_matches_staging"] == 0
+
+
+def test_path_based_scan_equals_per_month_scans(spark, lake):
+    from tripmart.sources.lake import read_raw_months_by_path
+    land(spark, lake, ("2024-01", "2024-02"), drift_second=False)
+    a = read_raw_months(spark, lake, ["2024-01", "2024-02"])
+    b = read_raw_months_by_path(spark, lake, ["2024-01", "2024-02"])
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_register_table_refreshes_statistics_b10(spark, lake):
+    from tripmart.plans.flow import register_table
+    zones = land(spark, lake)
+    run_months(spark, lake, ["2024-01"], zones)
+    load_months(spark, lake, ["2024-01"])
+    register_table(spark, "t_staging_yellow_trips", lake.staging_table, partitioned=True)
+    stats = spark.sql("DESCRIBE TABLE EXTENDED t_staging_yellow_trips").filter("col_name = 'Statistics'").first()
+    assert stats is not None and "947 rows" in stats["data_type"]
+    assert spark.table("t_staging_yellow_trips").filter("year = 2024 AND month = 1").count() == 947
+
+
+def test_flow_succeeds_end_to_end_with_complete_zones(spark, lake):
+    zones = land(spark, lake)
+    extra = spark.createDataFrame([("25", "NONE", "ZONE_25", None), ("26", "NONE", "ZONE_26", None)],
+                                  "LocationID string, Borough string, Zone string, service_zone string")
+    res = run_flow(spark, lake, ["2024-01"], zone_seed=zones.unionByName(extra), max_hard_reject_rate=0.01)
+    assert res.code == 0, res.detail
+    assert res.stages == {"clean": "ok", "gate": "ok", "load": "ok", "marts": "ok", "tests": "ok"}

@@ -133,7 +133,9 @@ def read_month_partition(spark: SparkSession, root: str, year: int, month: int)
     """
     folder = f"{root.rstrip('/')}/year={year}/month={month}"
     if not path_exists(spark, folder):
-        return spark.read.parquet(root).limit(0) if path_exists(spark, root) else None
+        if not path_exists(spark, root):
+            raise FileNotFoundError(f"no table at {root}")
+        return spark.read.parquet(root).limit(0)
     return spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet").parquet(folder)
 
 

@@ -54,14 +54,27 @@ def ingest_month(spark: SparkSession, lake: Lake, month: str, landed_path: str,
     rows = validate_parquet_file(spark, landed_path)
     outcome = publish_validated(spark, spark.read.parquet(landed_path), lake.raw_month(month), rows, force)
     if outcome == "published":
-        sums = file_checksums(spark, lake.raw_month(month)).agg(
-            F.sum("bytes").alias("bytes"), F.sort_array(F.collect_list("sha256")).alias("sha")).first()
-        digest = sums["sha"][0] if len(sums["sha"]) == 1 else ",".join(sums["sha"])
-        append_ingestion_log(spark, lake, f"yellow_trips_{month}", source_url, lake.raw_month(month),
-                             int(sums["bytes"] or 0), digest, rows, round(time.time() - started, 1))
+        log_files(spark, lake, f"yellow_trips_{month}", source_url, lake.raw_month(month),
+                  round(time.time() - started, 1))
     return outcome
 
 
+def log_files(spark: SparkSession, lake: Lake, dataset: str, source_url: str, folder: str, duration: float) -> None:
+    """One ingestion-log record per published file: bytes and SHA-256 from the
+    file bytes, rows from that file's parquet data; computed and appended by
+    Spark (no list of files passes through the driver)."""
+    sums = file_checksums(spark, folder).select(F.col("path").alias("file"), "bytes", "sha256")
+    rows = (spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("file"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+    now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
+    records = sums.join(rows, "file", "left").select(
+        F.lit(dataset).alias("dataset"), F.lit(source_url).alias("source_url"), "file",
+        F.col("bytes").cast("bigint").alias("bytes"), "sha256",
+        F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
+        F.lit(now).alias("downloaded_at_utc"), F.lit(float(duration)).alias("duration_seconds"))
+    records.write.mode("append").json(lake.ingestion_log)
+
+
 def ingest_zones(spark: SparkSession, lake: Lake, landed_csv: str, source_url: str = "", force: bool = False) -> str:
     """Validate the zone lookup (header, >= 200 rows; K9) and publish it to ``raw/zones``."""
     started = time.time()

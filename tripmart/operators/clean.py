@@ -119,11 +119,16 @@ def enrich(clean: DataFrame, zones: DataFrame, keep: Iterable[str] = ()) -> Data
     size before it is broadcast; the fact side is never shuffled.
     """
     dim = checked_dimension(zone_dimension(zones), "location_id")
-    pu = dim.select(F.col("location_id").alias("pickup_location_id"),
-                    F.col("borough").alias("pickup_borough"), F.col("zone").alias("pickup_zone"))
-    do = dim.select(F.col("location_id").alias("dropoff_location_id"),
-                    F.col("borough").alias("dropoff_borough"), F.col("zone").alias("dropoff_zone"))
-    joined = clean.join(pu, "pickup_location_id", "left").join(do, "dropoff_location_id", "left")
+    # The same dimension plan on both sides, so Spark broadcasts it once and
+    # reuses the exchange for the second join.
+    pu, do = dim.alias("pu"), dim.alias("do")
+    joined = (
+        clean.join(pu, clean["pickup_location_id"] == F.col("pu.location_id"), "left")
+        .join(do, F.col("dropoff_location_id") == F.col("do.location_id"), "left")
+        .select(clean["*"],
+                F.col("pu.borough").alias("pickup_borough"), F.col("pu.zone").alias("pickup_zone"),
+                F.col("do.borough").alias("dropoff_borough"), F.col("do.zone").alias("dropoff_zone"))
+    )
     return joined.select(
         *[F.col(c) for c in CLEAN_FILE_COLUMNS if c not in ("passenger_count_missing", "zero_distance",
                                                            "trip_duration_minutes")],

@@ -83,7 +83,7 @@ def ingest_zones(spark: SparkSession, lake: Lake, landed_csv: str, source_url: s
     outcome = publish_validated(spark, df.coalesce(1), lake.raw_zones, rows, force, fmt="csv")
     if outcome == "published":
         s = file_checksums(spark, lake.raw_zones).first()
-        append_ingestion_log(spark, lake, "taxi_zone_lookup", source_url, lake.raw_zones, int(s["bytes"]),
+        append_ingestion_log(spark, lake, "zone_lookup", source_url, lake.raw_zones, int(s["bytes"]),
                              s["sha256"], rows, round(time.time() - started, 1))
     return outcome
 

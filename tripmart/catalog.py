@@ -309,6 +309,20 @@ def q_rowcount_matches(spark, d):
     return dq.rowcount_matches(ch.stg, ch.fact)
 
 
+def q_sync_plan(spark, d):
+    """Local raw folder (fixture month + zones) vs a lake that already holds the
+    month's objects (its listing: the month's keys and sizes): the month's files
+    are skipped, the zone file is uploaded (D10)."""
+    from tripmart.operators.manifest import file_manifest, sync_plan
+
+    local = Lake(scratch_path(spark, "sync-local"))
+    fixture.raw_month(spark, d, MONTH).write.parquet(local.raw_month(MONTH))
+    fixture.zones(spark, d).coalesce(1).write.option("header", True).csv(local.raw_zones)
+    listing = file_manifest(spark, local.root + "/raw")
+    lake_listing = listing.filter(F.col("key").startswith(f"raw/yellow/{MONTH}/"))
+    return sync_plan(listing, lake_listing).select("key", "bytes", "lake_bytes", "action")
+
+
 def q_quality_by_month(spark, d):
     lake = fixture_lake(spark, d)
     runs = read_run_summaries(spark, lake)
@@ -567,6 +581,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rel_payment": _rel("payment_type_key", "dim_payment_type", "payment_type_key"),
         "rowcount_matches": q_rowcount_matches,
         "quality_by_month": q_quality_by_month,
+        "sync_plan": q_sync_plan,
         "trips_by_hour_dense": q_trips_by_hour_dense,
         "counts_by_reason": q_counts_by_reason,
         "reason_share": q_reason_share,

@@ -228,3 +228,22 @@ def test_flow_succeeds_end_to_end_with_complete_zones(spark, lake):
     res = run_flow(spark, lake, ["2024-01"], zone_seed=zones.unionByName(extra), max_hard_reject_rate=0.01)
     assert res.code == 0, res.detail
     assert res.stages == {"clean": "ok", "gate": "ok", "load": "ok", "marts": "ok", "tests": "ok"}
+
+
+def test_strict_modes_raise_typed_errors(spark, lake, monkeypatch):
+    import pytest
+    from tripmart.plans.warehouse import ContractViolation
+    zones = land(spark, lake)
+    with pytest.raises(FileNotFoundError):
+        load_months(spark, lake, ["2024-01"], strict=True)
+    real = monthly.split_rejected
+    monkeypatch.setattr(monthly, "split_rejected", lambda t: real(t).filter("reject_reason <> 'negative_fare'"))
+    with pytest.raises(monthly.CountMismatch):
+        run_months(spark, lake, ["2024-01"], zones, strict=True)
+    monkeypatch.setattr(monthly, "split_rejected", real)
+    std = read_raw_months(spark, lake, ["2024-01"])
+    bad = std.withColumn("trip_distance", F.lit(None).cast("double"))
+    run_months(spark, lake, ["2024-01"], zones, raw={"2024-01": bad}, strict=True)
+    with pytest.raises(ContractViolation):
+        load_months(spark, lake, ["2024-01"], strict=True)
+    assert read_audit(spark, lake).filter("status = 'failed'").count() == 1

@@ -72,9 +72,11 @@ def _tag_metrics():
 
 
 def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
-               raw: dict[str, DataFrame] | None = None) -> RunResult:
+               raw: dict[str, DataFrame] | None = None, strict: bool = False) -> RunResult:
     """Clean, verify and publish ``months``. ``raw`` ({month: standardized
-    DataFrame}) overrides reading the ``lake.raw_month(m)`` folders."""
+    DataFrame}) overrides reading the ``lake.raw_month(m)`` folders. With
+    ``strict`` a month that does not reconcile raises :class:`CountMismatch`
+    (after the months that do reconcile are published)."""
     started = time.time()
     months = validate_months(months)
     ops = FileOps(spark)
@@ -142,6 +144,7 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     published = [r for r in collected if result.outcomes.get(r["month"]) and result.outcomes[r["month"]].published]
     if not published:
         ops.delete(staged)
+        _check(result, strict)
         return result
     persisted = spark.createDataFrame(published, summary.schema)
     (persisted.withColumn("finished_at_utc",
@@ -151,9 +154,17 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
      .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").json(lake.runs))
     ops.delete(staged)
+    _check(result, strict)
     return result
 
 
+def _check(result: RunResult, strict: bool) -> None:
+    if strict:
+        bad = [o for o in result.outcomes.values() if o.code != OK]
+        if bad:
+            raise CountMismatch(f"rows lost or duplicated: {bad}")
+
+
 RUN_SUMMARY_SCHEMA = ("rows_in bigint, rows_clean bigint, rows_rejected_or_quarantined bigint, "
                       "counts_by_reason map<string,bigint>, finished_at_utc string, duration_seconds double, "
                       "month string")

@@ -55,7 +55,10 @@ def _month_col() -> F.Column:
     return F.format_string("%04d-%02d", F.col("year"), F.col("month"))
 
 
-def load_months(spark: SparkSession, lake: Lake, months) -> dict[str, LoadOutcome]:
+def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -> dict[str, LoadOutcome]:
+    """Replace ``months`` in the staging table. Returns one outcome per month;
+    with ``strict`` a failed month raises (after it is audited) and a month
+    without files raises FileNotFoundError."""
     months = validate_months(months)
     ops = FileOps(spark)
     started = dt.datetime.now(dt.timezone.utc)
@@ -67,6 +70,8 @@ def load_months(spark: SparkSession, lake: Lake, months) -> dict[str, LoadOutcom
             # Like the original loader: no files is an input error, raised before any audit.
             outcomes[m] = LoadOutcome(m, 0, None, "missing", f"no processed parquet files for {m}")
     if not present:
+        if strict:
+            _raise_first_failure(outcomes)
         return outcomes
 
     clean = spark.read.parquet(lake.clean).filter(_month_col().isin(*present))  # partition pruning
@@ -105,9 +110,19 @@ def load_months(spark: SparkSession, lake: Lake, months) -> dict[str, LoadOutcom
                            o.error[:AUDIT_ERROR_MAX_CHARS] if o.error else None))
     ops.delete(staged)
     append_audit(spark, lake, audit_rows, started)
+    if strict:
+        _raise_first_failure(outcomes)
     return outcomes
 
 
+def _raise_first_failure(outcomes: dict[str, LoadOutcome]) -> None:
+    for o in outcomes.values():
+        if o.status == "missing":
+            raise FileNotFoundError(o.error)
+        if o.status == "failed":
+            raise (ContractViolation if o.error.startswith("ContractViolation") else CountMismatch)(o.error)
+
+
 def append_audit(spark: SparkSession, lake: Lake, rows, started: dt.datetime) -> None:
     """Append audit rows; load_id continues the table's maximum."""
     ops = FileOps(spark)

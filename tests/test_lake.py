@@ -247,3 +247,15 @@ def test_strict_modes_raise_typed_errors(spark, lake, monkeypatch):
     with pytest.raises(ContractViolation):
         load_months(spark, lake, ["2024-01"], strict=True)
     assert read_audit(spark, lake).filter("status = 'failed'").count() == 1
+
+
+def test_missing_inputs_are_failed_input(spark, lake):
+    zones = land(spark, lake)
+    res = run_months(spark, lake, ["2024-01", "2024-05"], zones)
+    assert res.outcomes["2024-05"].code == monthly.FAILED_INPUT and res.outcomes["2024-01"].code == OK
+    assert not res.ok and res.outcomes["2024-01"].published
+    flow = run_flow(spark, lake, ["2024-05"])
+    assert flow.code == 1 and flow.stages == {"clean": "failed"}
+    from tripmart.sources.lake import Lake
+    empty = Lake(lake.root + "-nozones")
+    assert run_flow(spark, empty, ["2024-01"]).code == 1

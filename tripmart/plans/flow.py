@@ -16,6 +16,7 @@ from tripmart.functions.months import InvalidMonth, validate_months
 from tripmart.plans.gate import evaluate_months
 from tripmart.plans.marts import build_marts, run_data_tests
 from tripmart.plans.monthly import FAILED_INPUT, INVALID_MONTH, MISMATCH, OK, run_months
+from tripmart.plans.publish import FileOps
 from tripmart.plans.warehouse import load_months
 from tripmart.sources.lake import Lake
 from tripmart.sources.reference import payment_type_codes, read_zones_csv
@@ -38,6 +39,11 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
     except InvalidMonth as exc:
         return FlowResult(months=[], stages={"validate": "failed"}, code=INVALID_MONTH, detail={"error": str(exc)})
     res = FlowResult(months=months)
+    if not FileOps(spark).list_files(lake.raw_zones, ".csv"):
+        res.stages["clean"] = "failed"
+        res.code = FAILED_INPUT
+        res.detail["error"] = f"missing zone lookup under {lake.raw_zones}"
+        return res
     zones = read_zones_csv(spark, lake.raw_zones)
 
     run = run_months(spark, lake, months, zones)

@@ -80,7 +80,17 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     started = time.time()
     months = validate_months(months)
     ops = FileOps(spark)
-    scans = {m: (raw[m] if raw is not None else raw_month_scan(spark, lake, m)) for m in months}
+    result = RunResult(months=months)
+    if raw is None:
+        missing = [m for m in months if not ops.list_files(lake.raw_month(m), ".parquet")]
+        for m in missing:  # no input files: failed input, nothing else runs for it
+            result.outcomes[m] = MonthOutcome(m, 0, 0, 0, 0, False, FAILED_INPUT)
+        scans = {m: raw_month_scan(spark, lake, m) for m in months if m not in missing}
+    else:
+        scans = {m: raw[m] for m in months}
+    if not scans:
+        _check(result, strict)
+        return result
 
     run_id = uuid.uuid4().hex[:12]
     staged = lake.work(f"run-{run_id}")
@@ -125,8 +135,8 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     collected = summary.collect()  # one small row per month
     rows = {r["month"]: r for r in collected}
 
-    result = RunResult(months=months, staged_root=staged)
-    for m in months:
+    result.staged_root = staged
+    for m in scans:
         r = rows.get(m)
         rows_in_m = int(r["rows_in"]) if r else 0
         clean_m = int(r["rows_clean"]) if r else 0

@@ -95,6 +95,12 @@ def _money_as_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in MONEY_COLUMNS else F.col(c) for c in df.columns])
 
 
+def _dates_as_timestamps(df: DataFrame, cols) -> DataFrame:
+    """Present DATE columns as midnight timestamp_ntz for the cross-engine check:
+    both engines' DataFrame conversions agree on timestamps but not on dates."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def _dur_double(df: DataFrame) -> DataFrame:
     return df.withColumn("trip_duration_minutes", F.col("trip_duration_minutes").cast("double"))
 
@@ -146,7 +152,8 @@ def q_scan_partition_filtered(spark, d):
 def q_date_series(spark, d):
     ev = fixture.table(spark, d, "events")
     bounds = ev.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    return _dates_as_timestamps(days, {"full_date"})
 
 
 # ---------------------------------------------------------------------------
@@ -392,7 +399,7 @@ def q_card_tip_rate(spark, d):
 
 def q_date_range(spark, d):
     ch = Chain(spark, d)
-    return reports.date_range(ch.fact, ch.dim_date)
+    return _dates_as_timestamps(reports.date_range(ch.fact, ch.dim_date), {"first_date", "last_date"})
 
 
 def q_trips_by_borough(spark, d):
@@ -464,12 +471,13 @@ def q_dim_zone(spark, d):
 
 
 def q_dim_date(spark, d):
-    return Chain(spark, d).dim_date
+    return _dates_as_timestamps(Chain(spark, d).dim_date, {"full_date"})
 
 
 def q_stg_trips(spark, d):
-    return _money_as_double(Chain(spark, d).stg.drop("loaded_at")).withColumn(
+    out = _money_as_double(Chain(spark, d).stg.drop("loaded_at")).withColumn(
         "year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
+    return _dates_as_timestamps(out, {"pickup_date"})
 
 
 def q_fact_trips(spark, d):

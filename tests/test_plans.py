@@ -31,12 +31,12 @@ def test_enrich_broadcasts_the_checked_zone_dimension_m3(spark):
 
 def test_oversized_dimension_is_not_broadcast(spark):
     dim = spark.range(100).withColumnRenamed("id", "k")
-    hinted = checked_dimension(dim, "k", max_rows=10)
+    hinted = checked_dimension(dim, "k", max_bytes=100)
     fact = spark.range(1000).withColumn("k", F.col("id") % 100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" not in plan(fact.join(hinted, "k"))
-        assert "BroadcastHashJoin" in plan(fact.join(checked_dimension(dim, "k", max_rows=1000), "k"))
+        assert "BroadcastHashJoin" in plan(fact.join(checked_dimension(dim, "k", max_bytes=10_000), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -342,6 +342,12 @@ def oracle_sql() -> dict[str, str]:
                  r.rows_clean AS rows_loaded, 'success' AS status FROM audit a JOIN runs r ON r.month = a.source_month
                  ORDER BY a.load_id DESC LIMIT 5""",
         "dim_zone": "SELECT * FROM dim_zone",
+        "dim_payment_type": """SELECT p.payment_type_key, p.payment_type_name, coalesce(c.n, 0) AS fact_trips
+                 FROM dim_payment_type p LEFT JOIN (SELECT payment_type_key, count(*) AS n FROM fact GROUP BY 1) c
+                 ON c.payment_type_key = p.payment_type_key""",
+        "seed_payment_types": """SELECT p.payment_type_key AS payment_type, p.payment_type_name, coalesce(c.n, 0) AS raw_trips
+                 FROM dim_payment_type p LEFT JOIN (SELECT payment_type, count(*) AS n FROM raw_jan GROUP BY 1) c
+                 ON c.payment_type = p.payment_type_key""",
         "dim_date": "SELECT * REPLACE (CAST(full_date AS TIMESTAMP) AS full_date) FROM dim_date",
         "stg_trips": f"SELECT {_cols(STG, True)} FROM stg".replace(" year,", " CAST(year AS INTEGER) AS year,")
                      .replace(", month FROM", ", CAST(month AS INTEGER) AS month FROM")

@@ -1,7 +1,6 @@
 """Months are cleaned as their raw files land, once per new file set."""
 
 from tripmart.sources import fixture
-from tripmart.sources.reference import read_zones_csv  # noqa: F401
 from tripmart.streaming import start_landing_stream
 
 SF = "/root/testdata/sf0.001"

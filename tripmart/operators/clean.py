@@ -23,23 +23,30 @@ from tripmart.operators.joins import checked_dimension
 log = logging.getLogger("tripmart.clean")
 
 
+def resolve_source_columns(columns: Iterable[str]) -> dict[str, str | None]:
+    """Canonical name -> the source column that feeds it (names compared
+    case-insensitively), or None when the month's file lacks it."""
+    by_lower = {c.lower(): c for c in columns}
+    return {name: by_lower.get(src) for name, src, _ in CANONICAL_COLUMNS}
+
+
 def standardize(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Map a raw month to the 20 canonical columns.
 
-    Source names match case-insensitively; every column is cast to its
-    contract type (ANSI: malformed values raise); a missing source column
-    becomes a typed NULL. Columns in ``keep`` (e.g. ``source_month``) pass through.
+    Every column is cast to its contract type (ANSI: malformed values raise);
+    a column missing from the source (schema drift) becomes a typed NULL;
+    extra source columns are dropped. Columns in ``keep`` (e.g.
+    ``source_month``) pass through after the canonical ones.
     """
-    lookup = {c.lower(): c for c in df.columns}
-    cols = []
-    for name, src, dtype in CANONICAL_COLUMNS:
-        if src in lookup:
-            cols.append(F.col(f"`{lookup[src]}`").cast(dtype).alias(name))
-        else:
-            log.warning("source column %s missing, filled with NULL (schema drift)", src)
-            cols.append(F.lit(None).cast(dtype).alias(name))
-    cols.extend(F.col(k) for k in keep)
-    return df.select(*cols)
+    sources = resolve_source_columns(df.columns)
+    missing = [src for (name, src, _) in CANONICAL_COLUMNS if sources[name] is None]
+    if missing:
+        log.warning("schema drift: %s missing, filled with NULL", ", ".join(missing))
+    projected = [
+        (F.col(f"`{sources[name]}`") if sources[name] is not None else F.lit(None)).cast(dtype).alias(name)
+        for name, _, dtype in CANONICAL_COLUMNS
+    ]
+    return df.select(*projected, *[F.col(k) for k in keep])
 
 
 # Rules in evaluation order; each maps (pickup, dropoff, month_start, month_end) to a predicate.

@@ -34,7 +34,7 @@ OK, FAILED_INPUT, INVALID_MONTH, MISMATCH = 0, 1, 2, 3  # outcome codes (N3)
 
 
 class CountMismatch(RuntimeError):
-    """Rows were lost or duplicated between input and written outputs."""
+    """Written clean + rejected rows do not add up to the rows read."""
 
 
 @dataclass
@@ -172,7 +172,7 @@ def _check(result: RunResult, strict: bool) -> None:
     if strict:
         bad = [o for o in result.outcomes.values() if o.code != OK]
         if bad:
-            raise CountMismatch(f"rows lost or duplicated: {bad}")
+            raise CountMismatch(f"months not reconciled (clean + rejected != rows in): {bad}")
 
 
 RUN_SUMMARY_SCHEMA = ("rows_in bigint, rows_clean bigint, rows_rejected_or_quarantined bigint, "

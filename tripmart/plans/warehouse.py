@@ -100,7 +100,7 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
             err = f"ContractViolation: NOT NULL violated: {violations}"
             outcomes[m] = LoadOutcome(m, exp, None, "failed", err)
         elif got != exp:
-            err = f"CountMismatch: table has {got} rows but parquet has {exp}"
+            err = f"CountMismatch: staged {got} rows for {m}, clean partition holds {exp}"
             outcomes[m] = LoadOutcome(m, exp, None, "failed", err)
         else:
             replace_partition(ops, staged, lake.staging_table, clean_partition(m))

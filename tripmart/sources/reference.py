@@ -60,10 +60,10 @@ def validate_zones_file(spark: SparkSession, path: str) -> int:
     """Header has LocationID and at least 200 data rows (K9). Returns the row count."""
     df = spark.read.csv(path, header=True)
     if ZONE_KEY_HEADER not in df.columns:
-        raise ValidationError(f"zone file header does not contain {ZONE_KEY_HEADER}")
+        raise ValidationError(f"zone lookup lacks the {ZONE_KEY_HEADER} column")
     rows = df.count()
     if rows < ZONE_MIN_ROWS:
-        raise ValidationError(f"zone file has only {rows} rows, expected about 265")
+        raise ValidationError(f"zone lookup holds {rows} zones, fewer than {ZONE_MIN_ROWS}")
     return rows
 
 
@@ -72,7 +72,7 @@ def validate_parquet_file(spark: SparkSession, path: str) -> int:
     try:
         return spark.read.parquet(path).count()
     except Exception as exc:  # noqa: BLE001 - any read failure is a validation failure
-        raise ValidationError(f"not a readable parquet file: {exc}") from exc
+        raise ValidationError(f"parquet unreadable at {path}: {exc}") from exc
 
 
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -104,3 +104,29 @@ def test_summary_without_required_keys_is_invalid(spark, lake):
     finally:
         gate_mod.read_run_summaries = orig
     assert "counts_by_reason" in RUN_SUMMARY_SCHEMA
+
+
+def test_summary_documents_one_per_month_a6(spark, lake):
+    import json
+    import os
+    from tripmart.operators.reports import quality_by_month
+    from tripmart.sources.lake import read_gate_documents, read_summary_documents
+
+    root = lake.root[len("file:"):] if lake.root.startswith("file:") else lake.root
+    runs, gates = f"{root}/_runs", f"{root}/_quality"
+    os.makedirs(runs)
+    os.makedirs(gates)
+    for m, s in [("2025-01", JAN), ("2025-02", {**JAN, "rows_clean": 1})]:
+        open(f"{runs}/clean_{m}.json", "w").write(json.dumps({"month": m, **s, "finished_at_utc": "x",
+                                                               "duration_seconds": 1.5}, indent=2))
+    open(f"{runs}/notes.json", "w").write("{}")
+    open(f"{gates}/quality_2025-01.json", "w").write(json.dumps(
+        {"month": "2025-01", "status": "passed", "evaluated_at_utc": "x",
+         "checks": [{"name": "has_rows", "passed": True, "value": 1, "threshold": "> 0"}]}, indent=2))
+    docs = read_summary_documents(spark, runs)
+    assert sorted(r["month"] for r in docs.collect()) == ["2025-01", "2025-02"]
+    assert docs.filter("month = '2025-01'").first()["counts_by_reason"]["negative_fare"] == 144094
+    got = {r["month"]: r["status"] for r in quality_by_month(docs, read_gate_documents(spark, gates)).collect()}
+    assert got == {"2025-01": "passed", "2025-02": "n/a"}
+    st = {r["month"]: r["status"] for r in gate_status(gate_checks(docs)).collect()}
+    assert st == {"2025-01": "passed", "2025-02": "failed"}

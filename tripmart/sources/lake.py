@@ -144,3 +144,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+SUMMARY_DOC_SCHEMA = ("month string, rows_in bigint, rows_clean bigint, rows_rejected_or_quarantined bigint, "
+                      "counts_by_reason map<string,bigint>, finished_at_utc string, duration_seconds double")
+GATE_DOC_SCHEMA = ("month string, status string, "
+                   "checks array<struct<name:string,passed:boolean,value:double,threshold:string>>, "
+                   "evaluated_at_utc string")
+
+
+def read_json_documents(spark: SparkSession, folder: str, prefix: str, schema: str) -> DataFrame:
+    """One multi-line JSON document per file, ``<prefix><YYYY-MM>.json``; the
+    month is taken from the file name (A6). Files of other names are ignored."""
+    df = (spark.read.schema(schema).option("multiLine", True)
+          .option("pathGlobFilter", f"{prefix}*.json").json(folder))
+    from_name = F.regexp_extract(F.col("_metadata.file_name"), prefix + r"(\d{4}-\d{2})\.json$", 1)
+    return df.withColumn("month", F.coalesce(F.nullif(from_name, F.lit("")), F.col("month")))
+
+
+def read_summary_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Run summaries kept as ``clean_<month>.json`` documents."""
+    return read_json_documents(spark, folder, "clean_", SUMMARY_DOC_SCHEMA)
+
+
+def read_gate_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Gate reports kept as ``quality_<month>.json`` documents."""
+    return read_json_documents(spark, folder, "quality_", GATE_DOC_SCHEMA)

@@ -215,18 +215,27 @@ def test_register_table_refreshes_statistics_b10(spark, lake):
     zones = land(spark, lake)
     run_months(spark, lake, ["2024-01"], zones)
     load_months(spark, lake, ["2024-01"])
-    register_table(spark, "t_staging_yellow_trips", lake.staging_table, partitioned=True)
+    from tripmart.plans.flow import analyze_months
+    register_table(spark, "t_staging_yellow_trips", lake.staging_table, partitioned=True, analyze=True)
     stats = spark.sql("DESCRIBE TABLE EXTENDED t_staging_yellow_trips").filter("col_name = 'Statistics'").first()
     assert stats is not None and "947 rows" in stats["data_type"]
     assert spark.table("t_staging_yellow_trips").filter("year = 2024 AND month = 1").count() == 947
+    analyze_months(spark, "t_staging_yellow_trips", ["2024-01"])
+    part = spark.sql("DESCRIBE TABLE EXTENDED t_staging_yellow_trips PARTITION (year=2024, month=1)") \
+        .filter("col_name = 'Partition Statistics'").first()
+    assert "947 rows" in part["data_type"]
 
 
 def test_flow_succeeds_end_to_end_with_complete_zones(spark, lake):
     zones = land(spark, lake)
     extra = spark.createDataFrame([("25", "NONE", "ZONE_25", None), ("26", "NONE", "ZONE_26", None)],
                                   "LocationID string, Borough string, Zone string, service_zone string")
-    res = run_flow(spark, lake, ["2024-01"], zone_seed=zones.unionByName(extra), max_hard_reject_rate=0.01)
+    res = run_flow(spark, lake, ["2024-01"], zone_seed=zones.unionByName(extra), max_hard_reject_rate=0.01,
+                   staging_table_name="flow_staging_trips")
     assert res.code == 0, res.detail
+    part = spark.sql("DESCRIBE TABLE EXTENDED flow_staging_trips PARTITION (year=2024, month=1)") \
+        .filter("col_name = 'Partition Statistics'").first()
+    assert "947 rows" in part["data_type"]
     assert res.stages == {"clean": "ok", "gate": "ok", "load": "ok", "marts": "ok", "tests": "ok"}
 
 

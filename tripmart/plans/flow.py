@@ -33,7 +33,11 @@ class FlowResult:
 def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | None = None,
              max_non_clean_rate: float = DEFAULT_MAX_NON_CLEAN_RATE,
              max_hard_reject_rate: float = DEFAULT_MAX_HARD_REJECT_RATE,
-             dim_start: str = DIM_DATE_START, dim_end: str = DIM_DATE_END) -> FlowResult:
+             dim_start: str = DIM_DATE_START, dim_end: str = DIM_DATE_END,
+             staging_table_name: str | None = None) -> FlowResult:
+    """Run the stages for ``months``; with ``staging_table_name`` the staging
+    table is registered under that name and the loaded months' statistics
+    are refreshed after the load."""
     try:
         months = validate_months(months)
     except InvalidMonth as exc:
@@ -69,6 +73,9 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
         res.code = FAILED_INPUT if any(o.status == "missing" for o in loads.values()) else MISMATCH
         return res
     res.stages["load"] = "ok"
+    if staging_table_name:
+        register_table(spark, staging_table_name, lake.staging_table, partitioned=True)
+        analyze_months(spark, staging_table_name, months)
 
     seed = zone_seed if zone_seed is not None else zones
     build_marts(spark, lake, seed, payment_type_codes(spark), dim_start, dim_end, months=months)
@@ -82,10 +89,26 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
     return res
 
 
-def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
-    """Expose a parquet folder as a named table (A12, B11) and refresh its statistics."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False,
+                   analyze: bool = False) -> None:
+    """Expose a parquet folder as a named table.
+
+    Created once (external table over ``path``); for partitioned tables the
+    partition list is refreshed so newly published months become visible.
+    ``analyze`` computes whole-table statistics, a full scan: after a load,
+    prefer :func:`analyze_months`.
+    """
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
     if partitioned:
         spark.catalog.recoverPartitions(name)
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    if analyze:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+
+
+def analyze_months(spark: SparkSession, name: str, months) -> None:
+    """Refresh statistics of the loaded months' partitions only (B10): each
+    month's partition is scanned, the rest of the history is not."""
+    for m in validate_months(months):
+        y, mm = (int(x) for x in m.split("-"))
+        spark.sql(f"ANALYZE TABLE {name} PARTITION (year={y}, month={mm}) COMPUTE STATISTICS")

@@ -74,3 +74,14 @@ def month_of_path(path_col: Column | str = "_metadata.file_path") -> Column:
     """Month folder of a raw file path ``.../<YYYY-MM>/<file>``; empty string when absent."""
     c = F.col(path_col) if isinstance(path_col, str) else path_col
     return F.regexp_extract(c, r"/(\d{4}-\d{2})/[^/]+$", 1)
+
+
+def partition_filter(months, year_col: str = "year", month_col: str = "month") -> Column:
+    """``(year = Y AND month = M) OR ...`` over partition columns: plain equality
+    predicates that prune partition folders (and metastore partitions)."""
+    cond = None
+    for m in validate_months(months):
+        y, mm = (int(x) for x in m.split("-"))
+        c = (F.col(year_col) == y) & (F.col(month_col) == mm)
+        cond = c if cond is None else cond | c
+    return cond

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripmart.contracts import DIM_DATE_END, DIM_DATE_START
 from tripmart.operators import dq
 from tripmart.operators.marts import dim_date, dim_payment_type, dim_zone, fact_trips, stg_trips
-from tripmart.functions.months import validate_months
+from tripmart.functions.months import partition_filter, validate_months
 from tripmart.plans.publish import FileOps, clean_partition, replace_partition
 from tripmart.plans.warehouse import read_staging_table
 from tripmart.sources.lake import Lake
@@ -50,7 +50,7 @@ def build_marts(spark: SparkSession, lake: Lake, zone_seed: DataFrame, payment_c
         fact.write.mode("overwrite").partitionBy("year", "month").parquet(target)
     else:
         months = validate_months(months)
-        wanted = _months_filter(months)
+        wanted = partition_filter(months)
         staged = lake.work(f"fact-{uuid.uuid4().hex[:12]}")
         fact.filter(wanted).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
         ops = FileOps(spark)
@@ -75,17 +75,8 @@ def run_data_tests(spark: SparkSession, lake: Lake, months=None) -> DataFrame:
     marts = read_marts(spark, lake)
     staging = staging_view(spark, lake)
     if months is not None:
-        keep = _months_filter(validate_months(months))
+        keep = partition_filter(months)
         fact = spark.read.parquet(lake.mart("fact_trips")).filter(keep).drop("year", "month")
         marts = {**marts, "fact_trips": fact}
         staging = staging.filter(keep)
     return dq.dq_summary(staging, stg_trips(staging), marts["fact_trips"], marts)
-
-
-def _months_filter(months):
-    cond = None
-    for m in months:
-        y, mm = (int(x) for x in m.split("-"))
-        c = (F.col("year") == y) & (F.col("month") == mm)
-        cond = c if cond is None else cond | c
-    return cond

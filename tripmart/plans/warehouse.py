@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, DATASET_NAME, STAGING_CONTRACT
-from tripmart.functions.months import validate_months
+from tripmart.functions.months import partition_filter, validate_months
 from tripmart.operators.warehouse import to_staging
 from tripmart.plans.publish import FileOps, clean_partition, replace_partition
 from tripmart.sources.lake import Lake
@@ -74,7 +74,7 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
             _raise_first_failure(outcomes)
         return outcomes
 
-    clean = spark.read.parquet(lake.clean).filter(_month_col().isin(*present))  # partition pruning
+    clean = spark.read.parquet(lake.clean).filter(partition_filter(present))  # partition pruning
     expected = {r["m"]: int(r["n"]) for r in
                 clean.groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
 

@@ -1,4 +1,4 @@
-"""Print the physical plans of the main jobs (tree + scan details) as Markdown.
+"""Print the final (executed, adaptive) physical plans of the main jobs as Markdown.
 
 usage: python tools/plans.py [sf_dir] > PLANS.md
 """
@@ -15,13 +15,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def formatted(df) -> str:
+    df.collect()  # run this DataFrame's own query, so its adaptive plan is final (small at sf0.01)
     buf = io.StringIO()
     with redirect_stdout(buf):
         df.explain("formatted")
     text = buf.getvalue()
     tree, _, details = text.partition("\n\n\n")
     keep = [ln for ln in details.splitlines()
-            if re.match(r"^\(\d+\) (Scan|Exchange|BroadcastExchange|HashAggregate|BroadcastHashJoin|SortMergeJoin)", ln)
+            if re.match(r"^\(\d+\) (Scan|Exchange|BroadcastExchange|ReusedExchange|HashAggregate|BroadcastHashJoin"
+                        r"|SortMergeJoin|AQEShuffleRead)", ln)
             or ln.startswith(("ReadSchema", "PushedFilters", "PartitionFilters", "Arguments", "Keys", "Join type"))]
     return tree.strip() + "\n\n" + "\n".join(keep)
 

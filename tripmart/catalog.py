@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import MONEY_COLUMNS, REASON_ORDER
+from tripmart.functions.money import money_sum
 from tripmart.functions.months import month_bounds, valid_month_col
 from tripmart.operators import clean as C
 from tripmart.operators import dq, marts, profile, quality, reports
@@ -280,7 +281,7 @@ def q_busiest_zones(spark, d):
 
 def q_money_decimal(spark, d):
     st = Chain(spark, d).staging
-    return st.agg(*[F.round(F.sum(c).cast("double"), 2).alias(f"sum_{c}") for c in MONEY_COLUMNS],
+    return st.agg(*[money_sum(c).alias(f"sum_{c}") for c in MONEY_COLUMNS],
                   *[F.count(c).alias(f"n_{c}") for c in MONEY_COLUMNS])
 
 

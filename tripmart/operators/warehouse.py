@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.contracts import AUDIT_STATUSES, MONEY_COLUMNS, STAGING_CONTRACT, STAGING_FILE_COLUMNS
+from tripmart.functions.money import to_money
 
 
 def to_staging(clean: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -15,7 +16,9 @@ def to_staging(clean: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     for name, dtype, _ in STAGING_CONTRACT:
         if name == "loaded_at":
             cols.append((loaded_at if loaded_at is not None else F.current_timestamp()).alias(name))
-        elif name in MONEY_COLUMNS or name in ("trip_duration_minutes", "year", "month"):
+        elif name in MONEY_COLUMNS:
+            cols.append(to_money(name).alias(name))
+        elif name in ("trip_duration_minutes", "year", "month"):
             cols.append(F.col(name).cast(dtype).alias(name))
         else:
             cols.append(F.col(name))

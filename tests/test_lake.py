@@ -268,3 +268,16 @@ def test_missing_inputs_are_failed_input(spark, lake):
     from tripmart.sources.lake import Lake
     empty = Lake(lake.root + "-nozones")
     assert run_flow(spark, empty, ["2024-01"]).code == 1
+
+
+def test_failing_load_job_is_audited_and_raised(spark, lake):
+    import pytest
+    zones = land(spark, lake)
+    std = read_raw_months(spark, lake, ["2024-01"])
+    huge = std.withColumn("fare_amount", F.when(F.col("fare_amount") >= 0, F.lit(1e12)).otherwise(F.col("fare_amount")))
+    run_months(spark, lake, ["2024-01"], zones, raw={"2024-01": huge})
+    with pytest.raises(Exception):  # 1e12 does not fit decimal(12,2): ANSI raises
+        load_months(spark, lake, ["2024-01"])
+    last = read_audit(spark, lake).orderBy(F.desc("load_id")).first()
+    assert last["status"] == "failed" and last["rows_loaded"] is None and len(last["error_message"]) <= 1000
+    assert not FileOps(spark).exists(f"{lake.staging_table}/year=2024/month=1")

@@ -85,8 +85,14 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
     from pyspark.sql import Observation
     obs = Observation("contract")
     observed = staging_rows.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL])
-    observed.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-    violations = {c: int(v) for c, v in obs.get.items() if v}
+    try:
+        observed.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+        violations = {c: int(v) for c, v in obs.get.items() if v}
+    except Exception as exc:  # any failure of the load job is audited, then raised
+        ops.delete(staged)
+        err = f"{type(exc).__name__}: {exc}"[:AUDIT_ERROR_MAX_CHARS]
+        append_audit(spark, lake, [(m, expected.get(m, 0), None, "failed", err) for m in present], started)
+        raise
 
     loaded = {}
     if ops.list_dirs(staged):

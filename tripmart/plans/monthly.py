@@ -108,14 +108,19 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         observed.append(t.observe(observations[m], *_tag_metrics()))
         plain.append(t)
 
-    clean = enrich(split_clean(union_by_name(observed)), zones)
-    # Clean rows of a month all fall inside it, so a raw split (one month) writes
-    # to one partition folder: no shuffle is needed before the write.
-    clean.write.mode("overwrite").partitionBy("year", "month").parquet(clean_stage)
-    rejected = split_rejected(union_by_name(plain))
-    # Rejected rows are a few percent: rebalance them into fewer, larger files
-    # (AQE splits a hot month instead of sending it to one task).
-    rejected.hint("rebalance", "source_month").write.mode("overwrite").partitionBy("source_month").parquet(rejected_stage)
+    try:
+        clean = enrich(split_clean(union_by_name(observed)), zones)
+        # Clean rows of a month all fall inside it, so a raw split (one month) writes
+        # to one partition folder: no shuffle is needed before the write.
+        clean.write.mode("overwrite").partitionBy("year", "month").parquet(clean_stage)
+        rejected = split_rejected(union_by_name(plain))
+        # Rejected rows are a few percent: rebalance them into fewer, larger files
+        # (AQE splits a hot month instead of sending it to one task).
+        (rejected.hint("rebalance", "source_month").write.mode("overwrite")
+         .partitionBy("source_month").parquet(rejected_stage))
+    except Exception:
+        ops.delete(staged)  # nothing was published; leave no partial staging behind
+        raise
 
     metrics = [(m, o.get) for m, o in observations.items()]
     rows_in = spark.createDataFrame([(m, int(v["rows_in"])) for m, v in metrics], "source_month string, rows_in bigint")

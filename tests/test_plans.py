@@ -85,3 +85,34 @@ def test_literal_month_bounds_are_folded(spark):
     std = C.standardize(fixture.raw_month(spark, SF))
     p = C.tag_rows(std, "2024-01")._jdf.queryExecution().optimizedPlan().toString()
     assert "add_months" not in p and "to_date" not in p
+
+
+def test_hot_zone_is_split_by_adaptive_skew_join(spark):
+    """One zone holds 40 % of the trips; with the shuffle join AQE splits its partition."""
+    trips = spark.range(200_000).select(
+        F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise((F.col("id") % 997).cast("int")).alias("PULocationID"),
+        F.col("id").alias("trip_id"))
+    zones = spark.range(1000).select(F.col("id").cast("int").alias("LocationID"),
+                                     (F.col("id") % 5).cast("string").alias("Borough"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # thresholds scaled down to this test's compressed shuffle sizes
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = (trips.join(zones.hint("merge"), trips.PULocationID == zones.LocationID)
+              .groupBy("Borough").agg(F.count(F.lit(1)).alias("trips")))
+        rows = {r["Borough"]: r["trips"] for r in df.collect()}
+        assert sum(rows.values()) == 200_000
+        final = formatted(df)  # after collect(): the final adaptive plan
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -116,3 +116,20 @@ def test_hot_zone_is_split_by_adaptive_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_month_rebalance_is_split_into_many_tasks(spark):
+    """All rejected rows of one month: the rebalance exchange is read as skew-split partitions."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")  # scaled to the test's size
+    try:
+        df = spark.range(300_000).select(F.lit("2024-01").alias("source_month"), F.col("id"),
+                                         (F.col("id") * 7 % 1000).alias("v"))
+        r = df.hint("rebalance", "source_month")
+        assert r.count() == 300_000
+        r.collect()
+        text = formatted(r)
+        assert "AQEShuffleRead" in text and "Arguments: skewed" in text
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else \
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

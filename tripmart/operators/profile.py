@@ -39,11 +39,8 @@ def pickup_range(raw: DataFrame) -> DataFrame:
 def distance_profile(raw: DataFrame) -> DataFrame:
     """Zero-distance and over-100-mile counts and the maximum distance."""
     d = F.col("trip_distance")
-    return raw.agg(
-        F.sum(F.when(d == 0, 1).otherwise(0)).cast("bigint").alias("zero_distance"),
-        F.sum(F.when(d > 100, 1).otherwise(0)).cast("bigint").alias("over_100_miles"),
-        F.max(d).alias("max_distance"),
-    )
+    return raw.agg(F.count_if(d == 0).alias("zero_distance"), F.count_if(d > 100).alias("over_100_miles"),
+                   F.max(d).alias("max_distance"))
 
 
 def negative_fares_by_payment(raw: DataFrame) -> DataFrame:
@@ -62,7 +59,7 @@ def co_null(raw: DataFrame, given: str = "passenger_count", columns=None, aliase
     aliases = aliases or CO_NULL_ALIASES
     return raw.filter(F.col(given).isNull()).agg(
         F.count(F.lit(1)).alias("null_passenger_rows"),
-        *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(a) for c, a in zip(columns, aliases)],
+        *[F.count_if(F.col(c).isNull()).alias(a) for c, a in zip(columns, aliases)],
     )
 
 
@@ -93,8 +90,8 @@ def rejected_breakdown(rejected: DataFrame) -> DataFrame:
 def clean_flag_sums(clean: DataFrame) -> DataFrame:
     """Flag counts in clean rows and the average duration rounded to 0.1."""
     return clean.agg(
-        F.sum(F.when(F.col("passenger_count_missing"), 1).otherwise(0)).cast("bigint").alias("passenger_missing"),
-        F.sum(F.when(F.col("zero_distance"), 1).otherwise(0)).cast("bigint").alias("zero_distance"),
-        F.sum(F.when(F.col("pickup_borough").isNull(), 1).otherwise(0)).cast("bigint").alias("no_zone_match"),
+        F.count_if(F.col("passenger_count_missing")).alias("passenger_missing"),
+        F.count_if(F.col("zero_distance")).alias("zero_distance"),
+        F.count_if(F.col("pickup_borough").isNull()).alias("no_zone_match"),
         F.round(F.avg(F.col("trip_duration_minutes").cast("double")), 1).alias("avg_minutes"),
     )

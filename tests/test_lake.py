@@ -281,3 +281,14 @@ def test_failing_load_job_is_audited_and_raised(spark, lake):
     last = read_audit(spark, lake).orderBy(F.desc("load_id")).first()
     assert last["status"] == "failed" and last["rows_loaded"] is None and len(last["error_message"]) <= 1000
     assert not FileOps(spark).exists(f"{lake.staging_table}/year=2024/month=1")
+
+
+def test_contract_failure_of_one_month_does_not_block_another(spark, lake):
+    zones = land(spark, lake, ("2024-01", "2024-02"))
+    std1 = read_raw_months(spark, lake, ["2024-01"])
+    bad = std1.withColumn("trip_distance", F.when(F.col("vendor_id") == 1, F.lit(None)).otherwise(F.col("trip_distance")))
+    run_months(spark, lake, ["2024-01", "2024-02"], zones,
+               raw={"2024-01": bad, "2024-02": read_raw_months(spark, lake, ["2024-02"])})
+    out = load_months(spark, lake, ["2024-01", "2024-02"])
+    assert out["2024-01"].status == "failed" and "2024-01" in out["2024-01"].error
+    assert out["2024-02"].status == "success"

@@ -6,11 +6,12 @@ set of months, in one job:
 * expected rows per month = rows in that month's clean partition (a
   column-free count, E4);
 * rows are projected to the staging contract (money decimal(12,2), ...)
-  and checked against the NOT NULL contract in the same pass that writes
-  them to a staging folder;
-* staged rows are counted back; a month is swapped in (its old partition
-  folder deleted, the staged one renamed into place) only if the contract
-  holds and counts match; otherwise the table keeps the old month;
+  and written to a staging folder;
+* staged rows are counted back per month together with the NOT NULL
+  contract (one aggregation over a few columns); a month is swapped in (its
+  old partition folder deleted, the staged one renamed into place) only if
+  its contract holds and its counts match; otherwise the table keeps the old
+  month;
 * every attempt appends one audit row (success or failed, error text cut
   at 1000 characters).
 """
@@ -79,31 +80,29 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
                 clean.groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     staged = lake.work(f"load-{uuid.uuid4().hex[:12]}")
-    staging_rows = to_staging(clean)
-    # Contract check and the write share one scan: violations are counted by an
-    # observed metric on the write itself.
-    from pyspark.sql import Observation
-    obs = Observation("contract")
-    observed = staging_rows.observe(obs, *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL])
     try:
-        observed.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-        violations = {c: int(v) for c, v in obs.get.items() if v}
+        to_staging(clean).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
     except Exception as exc:  # any failure of the load job is audited, then raised
         ops.delete(staged)
         err = f"{type(exc).__name__}: {exc}"[:AUDIT_ERROR_MAX_CHARS]
         append_audit(spark, lake, [(m, expected.get(m, 0), None, "failed", err) for m in present], started)
         raise
 
-    loaded = {}
+    # Read back per month: row count and the NOT NULL contract in one aggregation
+    # over a few columns of the staged files (each month passes or fails alone).
+    checked = {}
     if ops.list_dirs(staged):
-        loaded = {r["m"]: int(r["n"]) for r in spark.read.parquet(staged)
-                  .groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        back = spark.read.parquet(staged)
+        checked = {r["m"]: r for r in back.groupBy(_month_col().alias("m")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
 
     audit_rows = []
     for m in present:
-        exp, got = expected.get(m, 0), loaded.get(m, 0)
+        r = checked.get(m)
+        exp, got = expected.get(m, 0), (int(r["n"]) if r else 0)
+        violations = {c: int(r[c]) for c in NOT_NULL if r and r[c]}
         if violations:
-            err = f"ContractViolation: NOT NULL violated: {violations}"
+            err = f"ContractViolation: NOT NULL violated in {m}: {violations}"
             outcomes[m] = LoadOutcome(m, exp, None, "failed", err)
         elif got != exp:
             err = f"CountMismatch: staged {got} rows for {m}, clean partition holds {exp}"

@@ -292,3 +292,21 @@ def test_contract_failure_of_one_month_does_not_block_another(spark, lake):
     out = load_months(spark, lake, ["2024-01", "2024-02"])
     assert out["2024-01"].status == "failed" and "2024-01" in out["2024-01"].error
     assert out["2024-02"].status == "success"
+
+
+def test_flow_months_progress_independently(spark, lake):
+    zones = land(spark, lake, ("2024-01", "2024-02"))
+    extra = spark.createDataFrame([("25", "NONE", "ZONE_25", None), ("26", "NONE", "ZONE_26", None)],
+                                  "LocationID string, Borough string, Zone string, service_zone string")
+    run = run_months(spark, lake, ["2024-01", "2024-02"], zones)
+    hard = {}
+    for m, o in run.outcomes.items():
+        rs = {r["month"]: r for r in read_run_summaries(spark, lake).collect()}[m]["counts_by_reason"]
+        hard[m] = sum(rs.get(k, 0) for k in ("missing_timestamp", "dropoff_before_pickup", "pickup_outside_month")) / o.rows_in
+    assert hard["2024-02"] > hard["2024-01"]
+    res = run_flow(spark, lake, ["2024-01", "2024-02"], zone_seed=zones.unionByName(extra),
+                   max_hard_reject_rate=hard["2024-01"])
+    assert res.month_status == {"2024-02": "failed:gate", "2024-01": "ok"}
+    assert res.code == 3 and res.stages["gate"] == "failed" and res.stages["load"] == "ok"
+    loaded = {r["source_month"] for r in read_audit(spark, lake).collect()}
+    assert loaded == {"2024-01"}

@@ -1,8 +1,10 @@
 """The month flow as one driver function (N1, N3): clean -> gate -> load -> marts -> tests.
 
-Stages run in order over all requested months at once and stop at the first
-failing stage; the result carries a status per stage and an outcome code:
-0 ok, 1 failed input, 2 invalid month, 3 mismatch / gate or test failure.
+Stages run in order over all requested months at once. A month that fails a
+stage leaves the flow there (for one month: stop at the first failure); the
+other months continue. The result carries a status per stage and per month
+and the worst outcome code: 0 ok, 1 failed input, 2 invalid month, 3 mismatch
+/ gate or test failure.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ class FlowResult:
     stages: dict[str, str] = field(default_factory=dict)
     code: int = OK
     detail: dict = field(default_factory=dict)
+    month_status: dict = field(default_factory=dict)
 
 
 def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | None = None,
@@ -49,43 +52,50 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
         res.detail["error"] = f"missing zone lookup under {lake.raw_zones}"
         return res
     zones = read_zones_csv(spark, lake.raw_zones)
-
-    run = run_months(spark, lake, months, zones)
+    active = list(months)
+
+    def drop(stage: str, failed: dict[str, int]) -> None:
+        """Months failing ``stage`` leave the flow; the others continue."""
+        nonlocal active
+        for m, code in failed.items():
+            res.month_status[m] = f"failed:{stage}"
+            res.code = max(res.code, code)
+        res.stages[stage] = "failed" if failed else "ok"
+        active = [m for m in active if m not in failed]
+
+    run = run_months(spark, lake, active, zones)
     res.detail["clean"] = run.outcomes
-    if not run.ok:
-        res.stages["clean"] = "failed"
-        res.code = max(o.code for o in run.outcomes.values())
+    drop("clean", {m: o.code for m, o in run.outcomes.items() if o.code != OK})
+    if not active:
         return res
-    res.stages["clean"] = "ok"
 
-    status = evaluate_months(spark, lake, months, max_non_clean_rate, max_hard_reject_rate)
+    status = evaluate_months(spark, lake, active, max_non_clean_rate, max_hard_reject_rate)
     res.detail["gate"] = status
-    if any(s != "passed" for s in status.values()):
-        res.stages["gate"] = "failed"
-        res.code = MISMATCH
+    drop("gate", {m: MISMATCH for m, s in status.items() if s != "passed"})
+    if not active:
         return res
-    res.stages["gate"] = "ok"
 
-    loads = load_months(spark, lake, months)
+    loads = load_months(spark, lake, active)
     res.detail["load"] = loads
-    if any(o.status != "success" for o in loads.values()):
-        res.stages["load"] = "failed"
-        res.code = FAILED_INPUT if any(o.status == "missing" for o in loads.values()) else MISMATCH
+    drop("load", {m: (FAILED_INPUT if o.status == "missing" else MISMATCH)
+                  for m, o in loads.items() if o.status != "success"})
+    if not active:
         return res
-    res.stages["load"] = "ok"
     if staging_table_name:
         register_table(spark, staging_table_name, lake.staging_table, partitioned=True)
-        analyze_months(spark, staging_table_name, months)
+        analyze_months(spark, staging_table_name, active)
 
     seed = zone_seed if zone_seed is not None else zones
-    build_marts(spark, lake, seed, payment_type_codes(spark), dim_start, dim_end, months=months)
+    build_marts(spark, lake, seed, payment_type_codes(spark), dim_start, dim_end, months=active)
     res.stages["marts"] = "ok"
-    tests = run_data_tests(spark, lake, months=months)
+    tests = run_data_tests(spark, lake, months=active)
     failed = [r["test_name"] for r in tests.filter("NOT passed").collect()]
     res.detail["tests_failed"] = failed
     res.stages["tests"] = "failed" if failed else "ok"
     if failed:
-        res.code = MISMATCH
+        res.code = max(res.code, MISMATCH)
+    for m in active:
+        res.month_status[m] = "failed:tests" if failed else "ok"
     return res
 
 

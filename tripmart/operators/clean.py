@@ -119,13 +119,21 @@ def trip_duration_minutes() -> Column:
     return F.expr("timestampdiff(SECOND, pickup_datetime, dropoff_datetime) / 60.0")
 
 
-def enrich(clean: DataFrame, zones: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+def checked_zone_dimension(zones: DataFrame) -> DataFrame:
+    """The zone lookup as an int-keyed dimension, size-measured and key-checked
+    once (see :func:`tripmart.operators.joins.checked_dimension`); reusable
+    across many :func:`enrich` calls of one job."""
+    return checked_dimension(zone_dimension(zones), "location_id")
+
+
+def enrich(clean: DataFrame, zones: DataFrame | None = None, keep: Iterable[str] = (),
+           zone_dim: DataFrame | None = None) -> DataFrame:
     """Zone names by pickup and dropoff id (left joins), flags, duration, year/month.
 
     The zone dimension is checked for a unique key (fan-out guard) and its
     size before it is broadcast; the fact side is never shuffled.
     """
-    dim = checked_dimension(zone_dimension(zones), "location_id")
+    dim = zone_dim if zone_dim is not None else checked_zone_dimension(zones)
     # The same dimension plan on both sides, so Spark broadcasts it once and
     # reuses the exchange for the second join.
     pu, do = dim.alias("pu"), dim.alias("do")

@@ -20,8 +20,17 @@ SECOND_MONTH_SHIFT_DAYS = 31
 MONTH_SHIFT = {FIXTURE_MONTH: 0, SECOND_MONTH: SECOND_MONTH_SHIFT_DAYS}
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The tables are read-only, so the relation (file listing
+    and footer schema) is resolved once per session and reused by every query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def payment_code(i: Column) -> Column:

@@ -57,6 +57,10 @@ def main(argv=None) -> int:
             res = fl.run_flow(spark, lake, months, max_non_clean_rate=args.max_non_clean_rate,
                               max_hard_reject_rate=args.max_hard_reject_rate)
             log.info("stages %s", res.stages)
+            for m, st in sorted(res.month_status.items()):
+                log.info("%s %s", m, st)
+            for t in res.detail.get("tests_failed", []):
+                log.error("data test failed: %s", t)
             return res.code
         if args.command == "clean":
             res = run_months(spark, lake, months, read_zones_csv(spark, lake.raw_zones))

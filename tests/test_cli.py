@@ -22,6 +22,7 @@ def test_cli_exit_codes(spark):
     fixture.zones(spark, sf).coalesce(1).write.option("header", True).csv(f"{lake}/raw/zones")
     assert cli("clean", "--lake", lake, "--month", "2024-13").returncode == 2
     assert cli("clean", "--lake", lake, "--month", "2024-05").returncode == 1
+    assert cli("clean", "--lake", lake, "--from", "2024-01", "--to", "2024-02").returncode == 1  # 2024-02 absent
     assert cli("clean", "--lake", lake, "--month", "2024-01").returncode == 0
     assert cli("gate", "--lake", lake, "--month", "2024-01").returncode == 3  # hard rejects above 0.1 %
     assert cli("gate", "--lake", lake, "--month", "2024-01", "--max-hard-reject-rate", "0.01").returncode == 0

@@ -43,3 +43,11 @@ def test_month_text_check_as_column(spark):
 def test_month_of_path(spark):
     df = spark.createDataFrame([("s3a://b/raw/yellow/2025-01/a.parquet",), ("/x/y.parquet",)], "p string")
     assert [r[0] for r in df.select(month_of_path("p")).collect()] == ["2025-01", ""]
+
+
+def test_month_range_for_backfills():
+    from tripmart.functions.months import month_range
+    assert month_range("2024-11", "2025-02") == ["2024-11", "2024-12", "2025-01", "2025-02"]
+    assert month_range("2025-01", "2025-01") == ["2025-01"]
+    with pytest.raises(InvalidMonth):
+        month_range("2025-02", "2025-01")

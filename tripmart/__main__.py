@@ -25,16 +25,21 @@ def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="tripmart", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     p.add_argument("command", choices=["clean", "gate", "load", "marts", "flow"])
     p.add_argument("--lake", required=True, help="lake root (any Hadoop path)")
-    p.add_argument("--month", action="append", required=True, help="YYYY-MM, repeatable")
+    p.add_argument("--month", action="append", default=[], help="YYYY-MM, repeatable")
+    p.add_argument("--from", dest="first", help="first month of a range (with --to)")
+    p.add_argument("--to", dest="last", help="last month of a range (with --from)")
     p.add_argument("--max-non-clean-rate", type=float, default=DEFAULT_MAX_NON_CLEAN_RATE)
     p.add_argument("--max-hard-reject-rate", type=float, default=DEFAULT_MAX_HARD_REJECT_RATE)
     p.add_argument("--master", default=None, help="Spark master for local runs (default: the submit's)")
     args = p.parse_args(argv)
     logging.basicConfig(level="INFO", format="%(asctime)s %(levelname)s %(name)s: %(message)s")
 
-    from tripmart.functions.months import InvalidMonth, validate_months
+    from tripmart.functions.months import InvalidMonth, month_range, validate_months
     try:
-        months = validate_months(args.month)
+        wanted = list(args.month)
+        if args.first or args.last:
+            wanted += month_range(args.first or args.last, args.last or args.first)
+        months = validate_months(wanted)
     except InvalidMonth as exc:
         log.error("%s", exc)
         return 2

@@ -40,6 +40,18 @@ def month_shift(month: str, delta: int) -> str:
     return f"{idx // 12:04d}-{idx % 12 + 1:02d}"
 
 
+def month_range(start: str, end: str) -> list[str]:
+    """All months from ``start`` to ``end`` inclusive (for backfills)."""
+    a, b = validate_month(start), validate_month(end)
+    if b < a:
+        raise InvalidMonth(f"empty month range {a}..{b}")
+    out, m = [], a
+    while m <= b:
+        out.append(m)
+        m = month_shift(m, 1)
+    return out
+
+
 def valid_month_col(col: Column | str) -> Column:
     """Boolean column: the value is a YYYY-MM month."""
     c = F.col(col) if isinstance(col, str) else col

@@ -310,3 +310,27 @@ def test_flow_months_progress_independently(spark, lake):
     assert res.code == 3 and res.stages["gate"] == "failed" and res.stages["load"] == "ok"
     loaded = {r["source_month"] for r in read_audit(spark, lake).collect()}
     assert loaded == {"2024-01"}
+
+
+def test_partition_swap_restores_the_old_folder_when_the_move_fails(spark, lake):
+    import pytest
+    from tripmart.plans import publish
+    zones = land(spark, lake)
+    run_months(spark, lake, ["2024-01"], zones)
+    before = spark.read.parquet(lake.clean).count()
+    ops = FileOps(spark)
+    staged = lake.work("swap")
+    spark.read.parquet(lake.clean).limit(10).write.partitionBy("year", "month").parquet(staged)
+
+    class Failing(FileOps):
+        def rename(self, src, dst):
+            if src.startswith(staged):
+                raise OSError("simulated failure")
+            return super().rename(src, dst)
+
+    with pytest.raises(OSError):
+        publish.replace_partition(Failing(spark), staged, lake.clean, "year=2024/month=1")
+    assert spark.read.parquet(lake.clean).count() == before
+    assert [d for d in ops.list_dirs(lake.clean) if d.startswith("_replaced")] == []
+    publish.replace_partition(ops, staged, lake.clean, "year=2024/month=1")
+    assert spark.read.parquet(lake.clean).count() == 10

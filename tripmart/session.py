@@ -28,8 +28,10 @@ def build_session(master: str = "local[8]", app: str = "tripmart", shuffle_parti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # Partitioned writes: a task writes few partition folders (one month),
-        # so keep concurrent writers instead of sorting every task's rows.
-        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
+        # so keep concurrent writers instead of sorting every task's rows. Each
+        # open writer buffers up to a row group, hence a small cap (Spark falls
+        # back to sorting when a task meets more folders).
+        .config("spark.sql.maxConcurrentOutputFileWriters", "4")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
@@ -56,7 +58,7 @@ def cluster_conf(executor_cores: int = 8, executors: int = 1000) -> dict[str, st
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions": "true",
         "spark.sql.shuffle.partitions": str(max(200, 3 * executor_cores * executors)),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-        "spark.sql.maxConcurrentOutputFileWriters": "8",
+        "spark.sql.maxConcurrentOutputFileWriters": "4",  # each open writer buffers up to a row group
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.task.maxFailures": "8",
         "spark.ui.enabled": "false",

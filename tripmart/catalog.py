@@ -590,77 +590,77 @@ def q_backfill_two_months(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
-        "scan_raw_month": q_scan_raw_month,
-        "scan_partition_filtered": q_scan_partition_filtered,
-        "date_series": q_date_series,
-        "write_clean_readback": q_write_clean_readback,
-        "write_rejected_readback": q_write_rejected_readback,
-        "write_static_readback": q_write_static_readback,
-        "load_month_replace": q_load_month_replace,
-        "load_audit": q_load_audit,
-        "standardize": q_standardize,
-        "standardize_drift": q_standardize_drift,
-        "month_bounds": q_month_bounds,
-        "valid_months": q_valid_months,
-        "tag_rows": q_tag_rows,
-        "split_clean": q_split_clean,
-        "split_rejected": q_split_rejected,
-        "disposition": q_disposition,
-        "enrich_zones": q_enrich_zones,
-        "enrich_flags": q_enrich_flags,
-        "trip_duration": q_trip_duration,
-        "busiest_zones": q_busiest_zones,
-        "money_decimal": q_money_decimal,
-        "borough_counts_raw": q_borough_counts_raw,
-        "borough_counts_shuffle": q_borough_counts_shuffle,
-        "rel_date": _rel("pickup_date_key", "dim_date", "date_key"),
-        "rel_pickup_zone": _rel("pickup_zone_key", "dim_zone", "zone_key"),
-        "rel_dropoff_zone": _rel("dropoff_zone_key", "dim_zone", "zone_key"),
-        "rel_payment": _rel("payment_type_key", "dim_payment_type", "payment_type_key"),
-        "rowcount_matches": q_rowcount_matches,
-        "quality_by_month": q_quality_by_month,
-        "sync_plan": q_sync_plan,
-        "trips_by_hour_dense": q_trips_by_hour_dense,
-        "counts_by_reason": q_counts_by_reason,
-        "reason_share": q_reason_share,
-        "run_metrics": q_run_metrics,
-        "profile_row_count": q_profile_row_count,
-        "profile_conditions": q_profile_conditions,
-        "profile_pickup_range": q_profile_pickup_range,
-        "profile_distance": q_profile_distance,
-        "profile_neg_by_payment": q_profile_neg_by_payment,
-        "profile_co_null": q_profile_co_null,
-        "profile_null_by_vendor": q_profile_null_by_vendor,
-        "sample_rows": q_sample_rows,
-        "kpi": q_kpi,
-        "card_tip_rate": q_card_tip_rate,
-        "date_range": q_date_range,
-        "trips_by_borough": q_trips_by_borough,
-        "top_zones": q_top_zones,
-        "trips_by_hour": q_trips_by_hour,
-        "weekday_avg": q_weekday_avg,
-        "payments": q_payments,
-        "payment_share": q_payment_share,
-        "latest_reject_reasons": q_latest_reject_reasons,
-        "partition_counts": q_partition_counts,
-        "rejected_breakdown": q_rejected_breakdown,
-        "clean_flag_sums": q_clean_flag_sums,
-        "recent_loads": q_recent_loads,
-        "dim_zone": q_dim_zone,
-        "dim_payment_type": q_dim_payment_type,
-        "seed_payment_types": q_seed_payment_types,
-        "dim_date": q_dim_date,
-        "stg_trips": q_stg_trips,
-        "fact_trips": q_fact_trips,
-        "gate_checks": q_gate_checks,
-        "gate_status": q_gate_status,
-        "dq_summary": q_dq_summary,
-        "contract_violations": q_contract_violations,
-        "reconcile": q_reconcile,
-        "load_reconcile": q_load_reconcile,
-        "backfill_two_months": q_backfill_two_months,
+        "scan_raw_month": q_scan_raw_month,  # A1
+        "scan_partition_filtered": q_scan_partition_filtered,  # A4, M4
+        "date_series": q_date_series,  # A8
+        "write_clean_readback": q_write_clean_readback,  # B1
+        "write_rejected_readback": q_write_rejected_readback,  # B2, C13
+        "write_static_readback": q_write_static_readback,  # B3, E18 (T12)
+        "load_month_replace": q_load_month_replace,  # B7, B8, C19, E30, M5
+        "load_audit": q_load_audit,  # B9
+        "standardize": q_standardize,  # C1, C2, I15
+        "standardize_drift": q_standardize_drift,  # C3
+        "month_bounds": q_month_bounds,  # C4
+        "valid_months": q_valid_months,  # I17
+        "tag_rows": q_tag_rows,  # C5, I2, I3
+        "split_clean": q_split_clean,  # C11
+        "split_rejected": q_split_rejected,  # C11, C12, C13
+        "disposition": q_disposition,  # C12, I4
+        "enrich_zones": q_enrich_zones,  # D1, D2
+        "enrich_flags": q_enrich_flags,  # C14, C15, C17
+        "trip_duration": q_trip_duration,  # C16, I5
+        "busiest_zones": q_busiest_zones,  # C18, E16, G2
+        "money_decimal": q_money_decimal,  # C19
+        "borough_counts_raw": q_borough_counts_raw,  # D3, E17, M3
+        "borough_counts_shuffle": q_borough_counts_shuffle,  # D4, E17
+        "rel_date": _rel("pickup_date_key", "dim_date", "date_key"),  # D8, K3
+        "rel_pickup_zone": _rel("pickup_zone_key", "dim_zone", "zone_key"),  # D8, K3
+        "rel_dropoff_zone": _rel("dropoff_zone_key", "dim_zone", "zone_key"),  # D8, K3
+        "rel_payment": _rel("payment_type_key", "dim_payment_type", "payment_type_key"),  # D8, K3
+        "rowcount_matches": q_rowcount_matches,  # D9, K5
+        "quality_by_month": q_quality_by_month,  # A6, B4, B5, D11
+        "sync_plan": q_sync_plan,  # A10, D10
+        "trips_by_hour_dense": q_trips_by_hour_dense,  # D12
+        "counts_by_reason": q_counts_by_reason,  # E1, I1
+        "reason_share": q_reason_share,  # E2
+        "run_metrics": q_run_metrics,  # E5
+        "profile_row_count": q_profile_row_count,  # E3
+        "profile_conditions": q_profile_conditions,  # E21, E22, E24, E26
+        "profile_pickup_range": q_profile_pickup_range,  # E23
+        "profile_distance": q_profile_distance,  # E25
+        "profile_neg_by_payment": q_profile_neg_by_payment,  # E27
+        "profile_co_null": q_profile_co_null,  # E28
+        "profile_null_by_vendor": q_profile_null_by_vendor,  # E29
+        "sample_rows": q_sample_rows,  # G4
+        "kpi": q_kpi,  # E6
+        "card_tip_rate": q_card_tip_rate,  # E7, I11
+        "date_range": q_date_range,  # D5, E8
+        "trips_by_borough": q_trips_by_borough,  # D6, E9, G1
+        "top_zones": q_top_zones,  # E10, G2 (T9, T15)
+        "trips_by_hour": q_trips_by_hour,  # E11
+        "weekday_avg": q_weekday_avg,  # D5, E12, I7, I18
+        "payments": q_payments,  # D7, E13, G1
+        "payment_share": q_payment_share,  # E14
+        "latest_reject_reasons": q_latest_reject_reasons,  # E15
+        "partition_counts": q_partition_counts,  # E18, G5
+        "rejected_breakdown": q_rejected_breakdown,  # E19, G5
+        "clean_flag_sums": q_clean_flag_sums,  # E20, I12
+        "recent_loads": q_recent_loads,  # G3, I13
+        "dim_zone": q_dim_zone,  # L3, I1
+        "dim_payment_type": q_dim_payment_type,  # L4
+        "seed_payment_types": q_seed_payment_types,  # A7
+        "dim_date": q_dim_date,  # L2, A8, I6-I9
+        "stg_trips": q_stg_trips,  # L1, I10
+        "fact_trips": q_fact_trips,  # L5, I8
+        "gate_checks": q_gate_checks,  # J1-J6
+        "gate_status": q_gate_status,  # J7
+        "dq_summary": q_dq_summary,  # K1, K2, K4, K11
+        "contract_violations": q_contract_violations,  # K8
+        "reconcile": q_reconcile,  # K6, E4
+        "load_reconcile": q_load_reconcile,  # K7
+        "backfill_two_months": q_backfill_two_months,  # N2 (T11)
     }
-    rule_keys = {
+    rule_keys = {  # C6-C10: each rule counted alone vs. first-match tagging (T4)
         "rule_missing_timestamp": "missing_timestamp",
         "rule_dropoff_before_pickup": "dropoff_before_pickup",
         "rule_outside_month": "pickup_outside_month",

@@ -45,7 +45,8 @@ def expected(pickup, dropoff, dist, fare, month):
     return None
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=25, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows)
 def test_tagging_matches_rule_statement(spark, data):
     df = spark.createDataFrame([(p, d, x, f, 1, 1, m) for p, d, x, f, m in data], SCHEMA)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import DEFAULT_MAX_HARD_REJECT_RATE, DEFAULT_MAX_NON_CLEAN_RATE
+from tripmart.contracts import DEFAULT_MAX_HARD_REJECT_RATE, DEFAULT_MAX_NON_CLEAN_RATE, SUMMARY_REQUIRED_KEYS
 from tripmart.functions.months import validate_months
 from tripmart.operators.quality import gate_checks, gate_report, missing_summary_keys
 from tripmart.plans.monthly import read_run_summaries
@@ -31,6 +31,11 @@ def evaluate_months(spark: SparkSession, lake: Lake, months,
     missing = missing_summary_keys(runs.columns)
     if missing:
         raise SummaryInvalid(f"summary is missing keys: {missing}")
+    # With a fixed read schema, a document that lacks a key shows it as NULL.
+    incomplete = runs.filter(F.greatest(*[F.col(k).isNull() for k in SUMMARY_REQUIRED_KEYS]))
+    bad = sorted(r["month"] for r in incomplete.select("month").collect())
+    if bad:
+        raise SummaryInvalid(f"run summaries without all of {list(SUMMARY_REQUIRED_KEYS)}: {bad}")
     checks = gate_checks(runs, max_non_clean_rate, max_hard_reject_rate)
     report = gate_report(checks)
     rows = report.collect()  # one row per month

@@ -201,7 +201,8 @@ def q_write_static_readback(spark, d):
 def q_load_month_replace(spark, d):
     lake = fixture_lake(spark, d)
     df = staging_view(spark, lake).drop("loaded_at")
-    return _money_as_double(df).withColumn("year", F.col("year").cast("int")).withColumn("month", F.col("month").cast("int"))
+    return (_money_as_double(df).withColumn("year", F.col("year").cast("int"))
+            .withColumn("month", F.col("month").cast("int")))
 
 
 def q_load_audit(spark, d):
@@ -582,9 +583,9 @@ def q_backfill_two_months(spark, d):
     c = read_partitioned(spark, lake.clean).groupBy(
         F.format_string("year=%d/month=%d", "year", "month").alias("partition")).agg(F.count(F.lit(1)).alias("rows")) \
         .withColumn("dataset", F.lit("yellow_trips"))
-    r = read_partitioned(spark, lake.rejected).groupBy(
-        F.concat(F.lit("source_month="), F.col("source_month")).alias("partition")).agg(F.count(F.lit(1)).alias("rows")) \
-        .withColumn("dataset", F.lit("rejected_trips"))
+    r = (read_partitioned(spark, lake.rejected)
+         .groupBy(F.concat(F.lit("source_month="), F.col("source_month")).alias("partition"))
+         .agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("rejected_trips")))
     return c.unionByName(r).select("dataset", "partition", "rows")
 
 

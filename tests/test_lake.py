@@ -334,3 +334,12 @@ def test_partition_swap_restores_the_old_folder_when_the_move_fails(spark, lake)
     assert [d for d in ops.list_dirs(lake.clean) if d.startswith("_replaced")] == []
     publish.replace_partition(ops, staged, lake.clean, "year=2024/month=1")
     assert spark.read.parquet(lake.clean).count() == 10
+
+
+def test_batched_backfill_equals_one_job(spark, lake):
+    from tripmart.plans.monthly import run_months_batched
+    zones = land(spark, lake, ("2024-01", "2024-02"))
+    res = run_months_batched(spark, lake, ["2024-02", "2024-01"], zones, batch=1)
+    assert res.ok and sorted(res.outcomes) == ["2024-01", "2024-02"]
+    c, r = counts(spark, lake)
+    assert c[(2024, 1)] == 947 and r["2024-01"] == 53

@@ -180,6 +180,24 @@ def _check(result: RunResult, strict: bool) -> None:
             raise CountMismatch(f"months not reconciled (clean + rejected != rows in): {bad}")
 
 
+def run_months_batched(spark: SparkSession, lake: Lake, months, zones: DataFrame, batch: int = 24,
+                       strict: bool = False) -> RunResult:
+    """Backfill many months as consecutive jobs of ``batch`` months each.
+
+    One job's plan holds one scan branch per month; chunking keeps planning
+    time bounded for multi-year backfills while each job still processes its
+    months together. Outcomes of all chunks are merged.
+    """
+    months = validate_months(months)
+    merged = RunResult(months=months)
+    started = time.time()
+    for i in range(0, len(months), batch):
+        part = run_months(spark, lake, months[i:i + batch], zones, strict=strict)
+        merged.outcomes.update(part.outcomes)
+    merged.duration_seconds = round(time.time() - started, 1)
+    return merged
+
+
 RUN_SUMMARY_SCHEMA = ("rows_in bigint, rows_clean bigint, rows_rejected_or_quarantined bigint, "
                       "counts_by_reason map<string,bigint>, finished_at_utc string, duration_seconds double, "
                       "month string")

@@ -343,3 +343,15 @@ def test_batched_backfill_equals_one_job(spark, lake):
     assert res.ok and sorted(res.outcomes) == ["2024-01", "2024-02"]
     c, r = counts(spark, lake)
     assert c[(2024, 1)] == 947 and r["2024-01"] == 53
+
+
+def test_dashboard_datasets_published(spark, lake):
+    from tripmart.plans.dashboard import publish_dashboard, read_dashboard
+    zones = land(spark, lake)
+    run_months(spark, lake, ["2024-01"], zones)
+    load_months(spark, lake, ["2024-01"])
+    build_marts(spark, lake, zones, payment_type_codes(spark))
+    paths = publish_dashboard(spark, lake)
+    assert {"kpi", "trips_by_borough", "top_zones", "payments", "recent_loads", "quality_by_month"} <= set(paths)
+    assert read_dashboard(spark, lake, "kpi").first()["trips"] == 947
+    assert read_dashboard(spark, lake, "trips_by_hour").count() == 24

@@ -53,3 +53,17 @@ def test_entry_smoke(spark):
     df = entry(spark)
     rows = df.collect()
     assert df.columns == ["borough", "trips"] and len(rows) == 5
+
+
+PRESENTED = sorted(set(__import__("tripmart.catalog", fromlist=["x"]).NULLABLE_INT_OUTPUTS)
+                   | {"date_series", "dim_date", "date_range", "stg_trips"})
+
+
+@pytest.mark.parametrize("key", PRESENTED)
+def test_query_matches_oracle_through_pandas(spark, duck, key):
+    """Nullable ints and dates are presented so that pandas conversions of both engines agree too."""
+    a = queries()[key](spark, SF).toPandas().astype(str)
+    b = duck.execute(oracle_sql()[key]).df().astype(str)
+    ha, _, _ = digest(list(a.columns), [tuple(r) for r in a.values.tolist()])
+    hb, _, _ = digest(list(b.columns), [tuple(r) for r in b.values.tolist()])
+    assert ha == hb

@@ -29,6 +29,7 @@ from tripmart.plans.marts import staging_view
 from tripmart.plans.monthly import read_run_summaries, run_months
 from tripmart.plans.publish import FileOps
 from tripmart.plans.warehouse import load_months, read_audit
+from tripmart.presentation import NULLABLE_INT_OUTPUTS
 from tripmart.session import scratch_path
 from tripmart.sources import fixture
 from tripmart.sources.lake import Lake, read_parquet, read_partitioned, read_raw_months
@@ -114,21 +115,6 @@ def _dates_as_timestamps(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-# Integer columns that hold NULLs in the fixture, per registered key. For the
-# cross-engine check they are presented as DOUBLE by both engines: row objects,
-# Arrow and pandas conversions then all agree (pandas turns Spark's nullable
-# ints into float64 but DuckDB's into a nullable Int dtype). The operators keep
-# their contract types (see tests).
-NULLABLE_INT_OUTPUTS = {
-    "scan_raw_month": ("passenger_count", "RatecodeID"),
-    "sample_rows": ("passenger_count", "RatecodeID"),
-    "write_static_readback": ("year", "month"),
-    **{k: ("passenger_count", "rate_code_id") for k in (
-        "scan_partition_filtered", "write_clean_readback", "write_rejected_readback", "load_month_replace",
-        "standardize", "tag_rows", "split_clean", "split_rejected", "stg_trips", "fact_trips")},
-}
-
-
 def _nullable_ints_as_double(fn, cols):
     def q(spark, d):
         df = fn(spark, d)

@@ -398,7 +398,7 @@ def oracle_sql() -> dict[str, str]:
                  count(*) FILTER (WHERE reject_reason = '{reason}') AS rows_tagged FROM tagged_jan"""
     o["dq_summary"] = _dq_sql()
     o["contract_violations"] = _contract_sql()
-    from tripmart.catalog import NULLABLE_INT_OUTPUTS  # same presentation as the Spark side
+    from tripmart.presentation import NULLABLE_INT_OUTPUTS  # same presentation as the Spark side
     for k, cols in NULLABLE_INT_OUTPUTS.items():
         casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
         o[k] = f"SELECT * REPLACE ({casts}) FROM ({o[k]}) AS presented"

@@ -6,8 +6,10 @@ Layout under one root (any Hadoop path: file:/, hdfs://, s3a://)::
     raw/zones/*.csv                           zone lookup
     processed/yellow_trips/year=Y/month=M/    clean trips
     processed/rejected_trips/source_month=M/  rejected + quarantined trips
-    processed/_runs/month=M/                  run summaries (JSON)
-    processed/_quality/month=M/               gate reports (JSON)
+    processed/_run_summaries/month=M/         run summaries (JSON, one folder per month)
+    processed/_gate_reports/month=M/          gate reports (JSON, one folder per month)
+    processed/_runs/clean_<M>.json            earlier one-document-per-month summaries (read only)
+    processed/_quality/quality_<M>.json       earlier one-document-per-month gate reports (read only)
     warehouse/staging/yellow_trips/year=Y/month=M/
     warehouse/audit/load_history/
     warehouse/marts/<model>/
@@ -51,10 +53,20 @@ class Lake:
 
     @property
     def runs(self) -> str:
-        return self._p("processed", "_runs")
+        return self._p("processed", "_run_summaries")
 
     @property
     def quality(self) -> str:
+        return self._p("processed", "_gate_reports")
+
+    @property
+    def legacy_runs(self) -> str:
+        """Folder of one-document-per-month run summaries (``clean_<month>.json``)."""
+        return self._p("processed", "_runs")
+
+    @property
+    def legacy_quality(self) -> str:
+        """Folder of one-document-per-month gate reports (``quality_<month>.json``)."""
         return self._p("processed", "_quality")
 
     @property

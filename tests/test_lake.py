@@ -355,3 +355,19 @@ def test_dashboard_datasets_published(spark, lake):
     assert {"kpi", "trips_by_borough", "top_zones", "payments", "recent_loads", "quality_by_month"} <= set(paths)
     assert read_dashboard(spark, lake, "kpi").first()["trips"] == 947
     assert read_dashboard(spark, lake, "trips_by_hour").count() == 24
+
+
+def test_existing_lake_with_earlier_summary_documents(spark, lake):
+    import json
+    import os
+    from tripmart.sources.lake import read_summary_documents
+    zones = land(spark, lake)
+    root = lake.root[len("file:"):] if lake.root.startswith("file:") else lake.root
+    os.makedirs(f"{root}/processed/_runs", exist_ok=True)
+    open(f"{root}/processed/_runs/clean_2023-12.json", "w").write(json.dumps(
+        {"month": "2023-12", "rows_in": 5, "rows_clean": 5, "rows_rejected_or_quarantined": 0,
+         "counts_by_reason": {"clean": 5}}, indent=2))
+    res = run_flow(spark, lake, ["2024-01"], max_hard_reject_rate=0.01)
+    assert res.stages["gate"] == "ok" and res.stages["load"] == "ok"
+    assert [r["month"] for r in read_summary_documents(spark, lake.legacy_runs).collect()] == ["2023-12"]
+    assert [r["month"] for r in read_run_summaries(spark, lake).collect()] == ["2024-01"]

@@ -16,6 +16,16 @@ NULL_ID = 2**63 - 1
 SLICE_CHARS = 1_000_000
 
 
+def inner_id(column):
+    """doc_id as a long without nulls (pandas would turn a column with nulls into doubles)."""
+    return F.coalesce(column.cast("long"), F.lit(NULL_ID))
+
+
+def outer_id(column):
+    """doc_id as it was."""
+    return F.nullif(column, F.lit(NULL_ID))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,22 +31,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text with the total at the end)."""
-    data = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
-    first = np.cumsum([0, *(len(d) + 1 for d in data)])
-    raw = np.frombuffer(b"\n".join([*data, b""]), dtype=np.uint8)
+def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of the texts, each with a newline after it; first byte of each text, the total at the end)."""
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    return np.frombuffer(b"\n".join([*data, b""]), dtype=np.uint8), np.cumsum([0, *(len(d) + 1 for d in data)])
+
+
+def hash_runs(raw: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of every run of bytes outside the table ``cut``; ``raw`` ends with a byte inside it."""
     if not len(raw):
-        return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
-    space = _SPACE[raw]
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    if not space[0]:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, _U)
+    outside = cut[raw]
+    edge = np.flatnonzero(outside[1:] != outside[:-1]) + 1
+    if not outside[0]:
         edge = np.concatenate([[0], edge])
-    starts, ends = edge[0::2], edge[1::2]  # raw ends with a space
+    starts, ends = edge[0::2], edge[1::2]
     power, inverse = _tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, dtype=_U)
     np.cumsum((raw.astype(_U) + _U(1)) * power[: len(raw)], out=total[1:])
-    words = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    return starts, ends, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U))
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word of each text with the total at the end)."""
+    raw, first = joined([t.lower() for t in texts])
+    starts, _, words = hash_runs(raw, _SPACE)
     return words, np.searchsorted(starts, first)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, quality_rules, toxicity
+from tripmart.llm import best_fit, jaccard_join, quality_rules, toxicity
 from tripmart.llm.common import table
 
 
@@ -16,13 +16,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op7_ngram_jaccard_join, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

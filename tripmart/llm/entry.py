@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, jaccard_join, quality_rules, toxicity
+from tripmart.llm import best_fit, jaccard_join, quality_rules, substring_dedup, toxicity
 from tripmart.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.find(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -26,7 +30,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op7_ngram_jaccard_join, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op7_ngram_jaccard_join, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, jaccard_join, quality_rules, substring_dedup, toxicity
+from tripmart.llm import best_fit, jaccard_join, quality_rules, substring_dedup, token_counts, toxicity, trie_bpe
 from tripmart.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.find(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op6_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -30,7 +38,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op7_ngram_jaccard_join, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op5_token_counts, op6_trie_bpe,
+                                   op7_ngram_jaccard_join, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

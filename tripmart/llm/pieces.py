@@ -1,4 +1,4 @@
-"""Remembered values of the pieces of texts between spaces and newlines, looked up with numpy.
+"""Remembered values of the pieces of texts between separators, looked up with numpy.
 
 Vocabulary work on prose repeats the same pieces over and over. ``PieceMemo`` hashes
 all pieces of a slice of texts at once (64 bits over the bytes), sorts the distinct
@@ -14,15 +14,16 @@ import numpy as np
 
 from tripmart.llm.shingles import hash_runs, joined
 
-_CUT = np.zeros(256, dtype=bool)
-_CUT[[0x20, 0x0A]] = True
-
 
 class PieceMemo:
-    """``learn(pieces)`` gives one list of numbers of type ``dtype`` for each piece."""
+    """``learn(pieces)`` gives one list of numbers of type ``dtype`` for each piece; pieces lie
+    between the bytes ``separators``."""
 
-    def __init__(self, learn: Callable[[list[str]], list], dtype: str, most: int = 2_000_000):
+    def __init__(self, learn: Callable[[list[str]], list], dtype: str, separators: bytes = b"\n ", most: int = 2_000_000):
         self.learn, self.dtype, self.most = learn, np.dtype(dtype), most
+        self.after = separators[:1]
+        self.cut = np.zeros(256, dtype=bool)
+        self.cut[list(separators)] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -50,8 +51,8 @@ class PieceMemo:
 
     def lookup(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(values of all pieces of all texts in order, first value of each text with the total at the end)."""
-        raw, first = joined(texts)
-        starts, ends, hashes = hash_runs(raw, _CUT)
+        raw, first = joined(texts, self.after)
+        starts, ends, hashes = hash_runs(raw, self.cut)
         if not len(starts):
             return np.empty(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)

@@ -31,10 +31,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(UTF-8 bytes of the texts, each with a newline after it; first byte of each text, the total at the end)."""
+def joined(texts: list[str], after: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of the texts, each with the byte ``after`` behind it; first byte of each text, the total at the end)."""
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
-    return np.frombuffer(b"\n".join([*data, b""]), dtype=np.uint8), np.cumsum([0, *(len(d) + 1 for d in data)])
+    return np.frombuffer(after.join([*data, b""]), dtype=np.uint8), np.cumsum([0, *(len(d) + 1 for d in data)])
 
 
 def hash_runs(raw: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

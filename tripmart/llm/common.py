@@ -8,6 +8,8 @@ import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,12 +97,14 @@ def ordered_buckets(df: DataFrame, column: str, rows_per_bucket: int, least: int
 
 
 def bucket_of(column, bounds: list[int]):
-    """0-based index of the range of ``ordered_buckets`` that holds the value (null: the last)."""
-    if not bounds:
-        return F.lit(0)
-    at = F.aggregate(F.array(*[F.lit(int(b)) for b in bounds]), F.lit(0), lambda n, b: n + (column > b).cast("int")) \
-        if len(bounds) <= 16 else F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: column > b))
-    return F.when(column.isNull(), F.lit(len(bounds))).otherwise(at)
+    """0-based index of the range of ``ordered_buckets`` that holds the value."""
+    cuts = np.array(bounds, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def find(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, values.to_numpy(np.int64), side="left").astype(np.int32))
+
+    return find(column)
 
 
 def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:

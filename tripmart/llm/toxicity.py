@@ -37,7 +37,7 @@ MAX_TERMS = 8_192
 FACTORS = 8
 LEAST_CHI2 = 20.0
 THRESHOLD = 0.3
-_MEMO_WORDS = 300_000
+_MEMO_WORDS = 100_000
 
 
 def word_buckets(word: str) -> list[int]:
@@ -133,7 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_term
     def extract(frames):
         memo: dict = {}
         for pdf in frames:
-            yield pd.DataFrame({"y": pdf["y"], "buckets": [sorted(_present(t, None, memo)) for t in pdf["text"]]})
+            for lo in range(0, len(pdf), 500):
+                part = pdf.iloc[lo:lo + 500]
+                yield pd.DataFrame({"y": part["y"], "buckets": [np.array(sorted(_present(t, None, memo)), np.int32) for t in part["text"]]})
 
     rows = stored(training_rows(docs, labels, max_train).mapInPandas(extract, "y double, buckets array<int>"), "toxic-train")
     n, pos = rows.agg(F.count("*"), F.sum("y")).first()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, jaccard_join, quality_rules, substring_dedup, token_counts, toxicity, trie_bpe
+from tripmart.llm import best_fit, fingerprints, jaccard_join, quality_rules, repair_output, substring_dedup, token_counts, toxicity, trie_bpe
 from tripmart.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.find(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -37,9 +41,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op9_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_output.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op5_token_counts, op6_trie_bpe,
-                                   op7_ngram_jaccard_join, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op4_fingerprints, op5_token_counts,
+                                   op6_trie_bpe, op7_ngram_jaccard_join, op8_quality_rules, op9_repair_output)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ compared in constant time and longest common extensions are found by binary sear
 
 A fingerprint holds the number of code points, the hash of the whole text and the 64
 smallest distinct hashes of all its spans of 16 code points (of the whole text if it is
-shorter). Likeness of two fingerprints is the share of spans in common, 2 J / (1 + J) with the Jaccard
+shorter) and of the spans of 4 among its first 64, which tell short texts apart. Likeness of two fingerprints is the share of spans in common, 2 J / (1 + J) with the Jaccard
 estimate J of the two samples; equal texts have equal fingerprints and likeness 1.
 
 ``edited`` replaces the last half of each text by the beginning of the next document in
@@ -39,6 +39,7 @@ _P, _S = _U(PRIME), _U(31)
 BASES = (1_103_515_245, 1_852_378_561)
 SPAN = 16
 SAMPLE = 64
+HEAD, HEAD_SPAN = 64, 4
 _BITS = 48
 ROWS_PER_BUCKET = 2_048
 
@@ -140,15 +141,20 @@ def shown(n: int, whole: tuple[int, int], values: np.ndarray) -> str:
     return f"{n:x}.{whole[0]:08x}{whole[1]:08x}." + np.ascontiguousarray(values.astype(">u8")).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
 
 
+def head_spans(points: np.ndarray) -> np.ndarray:
+    return PrefixHash(points[:HEAD]).spans(HEAD_SPAN)
+
+
 class _Document:
-    __slots__ = ("text", "points", "hash", "spans", "sample", "print")
+    __slots__ = ("text", "points", "hash", "spans", "head", "sample", "print")
 
     def __init__(self, text: str):
         self.text = text
         self.points = code_points(text)
         self.hash = PrefixHash(self.points)
         self.spans = self.hash.spans(SPAN)
-        self.sample = sample(self.spans)
+        self.head = head_spans(self.points)
+        self.sample = sample(self.spans, self.head)
         self.print = shown(self.hash.n, self.hash.span(0, self.hash.n), self.sample)
 
     def followed_by(self, other: _Document) -> tuple:
@@ -159,10 +165,12 @@ class _Document:
         edited = self.text[:keep] + other.text[:took]
         m = keep + took
         if m <= SPAN or keep < SPAN or took < SPAN:
-            mine = sample(PrefixHash(code_points(edited)).spans(SPAN))
+            points = code_points(edited)
+            mine = sample(PrefixHash(points).spans(SPAN), head_spans(points))
         else:
             across = PrefixHash(np.concatenate([self.points[keep - SPAN + 1:keep], other.points[:SPAN - 1]])).spans(SPAN)
-            mine = sample(self.spans[:keep - SPAN + 1], other.spans[:took - SPAN + 1], across)
+            head = self.head if keep >= HEAD else head_spans(np.concatenate([self.points[:keep], other.points[:min(took, HEAD - keep)]]))
+            mine = sample(self.spans[:keep - SPAN + 1], other.spans[:took - SPAN + 1], across, head)
         a, b = self.hash.span(0, keep), other.hash.span(0, took)
         whole = tuple((x + y * int(p[keep])) % PRIME for x, y, p in zip(a, b, _powers(keep + 1)))  # the hash of the two parts joined
         return (n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), self.print, shown(m, whole, mine),

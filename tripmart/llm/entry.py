@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, fingerprints, jaccard_join, quality_rules, repair_output, substring_dedup, token_counts, toxicity, trie_bpe
+from tripmart.llm import best_fit, fingerprints, jaccard_join, license_scan, quality_rules, repair_output, substring_dedup, token_counts, toxicity, trie_bpe
 from tripmart.llm.common import table
 
 
@@ -45,10 +45,14 @@ def op9_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_output.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "containment")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op4_fingerprints, op5_token_counts,
-                                   op6_trie_bpe, op7_ngram_jaccard_join, op8_quality_rules, op9_repair_output)}
+                                   op6_trie_bpe, op7_ngram_jaccard_join, op8_quality_rules, op9_repair_output, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_license_scan": license_scan.sql()}

@@ -19,7 +19,7 @@ class PieceMemo:
     """``learn(pieces)`` gives one list of numbers of type ``dtype`` for each piece; pieces lie
     between the bytes ``separators``."""
 
-    def __init__(self, learn: Callable[[list[str]], list], dtype: str, separators: bytes = b"\n ", most: int = 2_000_000):
+    def __init__(self, learn: Callable[[list[str]], list], dtype: str, separators: bytes = b"\n ", most: int = 1_200_000):
         self.learn, self.dtype, self.most = learn, np.dtype(dtype), most
         self.after = separators[:1]
         self.cut = np.zeros(256, dtype=bool)

@@ -36,7 +36,7 @@ SPACE = "\u2581"  # the vocabulary's mark of a space
 CHUNK = 65_536
 LIMIT = 4096
 _START = -1  # in the place of a last token: anything may follow
-_MEMO = 250_000
+_MEMO = 150_000
 _UNEVEN = re.compile("^ |  | $|" + SPACE)
 
 

@@ -36,7 +36,7 @@ from tripmart.llm.common import inner_id, outer_id, slices
 from tripmart.llm.pieces import PieceMemo
 from tripmart.llm.word_bpe import ODD, SPECIAL, WORDS, library, parts, vocabulary_path
 
-_MEMO_PAIRS = 1_500_000
+_MEMO_PAIRS = 400_000
 
 
 class Vocabulary:

@@ -86,14 +86,16 @@ def test_ingest_publishes_once_and_logs(spark, lake):
     assert ingest_month(spark, lake, "2024-01", landed, force=True) == "published"
     assert spark.read.parquet(lake.raw_month("2024-01")).count() == 1000
     log = read_ingestion_log(spark, lake).collect()
-    assert sum(r["rows"] for r in log) == 2000 and all(len(r["sha256"]) == 64 for r in log)
-    assert all(r["file"].endswith(".parquet") and r["bytes"] > 0 for r in log)
+    landed_files = {r["path"]: (r["bytes"], r["sha256"]) for r in file_checksums(spark, landed).collect()}
+    assert all(r["rows"] == 1000 for r in log) and len(log) == 2 * len(landed_files)
+    name = lambda p: p.rsplit("/", 1)[1]
+    assert {(name(r["file"]), r["bytes"], r["sha256"]) for r in log} == {(name(p), *v) for p, v in landed_files.items()}
 
 
 def test_failed_validation_leaves_nothing(spark, lake):
     df = fixture.raw_month(spark, SF)
     with pytest.raises(ValidationError):
-        publish_validated(spark, df, lake.raw_month("2024-01"), expected_rows=5)
+        publish_validated(spark, df, lake, lake.raw_month("2024-01"), expected_rows=5)
     parent = lake.root + "/raw/yellow"
     assert FileOps(spark).list_dirs(parent) == []
 

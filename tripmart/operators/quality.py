@@ -137,8 +137,3 @@ def gate_report(checks: DataFrame) -> DataFrame:
         .alias("evaluated_at_utc"),
     )
 
-
-def missing_summary_keys(columns) -> list[str]:
-    """Required run-summary keys absent from a summary schema."""
-    from tripmart.contracts import SUMMARY_REQUIRED_KEYS
-    return [k for k in SUMMARY_REQUIRED_KEYS if k not in columns]

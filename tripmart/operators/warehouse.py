@@ -57,6 +57,13 @@ def extra_columns(staging: DataFrame) -> list[str]:
     return [c for c in staging.columns if c not in allowed]
 
 
+def mistyped_columns(staging: DataFrame) -> dict[str, str]:
+    """Columns whose type is not the table's (the load refuses them)."""
+    actual = dict(staging.dtypes)
+    return {c: actual[c] for c, dtype, _ in STAGING_CONTRACT
+            if c in actual and c != "loaded_at" and actual[c] != dtype}
+
+
 def status_domain_violations(audit: DataFrame) -> DataFrame:
     """Audit rows whose status is outside the allowed domain."""
     return audit.filter(~F.col("status").isin(*AUDIT_STATUSES) | F.col("status").isNull())

@@ -17,7 +17,7 @@ from tripmart.contracts import DEFAULT_MAX_HARD_REJECT_RATE, DEFAULT_MAX_NON_CLE
 from tripmart.functions.months import InvalidMonth, validate_months
 from tripmart.plans.gate import evaluate_months
 from tripmart.plans.marts import build_marts, run_data_tests
-from tripmart.plans.monthly import FAILED_INPUT, INVALID_MONTH, MISMATCH, OK, run_months
+from tripmart.plans.monthly import FAILED_INPUT, INVALID_MONTH, MISMATCH, OK, run_months_batched
 from tripmart.plans.publish import FileOps
 from tripmart.plans.warehouse import load_months
 from tripmart.sources.lake import Lake
@@ -63,7 +63,7 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
         res.stages[stage] = "failed" if failed else "ok"
         active = [m for m in active if m not in failed]
 
-    run = run_months(spark, lake, active, zones)
+    run = run_months_batched(spark, lake, active, zones)
     res.detail["clean"] = run.outcomes
     drop("clean", {m: o.code for m, o in run.outcomes.items() if o.code != OK})
     if not active:
@@ -71,7 +71,7 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
 
     status = evaluate_months(spark, lake, active, max_non_clean_rate, max_hard_reject_rate)
     res.detail["gate"] = status
-    drop("gate", {m: MISMATCH for m, s in status.items() if s != "passed"})
+    drop("gate", {m: MISMATCH if s == "failed" else INVALID_MONTH for m, s in status.items() if s != "passed"})
     if not active:
         return res
 
@@ -82,7 +82,7 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
     if not active:
         return res
     if staging_table_name:
-        register_table(spark, staging_table_name, lake.staging_table, partitioned=True)
+        register_table(spark, staging_table_name, lake.staging_table, partitioned=True, months=active)
         analyze_months(spark, staging_table_name, active)
 
     seed = zone_seed if zone_seed is not None else zones
@@ -100,18 +100,24 @@ def run_flow(spark: SparkSession, lake: Lake, months, zone_seed: DataFrame | Non
 
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False,
-                   analyze: bool = False) -> None:
+                   analyze: bool = False, months=None) -> None:
     """Expose a parquet folder as a named table.
 
     Created once (external table over ``path``); for partitioned tables the
-    partition list is refreshed so newly published months become visible.
+    given ``months`` are added to the partition list, or, without them, the whole
+    table is listed again.
     ``analyze`` computes whole-table statistics, a full scan: after a load,
     prefer :func:`analyze_months`.
     """
-    if not spark.catalog.tableExists(name):
+    new = not spark.catalog.tableExists(name)
+    if new:
         spark.catalog.createTable(name, path=path, source="parquet")
-    if partitioned:
+    if partitioned and (months is None or new):
         spark.catalog.recoverPartitions(name)
+    elif partitioned:
+        parts = [tuple(int(x) for x in m.split("-")) for m in validate_months(months)]
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (year={y}, month={mm})" for y, mm in parts))
+        spark.catalog.refreshTable(name)
     if analyze:
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 

@@ -1,9 +1,10 @@
 """Validated publish of landed files into the raw zone, with an ingestion log.
 
 A landed month (any readable parquet) is copied by Spark into
-``raw/yellow/<month>/`` through a temporary sibling folder: validate, write
-aside, verify the row count, then rename into place. Nothing is left behind
-on failure, an existing month is skipped unless ``force``.
+``raw/yellow/<month>/`` through the lake's work folder: validate, write aside,
+verify the row count, then swap into place. On failure the old month stays and
+nothing is left behind; an existing month is skipped unless ``force``. The log
+holds size and SHA-256 of the landed file itself, to compare with its source.
 """
 
 from __future__ import annotations
@@ -13,11 +14,9 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmart.functions.months import validate_month
-from tripmart.operators.manifest import file_checksums
-from tripmart.plans.publish import FileOps
+from tripmart.plans.publish import FileOps, recover_swaps, replace_folder
 from tripmart.sources.lake import Lake
 from tripmart.sources.reference import ValidationError, validate_parquet_file, validate_zones_file
 
@@ -25,69 +24,58 @@ INGESTION_LOG_SCHEMA = ("dataset string, source_url string, file string, bytes b
                         "downloaded_at_utc string, duration_seconds double")
 
 
-def publish_validated(spark: SparkSession, df: DataFrame, dest: str, expected_rows: int | None = None,
+def publish_validated(spark: SparkSession, df: DataFrame, lake: Lake, dest: str, expected_rows: int | None = None,
                       force: bool = False, fmt: str = "parquet") -> str:
-    """Write ``df`` to ``dest`` atomically per folder. Returns 'skipped' or 'published'."""
+    """Replace the folder ``dest`` by ``df`` once its rows are counted. Returns 'skipped' or 'published'."""
     ops = FileOps(spark)
+    recover_swaps(ops, lake.journal)
     if ops.exists(dest) and not force:
         return "skipped"
-    tmp = f"{dest.rstrip('/')}.part-{uuid.uuid4().hex[:8]}"
+    tmp = lake.work(f"ingest-{uuid.uuid4().hex[:12]}")
     try:
         writer = df.write.mode("overwrite")
         (writer.option("header", True).csv(tmp) if fmt == "csv" else writer.parquet(tmp))
         got = (spark.read.option("header", True).csv(tmp).count() if fmt == "csv" else spark.read.parquet(tmp).count())
         if expected_rows is not None and got != expected_rows:
             raise ValidationError(f"wrote {got} rows, expected {expected_rows}")
-        ops.delete(dest)
-        ops.rename(tmp, dest)
-    except Exception:
+        replace_folder(ops, tmp, dest, lake.journal)
+    finally:
         ops.delete(tmp)
-        raise
     return "published"
 
 
 def ingest_month(spark: SparkSession, lake: Lake, month: str, landed_path: str, source_url: str = "",
                  force: bool = False) -> str:
-    """Validate a landed month file and publish it as ``raw/yellow/<month>/`` (B12, K10), logging it."""
+    """Validate a landed month (a file or a folder of files) and publish it as ``raw/yellow/<month>/`` (B12, K10), logging it."""
     validate_month(month)
     started = time.time()
     rows = validate_parquet_file(spark, landed_path)
-    outcome = publish_validated(spark, spark.read.parquet(landed_path), lake.raw_month(month), rows, force)
+    outcome = publish_validated(spark, spark.read.parquet(landed_path), lake, lake.raw_month(month), rows, force)
     if outcome == "published":
-        log_files(spark, lake, f"yellow_trips_{month}", source_url, lake.raw_month(month),
-                  round(time.time() - started, 1))
+        log_landed(spark, lake, f"yellow_trips_{month}", source_url, landed_path, ".parquet", rows, round(time.time() - started, 1))
     return outcome
 
 
-def log_files(spark: SparkSession, lake: Lake, dataset: str, source_url: str, folder: str, duration: float) -> None:
-    """One ingestion-log record per published file: bytes and SHA-256 from the
-    file bytes, rows from that file's parquet data; computed and appended by
-    Spark (no list of files passes through the driver)."""
-    sums = file_checksums(spark, folder).select(F.col("path").alias("file"), "bytes", "sha256")
-    rows = (spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("file"))
-            .agg(F.count(F.lit(1)).alias("rows")))
-    now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
-    records = sums.join(rows, "file", "left").select(
-        F.lit(dataset).alias("dataset"), F.lit(source_url).alias("source_url"), "file",
-        F.col("bytes").cast("bigint").alias("bytes"), "sha256",
-        F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-        F.lit(now).alias("downloaded_at_utc"), F.lit(float(duration)).alias("duration_seconds"))
-    records.write.mode("append").json(lake.ingestion_log)
-
-
 def ingest_zones(spark: SparkSession, lake: Lake, landed_csv: str, source_url: str = "", force: bool = False) -> str:
     """Validate the zone lookup (header, >= 200 rows; K9) and publish it to ``raw/zones``."""
     started = time.time()
     rows = validate_zones_file(spark, landed_csv)
     df = spark.read.option("header", True).csv(landed_csv)
-    outcome = publish_validated(spark, df.coalesce(1), lake.raw_zones, rows, force, fmt="csv")
+    outcome = publish_validated(spark, df.coalesce(1), lake, lake.raw_zones, rows, force, fmt="csv")
     if outcome == "published":
-        s = file_checksums(spark, lake.raw_zones).first()
-        append_ingestion_log(spark, lake, "zone_lookup", source_url, lake.raw_zones, int(s["bytes"]),
-                             s["sha256"], rows, round(time.time() - started, 1))
+        log_landed(spark, lake, "zone_lookup", source_url, landed_csv, ".csv", rows, round(time.time() - started, 1))
     return outcome
 
 
+def log_landed(spark: SparkSession, lake: Lake, dataset: str, source_url: str, landed: str, suffix: str, rows: int,
+               duration: float) -> None:
+    """One record per landed file: its name, size and SHA-256; rows are those of the whole landing."""
+    ops = FileOps(spark)
+    for file in ops.list_files(landed, suffix) or [landed]:
+        size, digest = ops.size_and_sha256(file)
+        append_ingestion_log(spark, lake, dataset, source_url, file, size, digest, rows, duration)
+
+
 def append_ingestion_log(spark: SparkSession, lake: Lake, dataset: str, source_url: str, file: str, size: int,
                          sha256: str, rows: int, duration: float) -> None:
     """Append one JSON record."""

@@ -11,7 +11,7 @@ from tripmart.contracts import DIM_DATE_END, DIM_DATE_START
 from tripmart.operators import dq
 from tripmart.operators.marts import dim_date, dim_payment_type, dim_zone, fact_trips, stg_trips
 from tripmart.functions.months import partition_filter, validate_months
-from tripmart.plans.publish import FileOps, clean_partition, replace_partition
+from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, replace_folder, replace_partition
 from tripmart.plans.warehouse import read_staging_table
 from tripmart.sources.lake import Lake
 
@@ -46,16 +46,19 @@ def build_marts(spark: SparkSession, lake: Lake, zone_seed: DataFrame, payment_c
         paths[name] = lake.mart(name)
     fact = fact_trips(stg, keep=("year", "month"))
     target = lake.mart("fact_trips")
-    if months is None:
-        fact.write.mode("overwrite").partitionBy("year", "month").parquet(target)
-    else:
-        months = validate_months(months)
-        wanted = partition_filter(months)
-        staged = lake.work(f"fact-{uuid.uuid4().hex[:12]}")
-        fact.filter(wanted).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-        ops = FileOps(spark)
-        for m in months:
-            replace_partition(ops, staged, target, clean_partition(m))
+    ops = FileOps(spark)
+    recover_swaps(ops, lake.journal)
+    staged = lake.work(f"fact-{uuid.uuid4().hex[:12]}")
+    try:
+        if months is None:
+            fact.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+            replace_folder(ops, staged, target, lake.journal)  # the whole table: months gone from staging go
+        else:
+            months = validate_months(months)
+            fact.filter(partition_filter(months)).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+            for m in months:
+                replace_partition(ops, staged, target, clean_partition(m), lake.journal)
+    finally:
         ops.delete(staged)
     paths["fact_trips"] = target
     return paths
@@ -79,4 +82,4 @@ def run_data_tests(spark: SparkSession, lake: Lake, months=None) -> DataFrame:
         fact = spark.read.parquet(lake.mart("fact_trips")).filter(keep).drop("year", "month")
         marts = {**marts, "fact_trips": fact}
         staging = staging.filter(keep)
-    return dq.dq_summary(staging, stg_trips(staging), marts["fact_trips"], marts)
+    return dq.dq_summary(staging, marts["fact_trips"], marts)

@@ -6,11 +6,13 @@ Flow per call, for all months together:
    footer schema and a literal ``source_month``);
 2. clean (enriched, broadcast zone joins) and rejected rows, each written
    ONCE to a staging folder in the lake (no cache: a lost executor recomputes
-   its split from the immutable raw files); rows_in and the count of every
-   reason are observed metrics of the clean write, not extra scans;
+   its split from the immutable raw files); the count of every reason is an
+   observed metric of the clean write; rows_in is counted on its own, from the
+   raw files' footers;
 3. read-back counts of the staged outputs (independent of the plan);
-4. months whose counts reconcile are published partition by partition;
-   months that do not are left untouched and reported;
+4. months whose counts reconcile are published partition by partition (a
+   readable month of zero rows too: the gate refuses it); months that do not
+   are left untouched and reported;
 5. one run-summary row per month, persisted as JSON partitioned by month.
 """
 
@@ -27,8 +29,8 @@ from tripmart.contracts import CLEAN_LABEL, REASON_ORDER
 from tripmart.functions.months import validate_months
 from tripmart.operators.clean import enrich, split_clean, split_rejected, tag_rows
 from tripmart.operators.quality import run_summary
-from tripmart.plans.publish import FileOps, clean_partition, rejected_partition, replace_partition
-from tripmart.sources.lake import Lake, raw_month_scan, union_by_name
+from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, rejected_partition, replace_partition
+from tripmart.sources.lake import Lake, raw_month_scan, raw_row_counts, union_by_name
 
 OK, FAILED_INPUT, INVALID_MONTH, MISMATCH = 0, 1, 2, 3  # outcome codes (N3)
 
@@ -67,7 +69,7 @@ def _month_of_clean_readback(df: DataFrame) -> DataFrame:
 
 def _tag_metrics():
     reason = F.col("reject_reason")
-    return [F.count(F.lit(1)).alias("rows_in"), F.count_if(reason.isNull()).alias(CLEAN_LABEL),
+    return [F.count_if(reason.isNull()).alias(CLEAN_LABEL),
             *[F.count_if(reason == r).alias(r) for r in REASON_ORDER]]
 
 
@@ -80,9 +82,10 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     started = time.time()
     months = validate_months(months)
     ops = FileOps(spark)
+    recover_swaps(ops, lake.journal)
     result = RunResult(months=months)
     if raw is None:
-        missing = [m for m in months if not ops.list_files(lake.raw_month(m), ".parquet")]
+        missing = [m for m in months if not ops.has_files(lake.raw_month(m), ".parquet")]
         for m in missing:  # no input files: failed input, nothing else runs for it
             result.outcomes[m] = MonthOutcome(m, 0, 0, 0, 0, False, FAILED_INPUT)
         scans = {m: raw_month_scan(spark, lake, m) for m in months if m not in missing}
@@ -123,7 +126,11 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         raise
 
     metrics = [(m, o.get) for m, o in observations.items()]
-    rows_in = spark.createDataFrame([(m, int(v["rows_in"])) for m, v in metrics], "source_month string, rows_in bigint")
+    counted = (raw_row_counts(spark, lake, list(scans)) if raw is None else
+               union_by_name(df.select(F.lit(m).alias("source_month")) for m, df in scans.items())
+               .groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in")))
+    rows_in = spark.createDataFrame([(m,) for m in scans], "source_month string").join(counted, "source_month", "left").select(
+        "source_month", F.coalesce("rows_in", F.lit(0)).alias("rows_in"))
     reasons = spark.createDataFrame(
         [(m, reason, int(v[reason])) for m, v in metrics for reason in [CLEAN_LABEL, *REASON_ORDER] if v[reason]],
         "source_month string, reason string, rows bigint")
@@ -147,11 +154,11 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         clean_m = int(r["rows_clean"]) if r else 0
         rej_m = int(r["rows_rejected_or_quarantined"]) if r else 0
         reasons_m = int(sum((r["counts_by_reason"] or {}).values())) if r else 0
-        good = rows_in_m > 0 and clean_m + rej_m == rows_in_m and reasons_m == rows_in_m
+        good = clean_m + rej_m == rows_in_m and reasons_m == rows_in_m
         if good:
-            replace_partition(ops, clean_stage, lake.clean, clean_partition(m))
-            replace_partition(ops, rejected_stage, lake.rejected, rejected_partition(m))
-        code = OK if good else (FAILED_INPUT if rows_in_m == 0 else MISMATCH)
+            replace_partition(ops, clean_stage, lake.clean, clean_partition(m), lake.journal)
+            replace_partition(ops, rejected_stage, lake.rejected, rejected_partition(m), lake.journal)
+        code = OK if good else MISMATCH
         result.outcomes[m] = MonthOutcome(m, rows_in_m, clean_m, rej_m, reasons_m, good, code)
 
     duration = round(time.time() - started, 1)

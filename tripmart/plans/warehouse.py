@@ -8,12 +8,12 @@ set of months, in one job:
 * rows are projected to the staging contract (money decimal(12,2), ...)
   and written to a staging folder;
 * staged rows are counted back per month together with the NOT NULL
-  contract (one aggregation over a few columns); a month is swapped in (its
-  old partition folder deleted, the staged one renamed into place) only if
-  its contract holds and its counts match; otherwise the table keeps the old
-  month;
-* every attempt appends one audit row (success or failed, error text cut
-  at 1000 characters).
+  contract (one aggregation over a few columns); a month is swapped in only
+  if its contract holds and its counts match; otherwise, or if its swap fails,
+  the table keeps the old month and the others go on;
+* a source with columns or types outside the contract is refused whole;
+* every attempt appends one audit row, whatever failed and wherever (success
+  or failed, error text cut at 1000 characters).
 """
 
 from __future__ import annotations
@@ -25,10 +25,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, DATASET_NAME, STAGING_CONTRACT
+from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, AUDIT_STATUSES, DATASET_NAME, STAGING_CONTRACT
 from tripmart.functions.months import partition_filter, validate_months
-from tripmart.operators.warehouse import to_staging
-from tripmart.plans.publish import FileOps, clean_partition, replace_partition
+from tripmart.operators.warehouse import extra_columns, mistyped_columns, to_staging
+from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, replace_partition
 from tripmart.sources.lake import Lake
 
 AUDIT_SCHEMA = ", ".join(f"{c} {t}" for c, t, _ in AUDIT_COLUMNS)
@@ -36,11 +36,11 @@ NOT_NULL = [c for c, _, nullable in STAGING_CONTRACT if not nullable and c != "l
 
 
 class CountMismatch(RuntimeError):
-    """Rows in the table do not match rows in the source files."""
+    """A month's staged rows are not as many as its clean partition holds."""
 
 
 class ContractViolation(RuntimeError):
-    """Rows break the staging table's NOT NULL contract."""
+    """Columns, types or NULLs of a month break the staging table's contract."""
 
 
 @dataclass
@@ -75,61 +75,74 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
             _raise_first_failure(outcomes)
         return outcomes
 
-    clean = spark.read.parquet(lake.clean).filter(partition_filter(present))  # partition pruning
-    expected = {r["m"]: int(r["n"]) for r in
-                clean.groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
-
+    recover_swaps(ops, lake.journal)
     staged = lake.work(f"load-{uuid.uuid4().hex[:12]}")
+    expected: dict[str, int] = {}
     try:
-        to_staging(clean).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-    except Exception as exc:  # any failure of the load job is audited, then raised
-        ops.delete(staged)
-        err = f"{type(exc).__name__}: {exc}"[:AUDIT_ERROR_MAX_CHARS]
-        append_audit(spark, lake, [(m, expected.get(m, 0), None, "failed", err) for m in present], started)
-        raise
-
-    # Read back per month: row count and the NOT NULL contract in one aggregation
-    # over a few columns of the staged files (each month passes or fails alone).
-    checked = {}
-    if ops.list_dirs(staged):
-        back = spark.read.parquet(staged)
-        checked = {r["m"]: r for r in back.groupBy(_month_col().alias("m")).agg(
-            F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
-
-    audit_rows = []
-    for m in present:
-        r = checked.get(m)
-        exp, got = expected.get(m, 0), (int(r["n"]) if r else 0)
-        violations = {c: int(r[c]) for c in NOT_NULL if r and r[c]}
-        if violations:
-            err = f"ContractViolation: NOT NULL violated in {m}: {violations}"
-            outcomes[m] = LoadOutcome(m, exp, None, "failed", err)
-        elif got != exp:
-            err = f"CountMismatch: staged {got} rows for {m}, clean partition holds {exp}"
-            outcomes[m] = LoadOutcome(m, exp, None, "failed", err)
+        clean = spark.read.parquet(lake.clean).filter(partition_filter(present))  # partition pruning
+        expected = {r["m"]: int(r["n"]) for r in
+                    clean.groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        table = to_staging(clean)
+        refused = {"columns": extra_columns(clean), "types": mistyped_columns(table)}
+        if any(refused.values()):
+            for m in present:
+                outcomes[m] = LoadOutcome(m, expected.get(m, 0), None, "failed", f"ContractViolation: not in the contract: {refused}")
         else:
-            replace_partition(ops, staged, lake.staging_table, clean_partition(m))
-            outcomes[m] = LoadOutcome(m, exp, got, "success", None)
-        o = outcomes[m]
-        audit_rows.append((m, o.expected, o.loaded, o.status,
-                           o.error[:AUDIT_ERROR_MAX_CHARS] if o.error else None))
-    ops.delete(staged)
-    append_audit(spark, lake, audit_rows, started)
+            table.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+            checked = _read_back(spark, staged) if ops.list_dirs(staged) else {}
+            for m in present:
+                outcomes[m] = _publish_month(ops, lake, staged, m, expected.get(m, 0), checked.get(m))
+    except Exception as exc:  # a failure of the job itself: audited for every month without an outcome, then raised
+        for m in present:
+            outcomes.setdefault(m, LoadOutcome(m, expected.get(m, 0), None, "failed", f"{type(exc).__name__}: {exc}"))
+        raise
+    finally:
+        ops.delete(staged)
+        append_audit(spark, lake, [(o.month, o.expected, o.loaded, o.status, o.error[:AUDIT_ERROR_MAX_CHARS] if o.error else None)
+                                   for o in (outcomes[m] for m in present if m in outcomes)], started)
     if strict:
         _raise_first_failure(outcomes)
     return outcomes
 
 
+def _read_back(spark: SparkSession, staged: str) -> dict:
+    """Per month: row count and NULLs of the NOT NULL columns, in one aggregation over a few columns."""
+    back = spark.read.parquet(staged)
+    return {r["m"]: r for r in back.groupBy(_month_col().alias("m")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
+
+
+def _publish_month(ops: FileOps, lake: Lake, staged: str, m: str, expected: int, row) -> LoadOutcome:
+    """Swap one verified month in; a month that fails, fails alone."""
+    got = int(row["n"]) if row else 0
+    violations = {c: int(row[c]) for c in NOT_NULL if row and row[c]}
+    if violations:
+        return LoadOutcome(m, expected, None, "failed", f"ContractViolation: NOT NULL violated in {m}: {violations}")
+    if got != expected:
+        return LoadOutcome(m, expected, None, "failed", f"CountMismatch: staged {got} rows for {m}, clean partition holds {expected}")
+    try:
+        replace_partition(ops, staged, lake.staging_table, clean_partition(m), lake.journal)
+    except Exception as exc:
+        return LoadOutcome(m, expected, None, "failed", f"{type(exc).__name__}: {exc}")
+    return LoadOutcome(m, expected, got, "success", None)
+
+
 def _raise_first_failure(outcomes: dict[str, LoadOutcome]) -> None:
     for o in outcomes.values():
         if o.status == "missing":
             raise FileNotFoundError(o.error)
         if o.status == "failed":
-            raise (ContractViolation if o.error.startswith("ContractViolation") else CountMismatch)(o.error)
+            kind = next((k for k in (ContractViolation, CountMismatch) if o.error.startswith(k.__name__)), RuntimeError)
+            raise kind(o.error)
 
 
 def append_audit(spark: SparkSession, lake: Lake, rows, started: dt.datetime) -> None:
     """Append audit rows; load_id continues the table's maximum."""
+    if not rows:
+        return
+    unknown = {r[3] for r in rows} - set(AUDIT_STATUSES)
+    if unknown:
+        raise ValueError(f"audit status outside {AUDIT_STATUSES}: {sorted(unknown)}")
     ops = FileOps(spark)
     next_id = 1
     if ops.exists(lake.audit_table):

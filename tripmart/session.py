@@ -75,6 +75,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             value = current
+        elif not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} is not set: a cluster needs a folder that all executors share")
         else:
             value = tempfile.mkdtemp(prefix="tripmart-ckpt-")
             spark.sparkContext.setCheckpointDir(value)

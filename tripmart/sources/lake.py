@@ -17,12 +17,13 @@ Layout under one root (any Hadoop path: file:/, hdfs://, s3a://)::
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.months import month_of_path, validate_months
+from tripmart.functions.months import validate_months
 
 
 @dataclass(frozen=True)
@@ -87,24 +88,56 @@ class Lake:
     def work(self, name: str) -> str:
         return self._p("_work", name)
 
+    @property
+    def journal(self) -> str:
+        """Records and moved-aside folders of swaps in progress."""
+        return self.work("swaps")
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Plain parquet scan (A1): schema from footers, nothing read until an action."""
     return spark.read.parquet(path)
 
 
+def schema_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Files grouped by their footer schema, in order of first appearance.
+
+    One footer is read per file (a few at a time); a folder of one file reads none twice.
+    """
+    if len(files) <= 1:
+        return [files] if files else []
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.simpleString(), files))
+    groups: dict[str, list[str]] = {}
+    for f, schema in zip(files, schemas):
+        groups.setdefault(schema, []).append(f)
+    return list(groups.values())
+
+
 def raw_month_scan(spark: SparkSession, lake: Lake, month: str) -> DataFrame:
     """One raw month folder, standardized, with a literal ``source_month``.
 
-    Each month is its own scan: its footer schema is resolved on its own (column
-    names, case and integer widths drift between months) and the month is a
-    constant, so rules that depend on it fold to literals per scan instead of
-    being recomputed for every row.
+    Each month is its own scan: column names, case and integer widths drift between
+    months and may drift between the files of one month, so files are grouped by
+    footer schema, each group is standardized by itself and the groups are
+    united. The month is a constant, so rules that depend on it fold to literals per
+    scan instead of being recomputed for every row.
     """
     from tripmart.operators.clean import standardize  # local import: operators depend on sources
+    from tripmart.plans.publish import FileOps
 
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(lake.raw_month(month))
-    return standardize(df.withColumn("source_month", F.lit(month)), keep=("source_month",))
+    files = FileOps(spark).list_files(lake.raw_month(month), ".parquet")
+    groups = schema_groups(spark, files) or [[lake.raw_month(month)]]
+    return union_by_name(
+        standardize(spark.read.parquet(*group).withColumn("source_month", F.lit(month)), keep=("source_month",))
+        for group in groups)
+
+
+def raw_row_counts(spark: SparkSession, lake: Lake, months) -> DataFrame:
+    """(source_month, rows_in) of raw months from the files alone: no column is read, whatever their schemas."""
+    parts = [spark.read.schema("`_none` string").option("pathGlobFilter", "*.parquet").parquet(lake.raw_month(m))
+             .select(F.lit(m).alias("source_month")) for m in months]
+    return union_by_name(parts).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in"))
 
 
 def union_by_name(parts) -> DataFrame:
@@ -121,17 +154,6 @@ def read_raw_months(spark: SparkSession, lake: Lake, months) -> DataFrame:
     return union_by_name(raw_month_scan(spark, lake, m) for m in validate_months(months))
 
 
-def read_raw_months_by_path(spark: SparkSession, lake: Lake, months) -> DataFrame:
-    """Alternative for very many months with one schema: ONE scan over all
-    month folders, ``source_month`` taken from each file's folder name."""
-    from tripmart.operators.clean import standardize
-
-    paths = [lake.raw_month(m) for m in validate_months(months)]
-    df = (spark.read.option("pathGlobFilter", "*.parquet").parquet(*paths)
-          .withColumn("source_month", month_of_path(F.col("_metadata.file_path"))))
-    return standardize(df, keep=("source_month",))
-
-
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """Hive-partitioned parquet table; filters on partition columns prune folders (A4)."""
     return spark.read.parquet(root)

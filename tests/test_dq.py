@@ -40,7 +40,7 @@ def test_relationship_failures_count_rows_per_missing_key(spark):
 def test_summary_counts_every_test(spark):
     f = fact(spark)
     staging = spark.createDataFrame([(dt.datetime(2024, 1, 1), None)], "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz")
-    report = {r["test_name"]: (r["failures"], r["passed"]) for r in dq.dq_summary(staging, staging, f, dims(spark)).collect()}
+    report = {r["test_name"]: (r["failures"], r["passed"]) for r in dq.dq_summary(staging, f, dims(spark)).collect()}
     assert report["not_null:staging.yellow_trips.dropoff_datetime"] == (1, False)
     assert report["not_null:fact_trips.pickup_date_key"] == (1, False)
     assert report["relationships:fact_trips.pickup_zone_key->dim_zone.zone_key"] == (1, False)

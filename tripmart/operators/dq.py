@@ -47,48 +47,47 @@ def rowcount_matches(staging_like: DataFrame, fact: DataFrame) -> DataFrame:
     return s.crossJoin(f).withColumn("matches", F.col("staging_rows") == F.col("fact_rows"))
 
 
-def _fact_tests(fact: DataFrame, dims: dict[str, DataFrame], stg: DataFrame) -> DataFrame:
-    joined = fact
-    checks = []
+def _row_tests(staging: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Every test over staging and fact rows: one aggregate of each, side by side."""
+    keys: dict[tuple[str, str], DataFrame] = {}
+    joined, checks = fact, []
     for i, (child, dim, key) in enumerate(RELATIONSHIPS):
         flag = f"_has_parent_{i}"
-        keys = sized_broadcast(dims[dim].select(F.col(key).alias(child)).distinct()
-                               .withColumn(flag, F.lit(True)))
-        joined = joined.join(keys, child, "left")
-        checks.append((f"relationships:fact_trips.{child}->{dim}.{key}",
-                       F.col(child).isNotNull() & F.col(flag).isNull()))
+        if (dim, key) not in keys:  # each dimension is measured once
+            keys[dim, key] = sized_broadcast(dims[dim].select(F.col(key).alias("_key")).distinct())
+        parent = keys[dim, key].select(F.col("_key").alias(f"_k{i}"), F.lit(True).alias(flag))
+        joined = joined.join(parent, F.col(child) == F.col(f"_k{i}"), "left")
+        checks.append((f"relationships:fact_trips.{child}->{dim}.{key}", F.col(child).isNotNull() & F.col(flag).isNull()))
     nn = [(f"not_null:fact_trips.{c}", F.col(c).isNull()) for c, _, _ in RELATIONSHIPS]
     tests = nn + checks + singular_tests()
-    agg = joined.agg(F.count(F.lit(1)).alias("_fact_rows"),
-                     *[F.count_if(pred).alias(f"_t{i}") for i, (_, pred) in enumerate(tests)])
-    rows = [F.struct(F.lit(name).alias("test_name"), F.col(f"_t{i}").cast("bigint").alias("failures"))
-            for i, (name, _) in enumerate(tests)]
-    rows.append(F.struct(
-        F.lit("fact_row_count_matches_staging").alias("test_name"),
-        F.when(F.col("_fact_rows") != F.col("_stg_rows"), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("failures")))
-    stg_rows = stg.agg(F.count(F.lit(1)).alias("_stg_rows"))
-    return agg.crossJoin(stg_rows).select(F.inline(F.array(*rows)))  # 1-row x 1-row
+    of_fact = joined.agg(F.count(F.lit(1)).alias("_fact_rows"), *[F.count_if(p).alias(f"_t{i}") for i, (_, p) in enumerate(tests)])
+    of_staging = staging.agg(F.count(F.lit(1)).alias("_stg_rows"),
+                             *[F.count_if(F.col(c).isNull()).alias(f"_s{i}") for i, c in enumerate(STAGING_NOT_NULL)])
+    result = lambda name, failures: F.struct(F.lit(name).alias("test_name"), failures.cast("bigint").alias("failures"))
+    rows = [result(f"not_null:staging.yellow_trips.{c}", F.col(f"_s{i}")) for i, c in enumerate(STAGING_NOT_NULL)]
+    rows += [result(name, F.col(f"_t{i}")) for i, (name, _) in enumerate(tests)]
+    rows.append(result("fact_row_count_matches_staging", (F.col("_fact_rows") != F.col("_stg_rows"))))
+    return of_fact.crossJoin(of_staging).select(F.inline(F.array(*rows)))  # 1-row x 1-row
 
 
 def _dim_tests(name: str, dim: DataFrame, key: str) -> DataFrame:
-    dup_keys = (dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("dups")))
-    nulls = dim.agg(F.count_if(F.col(key).isNull()).alias("nulls"))
-    both = nulls.crossJoin(dup_keys)  # two 1-row aggregates
-    return both.select(F.inline(F.array(
+    """NULL and duplicate keys of a dimension in one pass."""
+    per_key = dim.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    found = per_key.agg(F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
+                        F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("dups"))
+    return found.select(F.inline(F.array(
         F.struct(F.lit(f"not_null:{name}.{key}").alias("test_name"), F.col("nulls").cast("bigint").alias("failures")),
         F.struct(F.lit(f"unique:{name}.{key}").alias("test_name"), F.col("dups").cast("bigint").alias("failures")),
     )))
 
 
-def dq_summary(staging: DataFrame, stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Every data test in one report: test_name, failures, passed."""
-    fact_part = _fact_tests(fact, dims, stg)
-    src = staging.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in STAGING_NOT_NULL]).select(F.inline(F.array(
-        *[F.struct(F.lit(f"not_null:staging.yellow_trips.{c}").alias("test_name"), F.col(c).cast("bigint").alias("failures"))
-          for c in STAGING_NOT_NULL])))
-    parts = [src, fact_part] + [_dim_tests(n, dims[n], k) for n, k in DIM_KEYS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def dq_summary(staging: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Every data test in one report: test_name, failures, passed.
+
+    The staging view has the rows of the staging table, so the row-count test
+    shares the one staging pass with the NOT NULL tests.
+    """
+    out = _row_tests(staging, fact, dims)
+    for name, key in DIM_KEYS:
+        out = out.unionByName(_dim_tests(name, dims[name], key))
     return out.withColumn("passed", F.col("failures") == 0)

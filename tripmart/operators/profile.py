@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.joins import checked_dimension
+
 from tripmart.functions.months import month_bounds
 
 
@@ -95,3 +97,30 @@ def clean_flag_sums(clean: DataFrame) -> DataFrame:
         F.count_if(F.col("pickup_borough").isNull()).alias("no_zone_match"),
         F.round(F.avg(F.col("trip_duration_minutes").cast("double")), 1).alias("avg_minutes"),
     )
+
+
+def _per_zone(raw: DataFrame) -> DataFrame:
+    return raw.groupBy(F.col("PULocationID").alias("zone_id")).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def busiest_zones(raw: DataFrame, k: int = 5) -> DataFrame:
+    """The k pickup locations with the most paid trips."""
+    top = _per_zone(raw.filter("fare_amount > 0")).orderBy(F.col("trips").desc(), "zone_id").limit(k)
+    return top.withColumnRenamed("zone_id", "PULocationID")
+
+
+def borough_counts(raw: DataFrame, zones: DataFrame) -> DataFrame:
+    """Raw trips per pickup borough (D3, E17): counted per location, so that only as many rows as
+    there are locations meet the (checked, broadcast) lookup."""
+    names = checked_dimension(zones.select(F.expr("int(LocationID) AS zone_id"), "Borough"), "zone_id")
+    return _most_first(_per_zone(raw).join(names, "zone_id"), F.sum("trips").cast("bigint"))
+
+
+def borough_counts_shuffled(raw: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same by a shuffle join of all rows, for lookups too large to broadcast."""
+    names = zones.select(F.expr("int(LocationID) AS zone_id"), "Borough").hint("merge")
+    return _most_first(raw.select(F.col("PULocationID").alias("zone_id")).join(names, "zone_id"), F.count(F.lit(1)))
+
+
+def _most_first(rows: DataFrame, trips) -> DataFrame:
+    return rows.groupBy("Borough").agg(trips.alias("trips")).orderBy(F.col("trips").desc(), "Borough")

@@ -9,7 +9,7 @@ because the join key is the grouping key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.contracts import CLEAN_LABEL
@@ -19,12 +19,17 @@ def _r6(c):
     return F.round(c.cast("double"), 6)
 
 
+def _mean_money(total, n):
+    """An exact decimal sum over its count; cast last, so task order cannot change it."""
+    return _r6(total.cast("double") / F.nullif(n, F.lit(0)).cast("double"))
+
+
 def kpi(fact: DataFrame) -> DataFrame:
     """trips, revenue, average fare / distance / duration."""
     return fact.agg(
         F.count(F.lit(1)).alias("trips"),
         F.round(F.coalesce(F.sum("total_amount"), F.lit(0)).cast("double"), 2).alias("revenue"),
-        _r6(F.avg(F.col("fare_amount").cast("double"))).alias("avg_fare"),
+        _mean_money(F.sum("fare_amount"), F.count("fare_amount")).alias("avg_fare"),
         _r6(F.avg(F.col("trip_distance").cast("double"))).alias("avg_distance"),
         _r6(F.avg(F.col("trip_duration_minutes").cast("double"))).alias("avg_duration_minutes"),
     )
@@ -96,27 +101,32 @@ def weekday_avg(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
             .orderBy("day_of_week"))
 
 
-def payments(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
-    """Trips, average total and tip per payment name, most trips first."""
+def _per_payment(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """Per payment name: trips, exact money sums and counts, and the trips of the whole fact (one scan)."""
     per_key = fact.groupBy("payment_type_key").agg(
         F.count(F.lit(1)).alias("trips"),
-        F.sum(F.col("total_amount").cast("double")).alias("_st"), F.count("total_amount").alias("_nt"),
-        F.sum(F.col("tip_amount").cast("double")).alias("_sp"), F.count("tip_amount").alias("_np"),
+        F.sum("total_amount").alias("_st"), F.count("total_amount").alias("_nt"),
+        F.sum("tip_amount").alias("_sp"), F.count("tip_amount").alias("_np"),
     )
-    joined = per_key.join(dim_payment, "payment_type_key", "inner")
-    return (joined.groupBy("payment_type_name").agg(
+    # a handful of keys: their total is taken before the inner join drops unknown ones
+    per_key = per_key.withColumn("_all", F.sum("trips").over(Window.partitionBy(F.lit(1))))
+    return (per_key.join(dim_payment, "payment_type_key", "inner").groupBy("payment_type_name").agg(
         F.sum("trips").cast("bigint").alias("trips"),
-        _r6(F.sum("_st") / F.sum("_nt")).alias("avg_total"),
-        _r6(F.sum("_sp") / F.sum("_np")).alias("avg_tip"),
-    ).orderBy(F.desc("trips"), F.asc("payment_type_name")))
+        _mean_money(F.sum("_st"), F.sum("_nt")).alias("avg_total"),
+        _mean_money(F.sum("_sp"), F.sum("_np")).alias("avg_tip"),
+        F.max("_all").alias("_all")))
+
+
+def payments(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """Trips, average total and tip per payment name, most trips first."""
+    return _per_payment(fact, dim_payment).drop("_all").orderBy(F.desc("trips"), F.asc("payment_type_name"))
 
 
 def payment_share(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
-    """Payment rows with their share of ALL fact trips (denominator at least 1)."""
-    total = fact.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("_total"))
-    return (payments(fact, dim_payment).crossJoin(total)  # 1-row side
+    """Payment rows with their share of ALL fact trips."""
+    return (_per_payment(fact, dim_payment)
             .select("payment_type_name", "trips", "avg_total", "avg_tip",
-                    _r6(F.lit(100.0) * F.col("trips") / F.col("_total")).alias("share_pct"))
+                    _r6(F.lit(100.0) * F.col("trips") / F.col("_all")).alias("share_pct"))
             .orderBy(F.desc("trips"), F.asc("payment_type_name")))
 
 

@@ -12,7 +12,9 @@ Output columns are aliased to the names used by the DuckDB oracle
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,6 +136,15 @@ def _dur_double(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _LAKES: dict[tuple[str, str], Lake] = {}
+#: Seconds of each step of the last lake that was built (reported by the bench).
+LAKE_SECONDS: dict[str, float] = {}
+
+
+@contextmanager
+def _timed(step: str):
+    began = time.time()
+    yield
+    LAKE_SECONDS[step] = round(time.time() - began, 3)
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
@@ -145,16 +156,24 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
     if lake is not None and FileOps(spark).exists(lake.mart("fact_trips")):
         return lake
     lake = Lake(scratch_path(spark, "lake"))
-    fixture.raw_month(spark, sf_dir, MONTH).write.mode("overwrite").parquet(lake.raw_month(MONTH))
-    fixture.raw_month_drifted(spark, sf_dir, MONTH2).write.mode("overwrite").parquet(lake.raw_month(MONTH2))
-    fixture.zones(spark, sf_dir).coalesce(1).write.mode("overwrite").option("header", True).csv(lake.raw_zones)
-    zones = read_zones_csv(spark, lake.raw_zones)
-    run_months(spark, lake, [MONTH, MONTH2], zones)
-    run_months(spark, lake, [MONTH], zones)
-    evaluate_months(spark, lake, [MONTH])
-    load_months(spark, lake, [MONTH, MONTH2])
-    load_months(spark, lake, [MONTH])
-    build_marts(spark, lake, zones, payment_type_codes(spark))
+    LAKE_SECONDS.clear()
+    with _timed("land_raw"):
+        fixture.raw_month(spark, sf_dir, MONTH).write.mode("overwrite").parquet(lake.raw_month(MONTH))
+        fixture.raw_month_drifted(spark, sf_dir, MONTH2).write.mode("overwrite").parquet(lake.raw_month(MONTH2))
+        fixture.zones(spark, sf_dir).coalesce(1).write.mode("overwrite").option("header", True).csv(lake.raw_zones)
+        zones = read_zones_csv(spark, lake.raw_zones)
+    with _timed("clean_two_months"):
+        run_months(spark, lake, [MONTH, MONTH2], zones)
+    with _timed("clean_rerun"):
+        run_months(spark, lake, [MONTH], zones)
+    with _timed("gate"):
+        evaluate_months(spark, lake, [MONTH])
+    with _timed("load_two_months"):
+        load_months(spark, lake, [MONTH, MONTH2])
+    with _timed("load_rerun"):
+        load_months(spark, lake, [MONTH])
+    with _timed("marts"):
+        build_marts(spark, lake, zones, payment_type_codes(spark))
     _LAKES[key] = lake
     return lake
 

@@ -80,7 +80,7 @@ PAYMENT_TYPE_CODES: list[tuple[int, str]] = [
 ]
 
 # ---------------------------------------------------------------------------
-# Enriched (clean lake) columns appended after the canonical ones.
+# Enriched (clean lake) columns appended after the canonical ones.
 # ---------------------------------------------------------------------------
 ZONE_NAME_COLUMNS = ["pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone"]
 FLAG_COLUMNS = ["passenger_count_missing", "zero_distance", "trip_duration_minutes"]

@@ -9,6 +9,7 @@ from tripmart.contracts import DIM_DATE_END, DIM_DATE_START, NOT_AVAILABLE
 from tripmart.functions.calendar import date_key, day_name, iso_weekday, is_weekend, month_name
 from tripmart.sources.reference import date_series
 
+# Columns of the staging view and of the fact, in their order.
 STG_COLUMNS = [
     "vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_date", "pickup_hour",
     "pickup_location_id", "dropoff_location_id", "payment_type", "rate_code_id", "store_and_fwd_flag",

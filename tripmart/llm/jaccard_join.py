@@ -116,9 +116,12 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _runs(keys: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal keys, and the end."""
-    return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]) if len(keys) else np.zeros(1, int)
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs of rows with equal keys, and the end."""
+    n = len(keys[0])
+    if not n:
+        return np.zeros(1, int)
+    return np.concatenate([[0], np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1, [n]])
 
 
 def _by_key(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -224,7 +227,7 @@ def verified(docs: DataFrame, members: DataFrame, k: int, threshold: float) -> D
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _by_key(frames, "pair"):
             rows: list[tuple] = []
-            at = _runs(pdf["pair"].to_numpy())
+            at = _runs(pdf["pair"].to_numpy(), pdf["root"].to_numpy())
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
                 own = pdf.iloc[lo:hi].drop_duplicates("tid")
                 tile, tid = own["tile"].to_numpy(), own["tid"].to_numpy()
@@ -248,8 +251,8 @@ def verified(docs: DataFrame, members: DataFrame, k: int, threshold: float) -> D
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with")
     pairs = with_sets.select("*", other).select(
         F.xxhash64("root", F.least("tile", "with"), F.greatest("tile", "with")).alias("pair"),
-        (F.col("tile") == F.col("with")).alias("alone"), "tid", "tile", "copies", "shingles")
-    return pairs.repartition("pair").sortWithinPartitions("pair").mapInPandas(run, "tid long, links long, other long")
+        "root", (F.col("tile") == F.col("with")).alias("alone"), "tid", "tile", "copies", "shingles")
+    return pairs.repartition("pair").sortWithinPartitions("pair", "root").mapInPandas(run, "tid long, links long, other long")
 
 
 def _classes(docs: DataFrame, threshold: float, k: int, recall: float) -> DataFrame:

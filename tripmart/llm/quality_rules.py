@@ -3,7 +3,7 @@
 Words are runs of anything but space and \\t..\\r. Base rule: at least 50 words, and
 at most half of them in 3-word windows that occur twice or more. Documents that
 pass it are described by a transformed vector (symbol share, repeated-line share,
-repeated-word share, letter share, mean word length); a minimum-covariance-
+repeated-word share, share of letters and digits, mean word length); a minimum-covariance-
 determinant estimate per (lang, source) gives each a Mahalanobis distance, and
 documents too far out are rejected.
 
@@ -33,12 +33,12 @@ from tripmart.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alnum"]
 P = 5
 #: Least standard deviation of each part of the vector: shares are angles (asin of the root), so 0.04 is a share of 0.0016.
 FLOOR = (0.04, 0.12, 0.12, 0.015, 0.06)
 #: Rejected beyond this squared distance. For 5 normal variables 1 in 10^6 lies beyond 37; clean texts vary more (short ones most).
-MAX_DISTANCE2 = 120.0
+MAX_DISTANCE2 = 95.0
 MIN_ROWS = 60
 MAX_BROADCAST_GROUPS = 20_000
 CHI2_MEDIAN = 4.351  # of 5 degrees of freedom
@@ -60,7 +60,7 @@ def text_stats(text: str | None) -> tuple[int, ...]:
         repeated = sum(covered)
     lines = [line for line in text.split("\n") if WORD.search(line)]
     return (n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated,
-            len(lines), len(re.sub(r"[\W\d_]+", "", text)))
+            len(lines), len(re.sub(r"[\W_]+", "", text)))
 
 
 def stats_column(text):
@@ -79,7 +79,7 @@ def vector(s):
     """The transformed vector, array<double> of P parts."""
     angle = lambda part, whole: F.asin(F.sqrt(F.least(F.lit(1.0), part / F.greatest(whole, F.lit(1)))))
     return F.array(angle(s["n_symbols"], s["word_chars"]), angle(s["n_dup_lines"], s["n_lines"]),
-                   angle(s["n_repeat_words"], s["n_words"]), angle(s["n_letters"], s["word_chars"]),
+                   angle(s["n_repeat_words"], s["n_words"]), angle(s["n_alnum"], s["word_chars"]),
                    F.log(F.greatest(s["word_chars"], F.lit(1)) / F.greatest(s["n_words"], F.lit(1))))
 
 

@@ -244,7 +244,7 @@ def verified(docs: DataFrame, members: DataFrame, k: int, threshold: float) -> D
             yield pd.DataFrame({"tid": pd.array(tids, dtype="int64"), "links": pd.array(counts, dtype="int64"),
                                 "other": pd.array(others, dtype="Int64")})
 
-    with_sets = (docs.select(inner_id(F.col("doc_id")).alias("doc_id"), raw_hash(), "text").join(members, ["doc_id", "raw"])
+    with_sets = (docs.select(inner_id(F.col("doc_id")).alias("doc_id"), raw_hash(), "text").join(members.hint("shuffle_hash"), ["doc_id", "raw"])
                  .select("tid", "root", "tile", "tiles", "copies", "text")
                  .mapInPandas(sets, "tid long, root long, tile int, tiles int, copies long, shingles binary"))
     # every pair of tiles of a component is a group, the pair of a tile with itself too
@@ -297,7 +297,7 @@ def filter_documents(docs: DataFrame, threshold: float = THRESHOLD, k: int = K,
     heads = rows.filter(F.col("tid").isNull() | (F.col("class_id") == F.col("doc_id")) & (F.col("head") == F.col("raw")))
     heads = stored(heads.groupBy("doc_id", "raw").agg(((F.count("*") > 1) & (F.count("tid") > 0)).alias("_once")), "heads")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), inner_id(F.col("doc_id")).alias("doc_id"), raw_hash())
-    got = packed.join(heads, ["doc_id", "raw"])
+    got = packed.join(heads.hint("shuffle_hash"), ["doc_id", "raw"])
     if heads.filter("_once").isEmpty():
         return got.select("doc.*")
     once = got.filter("_once").dropDuplicates(["doc_id", "raw"])

@@ -1,30 +1,37 @@
-"""The command line maps stages to exit codes (run in a separate process)."""
+"""The command line maps stages to exit codes."""
 
 import os
 import subprocess
 import sys
-import tempfile
+
+from tripmart.__main__ import main
+from tripmart.sources import fixture
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF = "/root/testdata/sf0.001"
+
+
+def test_exit_codes_of_the_stages(spark, lake):
+    fixture.raw_month(spark, SF, "2024-01").write.parquet(lake.raw_month("2024-01"))
+    fixture.zones(spark, SF).coalesce(1).write.option("header", True).csv(lake.raw_zones)
+
+    def run(command, *args):
+        return main([command, "--lake", lake.root, *args], spark)
+
+    assert run("clean", "--month", "2024-13") == 2
+    assert run("gate", "--month", "2024-01") == 2  # nothing was cleaned: no summary
+    assert run("clean", "--month", "2024-05") == 1
+    assert run("clean", "--from", "2024-01", "--to", "2024-02") == 1  # 2024-02 is absent, 2024-01 is cleaned all the same
+    assert run("gate", "--month", "2024-01") == 3  # hard rejects above 0.1 %
+    assert run("gate", "--month", "2024-01", "--max-hard-reject-rate", "0.01") == 0
+    assert run("gate", "--month", "2024-01", "--month", "2024-02", "--max-hard-reject-rate", "0.01") == 2
+    assert run("load", "--month", "2024-02") == 1
+    assert run("load", "--month", "2024-01") == 0
+    assert run("marts", "--month", "2024-01") == 3  # trips with unknown zones
+    spark.range(1).count()  # the session stays open
 
 
-def cli(*args):
-    env = {**os.environ, "PYTHONPATH": ROOT}
-    return subprocess.run([sys.executable, "-m", "tripmart", *args, "--master", "local[2]"],
-                          capture_output=True, text=True, timeout=600, env=env, cwd=ROOT)
-
-
-def test_cli_exit_codes(spark):
-    from tripmart.sources import fixture
-    lake = tempfile.mkdtemp(prefix="cli-lake-")
-    sf = "/root/testdata/sf0.001"
-    fixture.raw_month(spark, sf, "2024-01").write.parquet(f"{lake}/raw/yellow/2024-01")
-    fixture.zones(spark, sf).coalesce(1).write.option("header", True).csv(f"{lake}/raw/zones")
-    assert cli("clean", "--lake", lake, "--month", "2024-13").returncode == 2
-    assert cli("clean", "--lake", lake, "--month", "2024-05").returncode == 1
-    assert cli("clean", "--lake", lake, "--from", "2024-01", "--to", "2024-02").returncode == 1  # 2024-02 absent
-    assert cli("clean", "--lake", lake, "--month", "2024-01").returncode == 0
-    assert cli("gate", "--lake", lake, "--month", "2024-01").returncode == 3  # hard rejects above 0.1 %
-    assert cli("gate", "--lake", lake, "--month", "2024-01", "--max-hard-reject-rate", "0.01").returncode == 0
-    assert cli("load", "--lake", lake, "--month", "2024-01").returncode == 0
-    assert cli("marts", "--lake", lake, "--month", "2024-01").returncode == 3  # trips with unknown zones
+def test_own_process(tmp_path):
+    done = subprocess.run([sys.executable, "-m", "tripmart", "gate", "--lake", str(tmp_path), "--month", "2024-01", "--master", "local[1]"],
+                          capture_output=True, text=True, timeout=300, env={**os.environ, "PYTHONPATH": ROOT}, cwd=ROOT)
+    assert done.returncode == 2, done.stderr[-500:]

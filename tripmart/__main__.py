@@ -21,7 +21,8 @@ from tripmart.contracts import DEFAULT_MAX_HARD_REJECT_RATE, DEFAULT_MAX_NON_CLE
 log = logging.getLogger("tripmart")
 
 
-def main(argv=None) -> int:
+def main(argv=None, spark=None) -> int:
+    """Run one command; a session that is passed in is used and left open."""
     p = argparse.ArgumentParser(prog="tripmart", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     p.add_argument("command", choices=["clean", "gate", "load", "marts", "flow"])
     p.add_argument("--lake", required=True, help="lake root (any Hadoop path)")
@@ -56,7 +57,9 @@ def main(argv=None) -> int:
     from tripmart.sources.lake import Lake
     from tripmart.sources.reference import payment_type_codes, read_zones_csv
 
-    spark = build_session(master=args.master) if args.master else SparkSession.builder.getOrCreate()
+    own = spark is None
+    if own:
+        spark = build_session(master=args.master) if args.master else SparkSession.builder.getOrCreate()
     lake = Lake(args.lake)
     try:
         if args.command == "flow":
@@ -94,7 +97,8 @@ def main(argv=None) -> int:
                 log.error("data test failed: %s", t)
             return 3 if failed else 0
     finally:
-        spark.stop()
+        if own:
+            spark.stop()
     return 0
 
 

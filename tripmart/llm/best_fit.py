@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import inner_id, outer_id, slices, stored
+from tripmart.llm.common import freed, inner_id, outer_id, slices, stored
 from tripmart.llm.word_bpe import END, vocabulary_path, word_ids
 
 TOKENS = 4096
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, vocabulary: str | None = None)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = word_ids(path)
-        for pdf in frames:
+        for pdf in freed(frames):
             rows: list[tuple] = []
             ids_of = pdf["doc_id"].tolist()
             for first, texts in slices(pdf["text"].tolist()):

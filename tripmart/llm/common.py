@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -10,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +25,16 @@ SLICE_CHARS = 1_000_000
 
 
 _shipped: set[str] = set()
+#: Rows and bytes that go to a Python worker at once: whole texts are long, and a worker holds a batch several times.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 * 2**20
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors (once a Spark application), so that Python
-    workers can import them wherever they run."""
+    workers can import them wherever they run, and keep the session's Arrow batches small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -42,6 +50,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+@functools.cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to give back by hand
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give the memory of the last batch back to the system (workers live on between tasks)."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def freed(batches: Iterator) -> Iterator:
+    """The batches of a Python worker; what one took is given back before the next."""
+    for batch in batches:
+        yield batch
+        del batch
+        release()
+
+
 def inner_id(column):
     """doc_id as a long without nulls (pandas would turn a column with nulls into doubles)."""
     return F.coalesce(column.cast("long"), F.lit(NULL_ID))

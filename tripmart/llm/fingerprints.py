@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import bucket_of, inner_id, ordered_buckets, outer_id
+from tripmart.llm.common import bucket_of, freed, inner_id, ordered_buckets, outer_id
 from tripmart.llm.shingles import mix
 
 _U = np.uint64
@@ -196,7 +196,7 @@ def fingerprints(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Dat
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket, held, alone = -1, None, False
-        for pdf in frames:
+        for pdf in freed(frames):
             rows = []
             for b, context, key, t in zip(pdf["bucket"].tolist(), pdf["context"].tolist(), pdf["doc_id"].tolist(), pdf["text"].tolist()):
                 if b != bucket:

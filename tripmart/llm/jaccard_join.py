@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import components, inner_id, outer_id, slices, stored
+from tripmart.llm.common import components, freed, inner_id, outer_id, slices, stored
 from tripmart.llm.shingles import mix, shingle_hashes, word_hashes
 
 K = 5
@@ -74,7 +74,7 @@ def raw_hash():
 def signatures(docs: DataFrame, bands: int, rows: int, k: int) -> DataFrame:
     """doc_id (inner), raw (hash of the text as it is), tid (null without words), band hashes, signature (low bytes)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+        for pdf in freed(frames):
             ids, raw = pdf["doc_id"].to_numpy(), pdf["raw"].to_numpy()
             for first, texts in slices(pdf["text"].tolist()):
                 words, w_at = word_hashes(texts)
@@ -127,7 +127,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 def _by_key(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Batches of a partition sorted by ``key``, cut between keys."""
     held: list[pd.DataFrame] = []
-    for pdf in frames:
+    for pdf in freed(frames):
         if not len(pdf):
             continue
         cut = int(np.searchsorted(pdf[key].to_numpy(), pdf[key].iloc[-1], side="left"))
@@ -216,7 +216,7 @@ def verified(docs: DataFrame, members: DataFrame, k: int, threshold: float) -> D
     """members: (doc_id, raw, tid, root, tile, tiles, copies), one row per text. Gives (tid, links)
     rows and (a, b) rows of true links, as (tid, links, other)."""
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+        for pdf in freed(frames):
             for first, texts in slices(pdf["text"].tolist()):
                 words, w_at = word_hashes(texts)
                 sh, at = shingle_hashes(words, w_at, k)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import inner_id, outer_id, slices
+from tripmart.llm.common import freed, inner_id, outer_id, slices
 from tripmart.llm.shingles import hash_runs, joined, shingle_hashes
 
 K = 5
@@ -182,7 +182,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     known = classes(templates or TEMPLATES, containment)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+        for pdf in freed(frames):
             keys = pdf["doc_id"].tolist()
             rows = [(keys[first + i], *rest) for first, texts in slices(pdf["text"].tolist())
                     for i, *rest in scan(texts, known, containment)]

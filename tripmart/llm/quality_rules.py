@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import freed, release, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -66,7 +66,9 @@ def text_stats(text: str | None) -> tuple[int, ...]:
 def stats_column(text):
     @F.pandas_udf(", ".join(f"{c} long" for c in STATS))
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_stats(t) for t in texts], columns=STATS, dtype="int64")
+        out = pd.DataFrame([text_stats(t) for t in texts], columns=STATS, dtype="int64")
+        release()
+        return out
 
     return run(text)
 
@@ -96,7 +98,7 @@ def _distance2(x, model):
 
 def _inverted(frames):
     """Model rows from moments: cov is regularised by FLOOR and inverted, one small matrix a row."""
-    for pdf in frames:
+    for pdf in freed(frames):
         rows = []
         for key, n, s1, s2 in zip(pdf["key"], pdf["n"], pdf["s1"], pdf["s2"]):
             mean = np.asarray(s1, float) / n

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import inner_id, outer_id, slices
+from tripmart.llm.common import freed, inner_id, outer_id, slices
 from tripmart.llm.pieces import PieceMemo
 from tripmart.llm.word_bpe import vocabulary_path
 
@@ -207,7 +207,7 @@ def token_counts(docs: DataFrame, limit: int = LIMIT, model: str | None = None)
     path = model or vocabulary_path("piece_bpe_32k.model")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+        for pdf in freed(frames):
             counts = [count_texts(texts, path) for _, texts in slices(pdf["text"].tolist())]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["n_bytes"], "n_tokens": np.concatenate(counts) if counts else []})
 

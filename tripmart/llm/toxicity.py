@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
+from tripmart.llm.common import freed, stored
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 2**18
@@ -132,7 +132,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
     def extract(frames):
         memo: dict = {}
-        for pdf in frames:
+        for pdf in freed(frames):
             for lo in range(0, len(pdf), 500):
                 part = pdf.iloc[lo:lo + 500]
                 yield pd.DataFrame({"y": part["y"], "buckets": [np.array(sorted(_present(t, None, memo)), np.int32) for t in part["text"]]})
@@ -163,7 +163,7 @@ def score_column(text, model: Model):
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict = {}
-        for texts in batches:
+        for texts in freed(batches):
             yield pd.Series([model.score(_present(t, live, memo)) for t in texts], dtype="float64")
 
     return run(text)

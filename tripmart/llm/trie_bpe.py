@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import inner_id, outer_id, slices
+from tripmart.llm.common import freed, inner_id, outer_id, slices
 from tripmart.llm.pieces import PieceMemo
 from tripmart.llm.word_bpe import ODD, SPECIAL, WORDS, library, parts, vocabulary_path
 
@@ -179,7 +179,7 @@ def _run(docs: DataFrame, path: str, made, schema: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         strings = parts(path)[0]
         memo = encoder(path)
-        for pdf in frames:
+        for pdf in freed(frames):
             rows = []
             for _, texts in slices(pdf["text"].tolist()):
                 flat, at = memo.lookup(texts)

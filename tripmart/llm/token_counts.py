@@ -36,7 +36,7 @@ SPACE = "\u2581"  # the vocabulary's mark of a space
 CHUNK = 65_536
 LIMIT = 4096
 _START = -1  # in the place of a last token: anything may follow
-_MEMO = 150_000
+_MEMO = 300_000
 _UNEVEN = re.compile("^ |  | $|" + SPACE)
 
 
@@ -70,13 +70,17 @@ class Transducer:
 
     def merged(self, text: str) -> list[str]:
         """Best-first merges: the highest score, of equal ones the leftmost."""
-        parts = list(text)
-        while True:
-            best = max(((self.score.get(parts[i] + parts[i + 1], -np.inf), -i) for i in range(len(parts) - 1)), default=(-np.inf, 0))
-            if best[0] == -np.inf:
-                return parts
-            i = -best[1]
+        parts, score, none = list(text), self.score.get, -np.inf
+        joins = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while joins and (best := max(joins)) != none:
+            i = joins.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del joins[i]
+            if i < len(joins):
+                joins[i] = score(parts[i] + parts[i + 1], none)
+            if i:
+                joins[i - 1] = score(parts[i - 1] + parts[i], none)
+        return parts
 
     def follows(self, a: int, b: int) -> bool:
         if a == _START:

@@ -138,6 +138,24 @@ def test_passages_are_found_and_cut(docs, doc_rows, no_docs):
     assert substring_dedup.find(no_docs).count() == 0 and substring_dedup.filter_documents(no_docs).count() == 0
 
 
+def plain(seed, n):
+    return " ".join(prose(seed, n).lower().split())
+
+
+def covered(spark, texts, doc_id):
+    """Words of one document that lie in its passages."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {w for r in substring_dedup.find(docs).filter(f"doc_id = {doc_id}").collect() for w in range(r["start_word"], r["end_word"])}
+
+
+def test_two_passages_with_own_text_between_are_both_found(spark):
+    for size, own in ((60, 50), (60, 100), (100, 150), (100, 250), (200, 400)):
+        one, two = plain(1000 + own, size), plain(2000 + own, size)
+        texts = [" ".join([plain(1, 30), one, plain(2, own), two, plain(3, 30)]), " ".join([plain(4, 40), one, plain(5, own), two, plain(6, 20)])]
+        got = covered(spark, texts, 1)
+        assert {*range(40, 40 + size), *range(40 + size + own, 40 + 2 * size + own)} <= got and len(got) <= 2 * size + 10
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)

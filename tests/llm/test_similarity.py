@@ -156,6 +156,15 @@ def test_two_passages_with_own_text_between_are_both_found(spark):
         assert {*range(40, 40 + size), *range(40 + size + own, 40 + 2 * size + own)} <= got and len(got) <= 2 * size + 10
 
 
+def test_every_copy_inside_the_later_document_is_found(spark):
+    one, phrase = plain(3000, 70), " ".join(plain(3000, 70).split()[20:35])
+    texts = [f"{plain(11, 30)} {one} {plain(12, 30)}", " ".join([plain(13, 10), phrase, plain(14, 10), one, plain(15, 60), one, plain(16, 30), one])]
+    start = 35
+    want = {w for k in (start, start + 130, start + 230) for w in range(k, k + 70)}
+    got = covered(spark, texts, 1)
+    assert want <= got and len(got) <= len(want) + 10
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)

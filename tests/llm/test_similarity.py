@@ -1,5 +1,6 @@
 """Operators 3, 4, 7 and 10 against brute force."""
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -165,6 +166,29 @@ def test_every_copy_inside_the_later_document_is_found(spark):
     assert want <= got and len(got) <= len(want) + 10
 
 
+def test_recall_of_fuzzy_passages(spark):
+    """Substitutions at random places: every such pair is a passage by brute force (same length, words equal in place, both ends equal)."""
+    rng = random.Random(2)
+    texts, want = [], {}
+    for size in (50, 80, 120):
+        for identity in (0.95, 0.9, 0.85, 0.8):
+            for _ in range(20):
+                own = plain(4000 + len(texts), size).split()
+                other = list(own)
+                for i in rng.sample(range(2, size - 2), size - round(size * identity)):
+                    other[i] = f"x{rng.randint(0, 9999)}y"
+                assert sum(a == b for a, b in zip(own, other)) >= 0.8 * size
+                texts.append(" ".join([plain(5000 + len(texts), 30), *own, plain(6000 + len(texts), 30)]))
+                want[len(texts)] = size, identity
+                texts.append(" ".join([plain(7000 + len(texts), 20), *other, plain(8000 + len(texts), 20)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"] for r in substring_dedup.find(docs).collect()}
+    missed = Counter(want[i] for i in want if i not in found)
+    for size in (50, 80, 120):
+        assert missed[size, 0.95] <= 1 and missed[size, 0.9] <= 4
+    assert missed[80, 0.85] <= 5 and missed[120, 0.85] <= 2 and missed[120, 0.8] <= 8
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)

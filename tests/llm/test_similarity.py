@@ -189,6 +189,22 @@ def test_recall_of_fuzzy_passages(spark):
     assert missed[80, 0.85] <= 5 and missed[120, 0.85] <= 2 and missed[120, 0.8] <= 8
 
 
+def test_repeats_made_of_frequent_lines_are_found_whole(spark, monkeypatch):
+    lines = [plain(9000 + i, 30) for i in range(4)]
+    elsewhere = [f"{plain(9100 + 10 * i + j, 30)} {lines[i]} {plain(9200 + 10 * i + j, 30)}" for i in range(4) for j in range(8)]
+    passage = " ".join(lines)
+    half = len(elsewhere) // 2
+    texts = [*[t for k, t in enumerate(elsewhere) if k % 2], f"{plain(9300, 30)} {passage} {plain(9301, 30)}",
+             *[t for k, t in enumerate(elsewhere) if k % 2 == 0], f"{plain(9302, 20)} {passage} {plain(9303, 30)}"]
+    assert len(texts) == 2 * half + 2
+    want = set(range(20, 140))
+    assert covered(spark, texts, len(texts) - 1) == want
+    monkeypatch.setattr(substring_dedup, "HOT", 16)  # frequent seeds dealt by ranges of documents
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 2)
+    monkeypatch.setattr(substring_dedup, "ordered_buckets", lambda *_: [5, 12, 20, 28])
+    assert covered(spark, texts, len(texts) - 1) == want
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import best_fit, fingerprints, jaccard_join, license_scan, quality_rules, repair_output, substring_dedup, token_counts, toxicity, trie_bpe
+from tripmart.llm import (best_fit, collocations, fingerprints, hard_negatives, jaccard_join, license_scan, positional_index, quality_rules,
+                          repair_output, substring_dedup, token_counts, toxicity, trie_bpe)
 from tripmart.llm.common import table
 
 
@@ -49,10 +50,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "containment")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_substring_dedup, op4_fingerprints, op5_token_counts,
-                                   op6_trie_bpe, op7_ngram_jaccard_join, op8_quality_rules, op9_repair_output, op10_license_scan)}
+                                   op6_trie_bpe, op7_ngram_jaccard_join, op8_quality_rules, op9_repair_output, op10_license_scan,
+                                   op11_decontamination, op12_hard_negatives, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_license_scan": license_scan.sql()}
+    return {"op10_license_scan": license_scan.sql(), "op11_decontamination": positional_index.sql(),
+            "op12_hard_negatives": hard_negatives.sql(), "op13_collocations": collocations.sql()}

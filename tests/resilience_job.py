@@ -21,7 +21,7 @@ def main():
     from tripmart.plans import monthly
     from tripmart.session import build_session
     from tripmart.sources import fixture
-    from tripmart.sources.lake import Lake, raw_month_scan
+    from tripmart.sources.lake import Lake, raw_month_scan, read_table
     from tripmart.sources.reference import read_zones_csv
 
     spark = build_session(master="local[4,4]", app="resilience",
@@ -44,7 +44,7 @@ def main():
     monthly.tag_rows = lambda df, m=None: real_tag(df.filter(fail_first_attempt(F.col("vendor_id"))), m)
     res = monthly.run_months(spark, lake, ["2024-01"], zones, raw={"2024-01": raw_month_scan(spark, lake, "2024-01")})
     o = res.outcomes["2024-01"]
-    clean_rows = spark.read.parquet(lake.clean).count()
+    clean_rows = read_table(spark, lake, lake.clean).count()
     print(json.dumps({"rows_in": o.rows_in, "clean": o.rows_clean, "rejected": o.rows_rejected,
                       "reasons_total": o.reasons_total, "published": o.published, "clean_table": clean_rows}))
     spark.stop()

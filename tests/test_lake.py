@@ -9,10 +9,11 @@ from tripmart.plans import monthly
 from tripmart.plans.flow import run_flow
 from tripmart.plans.marts import build_marts, run_data_tests, staging_view
 from tripmart.plans.monthly import MISMATCH, OK, read_run_summaries, run_months
-from tripmart.plans.publish import FileOps
+from tripmart.plans import publish
+from tripmart.plans.publish import FileOps, partitions
 from tripmart.plans.warehouse import load_months, read_audit
 from tripmart.sources import fixture
-from tripmart.sources.lake import read_month_partition, read_raw_months
+from tripmart.sources.lake import read_month_partition, read_raw_months, read_table
 from tripmart.sources.reference import payment_type_codes, read_zones_csv
 
 SF = "/root/testdata/sf0.001"
@@ -27,8 +28,8 @@ def land(spark, lake, months=("2024-01",), drift_second=True):
 
 
 def counts(spark, lake):
-    c = {(r["year"], r["month"]): r["count"] for r in spark.read.parquet(lake.clean).groupBy("year", "month").count().collect()}
-    r = {r["source_month"]: r["count"] for r in spark.read.parquet(lake.rejected).groupBy("source_month").count().collect()}
+    c = {(r["year"], r["month"]): r["count"] for r in read_table(spark, lake, lake.clean).groupBy("year", "month").count().collect()}
+    r = {r["source_month"]: r["count"] for r in read_table(spark, lake, lake.rejected).groupBy("source_month").count().collect()}
     return c, r
 
 
@@ -59,15 +60,15 @@ def test_rerun_is_idempotent(spark, lake):
 def test_rerun_with_zero_rejected_rows_removes_stale_partition_t11(spark, lake):
     zones = land(spark, lake)
     run_months(spark, lake, ["2024-01"], zones)
-    assert FileOps(spark).exists(f"{lake.rejected}/source_month=2024-01")
+    assert list(partitions(FileOps(spark), lake, lake.rejected)) == ["source_month=2024-01"]
     # The corrected month has only clean rows now.
     std = read_raw_months(spark, lake, ["2024-01"])
     from tripmart.operators.clean import tag_rows
     good_only = tag_rows(std, "2024-01").filter("reject_reason IS NULL").drop("reject_reason")
     res = run_months(spark, lake, ["2024-01"], zones, raw={"2024-01": good_only})
     assert res.ok and res.outcomes["2024-01"].rows_rejected == 0
-    assert not FileOps(spark).exists(f"{lake.rejected}/source_month=2024-01")
-    assert spark.read.parquet(lake.clean).count() == 947
+    assert not partitions(FileOps(spark), lake, lake.rejected)
+    assert read_table(spark, lake, lake.clean).count() == 947
 
 
 def test_mismatch_publishes_nothing(spark, lake, monkeypatch):
@@ -106,15 +107,15 @@ def test_one_month_folder_may_hold_both_schemas(spark, lake):
         assert std.agg(F.count("*"), F.count("cbd_congestion_fee"), F.count("airport_fee")).first()[:2] == (2000, 1000)
         res = run_months(spark, lake, ["2024-02"], zones)
         assert res.ok and res.outcomes["2024-02"].rows_in == 2000
-        assert spark.read.parquet(lake.clean).filter("month = 2 AND cbd_congestion_fee IS NOT NULL").count() > 900
+        assert read_table(spark, lake, lake.clean).filter("month = 2 AND cbd_congestion_fee IS NOT NULL").count() > 900
 
 
 def test_single_partition_selection_a5(spark, lake):
     zones = land(spark, lake, ("2024-01", "2024-02"))
     run_months(spark, lake, ["2024-01", "2024-02"], zones)
-    df = read_month_partition(spark, lake.clean, 2024, 1)
+    df = read_month_partition(spark, lake, lake.clean, 2024, 1)
     assert df.count() == 947 and {"year", "month"} <= set(df.columns)
-    assert read_month_partition(spark, lake.clean, 2030, 1).count() == 0
+    assert read_month_partition(spark, lake, lake.clean, 2030, 1).count() == 0
 
 
 def test_load_is_idempotent_and_audited(spark, lake):
@@ -189,9 +190,9 @@ def test_static_overwrite_replaces_the_whole_directory_t12(spark, lake):
 def test_timestamps_stay_ntz(spark, lake):
     zones = land(spark, lake)
     run_months(spark, lake, ["2024-01"], zones)
-    types = dict(spark.read.parquet(lake.clean).dtypes)
+    types = dict(read_table(spark, lake, lake.clean).dtypes)
     assert types["pickup_datetime"] == "timestamp_ntz"
-    first = spark.read.parquet(lake.clean).agg(F.min("pickup_datetime")).first()[0]
+    first = read_table(spark, lake, lake.clean).agg(F.min("pickup_datetime")).first()[0]
     assert isinstance(first, datetime) and first.tzinfo is None
 
 
@@ -204,10 +205,12 @@ def test_incremental_fact_rebuild_touches_only_given_months(spark, lake):
     full = read_marts(spark, lake)["fact_trips"]
     assert len(full.columns) == 24
     n_full = full.count()
-    feb_files = sorted(FileOps(spark).list_files(f"{lake.mart('fact_trips')}/year=2024/month=2", ".parquet"))
+    feb = partitions(FileOps(spark), lake, lake.mart("fact_trips"))["year=2024/month=2"]
+    feb_files = sorted(FileOps(spark).list_files(feb, ".parquet"))
     build_marts(spark, lake, zones, payment_type_codes(spark), months=["2024-01"])
     assert read_marts(spark, lake)["fact_trips"].count() == n_full
-    assert sorted(FileOps(spark).list_files(f"{lake.mart('fact_trips')}/year=2024/month=2", ".parquet")) == feb_files
+    assert partitions(FileOps(spark), lake, lake.mart("fact_trips"))["year=2024/month=2"] == feb
+    assert feb_files and sorted(FileOps(spark).list_files(feb, ".parquet")) == feb_files
 
 
 def test_data_tests_scoped_to_months(spark, lake):
@@ -223,12 +226,12 @@ def test_data_tests_scoped_to_months(spark, lake):
 
 
 def test_register_table_refreshes_statistics_b10(spark, lake):
-    from tripmart.plans.flow import register_table
+    from tripmart.plans.flow import register_lake_table
     zones = land(spark, lake)
     run_months(spark, lake, ["2024-01"], zones)
     load_months(spark, lake, ["2024-01"])
     from tripmart.plans.flow import analyze_months
-    register_table(spark, "t_staging_yellow_trips", lake.staging_table, partitioned=True, analyze=True)
+    register_lake_table(spark, "t_staging_yellow_trips", lake, lake.staging_table, analyze=True)
     stats = spark.sql("DESCRIBE TABLE EXTENDED t_staging_yellow_trips").filter("col_name = 'Statistics'").first()
     assert stats is not None and "947 rows" in stats["data_type"]
     assert spark.table("t_staging_yellow_trips").filter("year = 2024 AND month = 1").count() == 947
@@ -290,7 +293,7 @@ def test_failing_load_job_is_audited_and_raised(spark, lake):
         load_months(spark, lake, ["2024-01"])
     last = read_audit(spark, lake).orderBy(F.desc("load_id")).first()
     assert last["status"] == "failed" and last["rows_loaded"] is None and len(last["error_message"]) <= 1000
-    assert not FileOps(spark).exists(f"{lake.staging_table}/year=2024/month=1")
+    assert not partitions(FileOps(spark), lake, lake.staging_table)
 
 
 def test_contract_failure_of_one_month_does_not_block_another(spark, lake):
@@ -322,91 +325,41 @@ def test_flow_months_progress_independently(spark, lake):
     assert loaded == {"2024-01"}
 
 
-class Stopping(FileOps):
-    """Fails the n-th rename; ``error`` other than Exception stands for a lost driver."""
-
-    def __init__(self, spark, n, error=OSError):
-        super().__init__(spark)
-        self.left, self.error = n, error
-
-    def rename(self, src, dst):
-        self.left -= 1
-        if self.left == 0:
-            raise self.error("simulated")
-        return super().rename(src, dst)
-
-
-def test_swap_survives_a_failure_or_a_stop_between_any_two_steps(spark, lake):
-    from tripmart.plans import publish
-    zones = land(spark, lake, ("2024-01", "2024-02"))
-    run_months(spark, lake, ["2024-01", "2024-02"], zones)
-    whole = spark.read.parquet(lake.clean).count()
-    jan = counts(spark, lake)[0][(2024, 1)]
-    ops = FileOps(spark)
-
-    def rows():
-        assert all(d.startswith("year=") for d in ops.list_dirs(lake.clean))  # nothing is ever moved aside inside the table
-        return spark.read.parquet(lake.clean).count()
-
-    def staged():
-        path = lake.work("swap")
-        ops.delete(path)
-        spark.read.parquet(lake.clean).filter("month = 1").limit(10).write.partitionBy("year", "month").parquet(path)
-        return path
-
-    for n in (1, 2):
-        with pytest.raises(OSError):
-            publish.replace_partition(Stopping(spark, n), staged(), lake.clean, "year=2024/month=1", lake.journal)
-        assert rows() == whole and ops.list_dirs(lake.journal) == []
-    for n in (1, 2):  # the process ends there: the table stays readable, and the next run restores the month
-        with pytest.raises(KeyboardInterrupt):
-            publish.replace_partition(Stopping(spark, n, KeyboardInterrupt), staged(), lake.clean, "year=2024/month=1", lake.journal)
-        assert rows() == (whole if n == 1 else whole - jan)
-        assert publish.recover_swaps(ops, lake.journal) == [f"{lake.clean}/year=2024/month=1"]
-        assert rows() == whole and ops.list_dirs(lake.journal) == []
-
-    class NoDelete(FileOps):
-        def delete(self, p):
-            raise KeyboardInterrupt  # after the new folder is in place
-    with pytest.raises(KeyboardInterrupt):
-        publish.replace_partition(NoDelete(spark), staged(), lake.clean, "year=2024/month=1", lake.journal)
-    assert rows() == whole - jan + 10
-    publish.recover_swaps(ops, lake.journal)
-    assert rows() == whole - jan + 10 and ops.list_dirs(lake.journal) == []
-    publish.replace_partition(ops, lake.work("none"), lake.clean, "year=2024/month=1", lake.journal)
-    assert rows() == whole - jan
-    run_months(spark, lake, ["2024-01"], zones)
-    assert rows() == whole
-
-
-def test_forced_ingest_keeps_the_old_month_when_the_swap_fails(spark, lake, monkeypatch):
+def test_forced_ingest_keeps_the_old_month_when_the_publish_fails(spark, lake, monkeypatch):
     from tripmart.plans import ingest
+    from tripmart.sources.lake import raw_folder
     landed = lake.work("landed")
     fixture.raw_month(spark, SF).write.parquet(landed)
     assert ingest.ingest_month(spark, lake, "2024-01", landed) == "published"
-    for n in (1, 2):
-        monkeypatch.setattr(ingest, "FileOps", lambda s, n=n: Stopping(s, n))
+    assert ingest.ingest_month(spark, lake, "2024-01", landed) == "skipped"
+    before = raw_folder(spark, lake, "2024-01")
+
+    def refuses(*_):
+        raise OSError("simulated failure")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "commit", refuses)
         with pytest.raises(OSError):
             ingest.ingest_month(spark, lake, "2024-01", landed, force=True)
-        monkeypatch.setattr(ingest, "FileOps", FileOps)
-        assert spark.read.parquet(lake.raw_month("2024-01")).count() == 1000
-        assert FileOps(spark).list_dirs(lake.raw_trips) == ["2024-01"]
+    assert raw_folder(spark, lake, "2024-01") == before and spark.read.parquet(before).count() == 1000
+    assert len(FileOps(spark).list_dirs(lake.raw_month("2024-01"))) == 1  # nothing of the failed one is left
+    assert ingest.ingest_month(spark, lake, "2024-01", landed, force=True) == "published"
+    assert raw_folder(spark, lake, "2024-01") != before
+    fixture.zones(spark, SF).coalesce(1).write.option("header", True).csv(lake.raw_zones)
+    assert run_months(spark, lake, ["2024-01"], read_zones_csv(spark, lake.raw_zones)).outcomes["2024-01"].rows_in == 1000
 
 
 def test_every_failure_of_a_load_is_audited(spark, lake, monkeypatch):
     from tripmart.plans import warehouse
     zones = land(spark, lake, ("2024-01", "2024-02"))
     run_months(spark, lake, ["2024-01", "2024-02"], zones)
-    real = warehouse.replace_partition
 
-    def second_fails(ops, staged, target, part, journal):
-        if part.endswith("month=2"):
-            raise OSError("simulated swap failure")
-        real(ops, staged, target, part, journal)
-    monkeypatch.setattr(warehouse, "replace_partition", second_fails)
-    out = load_months(spark, lake, ["2024-01", "2024-02"])
-    assert {m: o.status for m, o in out.items()} == {"2024-01": "success", "2024-02": "failed"}
-    monkeypatch.setattr(warehouse, "replace_partition", real)
+    def refuses(*_):
+        raise OSError("simulated failure of the commit")
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "commit", refuses)
+        assert {m: o.status for m, o in load_months(spark, lake, ["2024-01", "2024-02"]).items()} == {"2024-01": "failed", "2024-02": "failed"}
+    assert not partitions(FileOps(spark), lake, lake.staging_table)
+    assert load_months(spark, lake, ["2024-01"])["2024-01"].status == "success"
 
     def unreadable(*_):
         raise RuntimeError("simulated read-back failure")
@@ -415,19 +368,20 @@ def test_every_failure_of_a_load_is_audited(spark, lake, monkeypatch):
         load_months(spark, lake, ["2024-01", "2024-02"])
     audit = [(r["source_month"], r["status"], (r["error_message"] or "").split(":")[0])
              for r in read_audit(spark, lake).orderBy("load_id").collect()]
-    assert audit == [("2024-01", "success", ""), ("2024-02", "failed", "OSError"),
+    assert audit == [("2024-01", "failed", "OSError"), ("2024-02", "failed", "OSError"), ("2024-01", "success", ""),
                      ("2024-01", "failed", "RuntimeError"), ("2024-02", "failed", "RuntimeError")]
-    assert not [d for d in FileOps(spark).list_dirs(lake.work("")) if d.startswith("load-")]
+    assert len(FileOps(spark).list_dirs(lake.staging_table)) == 1  # no folder of a failed load is left
     assert staging_view(spark, lake).count() == 947
 
 
 def test_load_refuses_columns_outside_the_contract(spark, lake):
     zones = land(spark, lake)
     run_months(spark, lake, ["2024-01"], zones)
-    extra = spark.read.parquet(lake.clean).withColumn("surprise", F.lit(1))
+    extra = read_table(spark, lake, lake.clean).withColumn("surprise", F.lit(1))
     extra.write.partitionBy("year", "month").parquet(lake.work("extra"))
-    FileOps(spark).delete(lake.clean)
-    FileOps(spark).rename(lake.work("extra"), lake.clean)
+    with publish.writing(spark, lake) as lease:
+        FileOps(spark).rename(f"{lake.work('extra')}/year=2024/month=1", f"{lake.clean}/version=vextra/year=2024/month=1")
+        publish.commit(lease, {(lake.clean, "year=2024/month=1"): f"{lake.clean}/version=vextra/year=2024/month=1"})
     out = load_months(spark, lake, ["2024-01"])
     assert out["2024-01"].status == "failed" and "surprise" in out["2024-01"].error
     assert read_audit(spark, lake).first()["status"] == "failed"
@@ -438,9 +392,10 @@ def test_full_fact_rebuild_drops_months_gone_from_staging(spark, lake):
     run_months(spark, lake, ["2024-01", "2024-02"], zones)
     load_months(spark, lake, ["2024-01", "2024-02"])
     build_marts(spark, lake, zones, payment_type_codes(spark))
-    FileOps(spark).delete(f"{lake.staging_table}/year=2024/month=2")
+    with publish.writing(spark, lake) as lease:
+        publish.commit(lease, {(lake.staging_table, "year=2024/month=2"): None})
     build_marts(spark, lake, zones, payment_type_codes(spark))
-    assert spark.read.parquet(lake.mart("fact_trips")).count() == staging_view(spark, lake).count() == 947
+    assert read_table(spark, lake, lake.mart("fact_trips")).count() == staging_view(spark, lake).count() == 947
 
 
 def test_batched_backfill_equals_one_job(spark, lake):

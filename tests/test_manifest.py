@@ -9,6 +9,7 @@ from tripmart.operators.manifest import file_checksums, file_manifest, lake_list
 from tripmart.plans.ingest import ingest_month, ingest_zones, publish_validated, read_ingestion_log
 from tripmart.plans.publish import FileOps
 from tripmart.sources import fixture
+from tripmart.sources.lake import raw_folder
 from tripmart.sources.reference import (
     ValidationError, read_csv_inferred, read_zone_seed, schema_rows, validate_parquet_file, validate_zones_file,
 )
@@ -84,7 +85,7 @@ def test_ingest_publishes_once_and_logs(spark, lake):
     assert ingest_month(spark, lake, "2024-01", landed, "https://example.invalid/m.parquet") == "published"
     assert ingest_month(spark, lake, "2024-01", landed) == "skipped"
     assert ingest_month(spark, lake, "2024-01", landed, force=True) == "published"
-    assert spark.read.parquet(lake.raw_month("2024-01")).count() == 1000
+    assert spark.read.parquet(raw_folder(spark, lake, "2024-01")).count() == 1000
     log = read_ingestion_log(spark, lake).collect()
     landed_files = {r["path"]: (r["bytes"], r["sha256"]) for r in file_checksums(spark, landed).collect()}
     assert all(r["rows"] == 1000 for r in log) and len(log) == 2 * len(landed_files)
@@ -96,8 +97,7 @@ def test_failed_validation_leaves_nothing(spark, lake):
     df = fixture.raw_month(spark, SF)
     with pytest.raises(ValidationError):
         publish_validated(spark, df, lake, lake.raw_month("2024-01"), expected_rows=5)
-    parent = lake.root + "/raw/yellow"
-    assert FileOps(spark).list_dirs(parent) == []
+    assert raw_folder(spark, lake, "2024-01") is None and FileOps(spark).list_dirs(lake.raw_month("2024-01")) == []
 
 
 def test_ingest_zones_and_typed_seed_reads(spark, lake):

@@ -55,7 +55,7 @@ def main(argv=None, spark=None) -> int:
     from tripmart.plans.warehouse import load_months
     from tripmart.session import build_session
     from tripmart.sources.lake import Lake
-    from tripmart.sources.reference import payment_type_codes, read_zones_csv
+    from tripmart.sources.reference import payment_type_codes, read_lake_zones
 
     own = spark is None
     if own:
@@ -72,7 +72,7 @@ def main(argv=None, spark=None) -> int:
                 log.error("data test failed: %s", t)
             return res.code
         if args.command == "clean":
-            res = run_months_batched(spark, lake, months, read_zones_csv(spark, lake.raw_zones))
+            res = run_months_batched(spark, lake, months, read_lake_zones(spark, lake))
             for o in res.outcomes.values():
                 log.info("%s in=%d clean=%d rejected=%d published=%s", o.month, o.rows_in, o.rows_clean,
                          o.rows_rejected, o.published)
@@ -91,7 +91,7 @@ def main(argv=None, spark=None) -> int:
                 return 1
             return 0 if all(o.status == "success" for o in out.values()) else 3
         if args.command == "marts":
-            build_marts(spark, lake, read_zones_csv(spark, lake.raw_zones), payment_type_codes(spark), months=months)
+            build_marts(spark, lake, read_lake_zones(spark, lake), payment_type_codes(spark), months=months)
             failed = [r["test_name"] for r in run_data_tests(spark, lake, months).filter("NOT passed").collect()]
             for t in failed:
                 log.error("data test failed: %s", t)

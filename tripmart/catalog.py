@@ -23,20 +23,20 @@ from tripmart.contracts import MONEY_COLUMNS, REASON_ORDER
 from tripmart.functions.money import money_sum
 from tripmart.functions.months import month_bounds, valid_month_col
 from tripmart.operators import clean as C
-from tripmart.operators import dq, marts, profile, quality, reports
+from tripmart.operators import dq, marts, profile, quality, report_states, reports
 from tripmart.operators.manifest import sync_plan
 from tripmart.operators.warehouse import contract_violations, to_staging
 from tripmart.plans.flow import run_flow
 from tripmart.plans.gate import evaluate_months, read_gate_reports
-from tripmart.plans.marts import build_marts, staging_view
+from tripmart.plans.marts import build_marts, read_report_state, staging_view
 from tripmart.plans.monthly import read_run_summaries, run_months
 from tripmart.plans.publish import FileOps
 from tripmart.plans.warehouse import load_months, read_audit
 from tripmart.presentation import NULLABLE_INT_OUTPUTS
 from tripmart.session import scratch_path
 from tripmart.sources import fixture
-from tripmart.sources.lake import Lake, read_parquet, read_partitioned, read_raw_months
-from tripmart.sources.reference import payment_type_codes, read_zones_csv
+from tripmart.sources.lake import Lake, read_parquet, read_partitioned, read_raw_months, read_table
+from tripmart.sources.reference import payment_type_codes, read_lake_zones
 
 MONTH = fixture.FIXTURE_MONTH
 MONTH2 = fixture.SECOND_MONTH
@@ -161,7 +161,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
         fixture.raw_month(spark, sf_dir, MONTH).write.mode("overwrite").parquet(lake.raw_month(MONTH))
         fixture.raw_month_drifted(spark, sf_dir, MONTH2).write.mode("overwrite").parquet(lake.raw_month(MONTH2))
         fixture.zones(spark, sf_dir).coalesce(1).write.mode("overwrite").option("header", True).csv(lake.raw_zones)
-        zones = read_zones_csv(spark, lake.raw_zones)
+        zones = read_lake_zones(spark, lake)
     with _timed("clean_two_months"):
         run_months(spark, lake, [MONTH, MONTH2], zones)
     with _timed("clean_rerun"):
@@ -178,10 +178,9 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
-def written_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """2024-01 of the materialised fact (one partition, only the columns a report needs are read)."""
-    lake = fixture_lake(spark, sf_dir)
-    return read_partitioned(spark, lake.mart("fact_trips")).filter("year = 2024 AND month = 1").drop("year", "month")
+def fact_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sums of all months of the materialised fact: reports over the whole fact read these alone."""
+    return read_report_state(spark, fixture_lake(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -195,7 +194,7 @@ def q_scan_raw_month(spark, d):
 
 def q_scan_partition_filtered(spark, d):
     lake = fixture_lake(spark, d)
-    df = read_partitioned(spark, lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 2))
+    df = read_table(spark, lake, lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 2))
     return _dur_double(df)
 
 
@@ -212,12 +211,12 @@ def q_date_series(spark, d):
 
 def q_write_clean_readback(spark, d):
     lake = fixture_lake(spark, d)
-    return _dur_double(read_partitioned(spark, lake.clean))
+    return _dur_double(read_table(spark, lake, lake.clean))
 
 
 def q_write_rejected_readback(spark, d):
     lake = fixture_lake(spark, d)
-    return read_partitioned(spark, lake.rejected)
+    return read_table(spark, lake, lake.rejected)
 
 
 def q_write_static_readback(spark, d):
@@ -249,7 +248,7 @@ def q_load_failures(spark, d):
     source = fixture_lake(spark, d)
     lake = Lake(scratch_path(spark, "failing-lake"))
     for month in (MONTH, MONTH2):
-        rows = read_partitioned(spark, source.clean).filter(F.format_string("%04d-%02d", "year", "month") == month)
+        rows = read_table(spark, source, source.clean).filter(F.format_string("%04d-%02d", "year", "month") == month)
         if month == MONTH2:
             rows = rows.withColumn("zero_distance", F.when(F.col("vendor_id") == 2, F.col("zero_distance")))
         rows.write.partitionBy("year", "month").mode("append").parquet(lake.clean)
@@ -409,7 +408,7 @@ def q_quality_by_month(spark, d):
 
 
 def q_trips_by_hour_dense(spark, d):
-    return reports.trips_by_hour_dense(spark, written_fact(spark, d))
+    return report_states.trips_by_hour_dense(spark, fact_states(spark, d))
 
 
 # ---------------------------------------------------------------------------
@@ -461,43 +460,44 @@ def q_sample_rows(spark, d):
 
 
 def q_kpi(spark, d):
-    return reports.kpi(written_fact(spark, d))
+    return report_states.kpi(fact_states(spark, d))
 
 
 def q_card_tip_rate(spark, d):
-    return reports.card_tip_rate(written_fact(spark, d))
+    return report_states.card_tip_rate(fact_states(spark, d))
 
 
 def q_date_range(spark, d):
-    return _dates_as_timestamps(reports.date_range(written_fact(spark, d), Chain(spark, d).dim_date), {"first_date", "last_date"})
+    return _dates_as_timestamps(report_states.date_range(fact_states(spark, d), Chain(spark, d).dim_date), {"first_date", "last_date"})
 
 
 def _mart(spark, d, name):
-    return spark.read.parquet(fixture_lake(spark, d).mart(name))
+    lake = fixture_lake(spark, d)
+    return read_table(spark, lake, lake.mart(name))
 
 
 def q_trips_by_borough(spark, d):
-    return reports.trips_by_borough(written_fact(spark, d), _mart(spark, d, "dim_zone"))
+    return report_states.trips_by_borough(fact_states(spark, d), _mart(spark, d, "dim_zone"))
 
 
 def q_top_zones(spark, d):
-    return reports.top_zones(written_fact(spark, d), _mart(spark, d, "dim_zone"))
+    return report_states.top_zones(fact_states(spark, d), _mart(spark, d, "dim_zone"))
 
 
 def q_trips_by_hour(spark, d):
-    return reports.trips_by_hour(written_fact(spark, d))
+    return report_states.trips_by_hour(fact_states(spark, d))
 
 
 def q_weekday_avg(spark, d):
-    return reports.weekday_avg(written_fact(spark, d), Chain(spark, d).dim_date)
+    return report_states.weekday_avg(fact_states(spark, d), Chain(spark, d).dim_date)
 
 
 def q_payments(spark, d):
-    return reports.payments(written_fact(spark, d), _mart(spark, d, "dim_payment_type"))
+    return report_states.payments(fact_states(spark, d), _mart(spark, d, "dim_payment_type"))
 
 
 def q_payment_share(spark, d):
-    return reports.payment_share(written_fact(spark, d), _mart(spark, d, "dim_payment_type"))
+    return report_states.payment_share(fact_states(spark, d), _mart(spark, d, "dim_payment_type"))
 
 
 def q_latest_reject_reasons(spark, d):
@@ -508,17 +508,17 @@ def q_latest_reject_reasons(spark, d):
 
 def q_partition_counts(spark, d):
     lake = fixture_lake(spark, d)
-    return profile.partition_counts(read_partitioned(spark, lake.clean))
+    return profile.partition_counts(read_table(spark, lake, lake.clean))
 
 
 def q_rejected_breakdown(spark, d):
     lake = fixture_lake(spark, d)
-    return profile.rejected_breakdown(read_partitioned(spark, lake.rejected))
+    return profile.rejected_breakdown(read_table(spark, lake, lake.rejected))
 
 
 def q_clean_flag_sums(spark, d):
     lake = fixture_lake(spark, d)
-    clean = read_partitioned(spark, lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 1))
+    clean = read_table(spark, lake, lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 1))
     return profile.clean_flag_sums(clean)
 
 
@@ -612,9 +612,9 @@ def q_contract_violations(spark, d):
 def q_reconcile(spark, d):
     lake = fixture_lake(spark, d)
     runs = read_run_summaries(spark, lake)
-    clean_back = (read_partitioned(spark, lake.clean).groupBy(
+    clean_back = (read_table(spark, lake, lake.clean).groupBy(
         F.format_string("%04d-%02d", "year", "month").alias("month")).agg(F.count(F.lit(1)).alias("clean_out")))
-    rej_back = (read_partitioned(spark, lake.rejected).groupBy(F.col("source_month").alias("month"))
+    rej_back = (read_table(spark, lake, lake.rejected).groupBy(F.col("source_month").alias("month"))
                 .agg(F.count(F.lit(1)).alias("rejected_out")))
     reasons = quality.reasons_long(runs).groupBy("month").agg(F.sum("rows").cast("bigint").alias("reasons_total"))
     j = runs.select("month", "rows_in").join(clean_back, "month", "left").join(rej_back, "month", "left") \
@@ -649,15 +649,15 @@ def q_flow_outcome(spark, d):
     source, lake = fixture_lake(spark, d), Lake(scratch_path(spark, "flow-lake"))
     for month in (MONTH, MONTH2):
         spark.read.parquet(source.raw_month(month)).write.parquet(lake.raw_month(month))
-    zones = read_zones_csv(spark, source.raw_zones)
+    zones = read_lake_zones(spark, source)
     zones.coalesce(1).write.option("header", True).csv(lake.raw_zones)
-    used = spark.read.parquet(source.clean).select(F.explode(F.array("pickup_location_id", "dropoff_location_id")).alias("id")).distinct()
+    used = read_table(spark, source, source.clean).select(F.explode(F.array("pickup_location_id", "dropoff_location_id")).alias("id")).distinct()
     unknown = used.join(zones.select(F.col("LocationID").cast("int").alias("id")), "id", "left_anti").select(
         F.col("id").cast("string").alias("LocationID"), F.lit("NONE").alias("Borough"), F.lit("NONE").alias("Zone"),
         F.lit(None).cast("string").alias("service_zone"))
     res = run_flow(spark, lake, [MONTH, MONTH2, "2024-03"], zone_seed=zones.unionByName(unknown),
                    max_non_clean_rate=1.0, max_hard_reject_rate=1.0)
-    rows = read_partitioned(spark, lake.mart("fact_trips")).groupBy(
+    rows = read_table(spark, lake, lake.mart("fact_trips")).groupBy(
         F.format_string("%04d-%02d", "year", "month").alias("month")).agg(F.count(F.lit(1)).alias("fact_rows"))
     return spark.createDataFrame(sorted(res.month_status.items()), "month string, status string").join(rows, "month", "left").select(
         "month", "status", F.coalesce("fact_rows", F.lit(0)).alias("fact_rows"))
@@ -671,10 +671,10 @@ def q_gate_two_months(spark, d):
 
 def q_backfill_two_months(spark, d):
     lake = fixture_lake(spark, d)
-    c = read_partitioned(spark, lake.clean).groupBy(
+    c = read_table(spark, lake, lake.clean).groupBy(
         F.format_string("year=%d/month=%d", "year", "month").alias("partition")).agg(F.count(F.lit(1)).alias("rows")) \
         .withColumn("dataset", F.lit("yellow_trips"))
-    r = (read_partitioned(spark, lake.rejected)
+    r = (read_table(spark, lake, lake.rejected)
          .groupBy(F.concat(F.lit("source_month="), F.col("source_month")).alias("partition"))
          .agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("rejected_trips")))
     return c.unionByName(r).select("dataset", "partition", "rows")

@@ -49,14 +49,22 @@ def _by_key(fact: DataFrame, key: str, *extra) -> DataFrame:
 
 def date_range(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """First / last calendar date with trips, through the date dimension."""
-    days = _by_key(fact, "pickup_date_key")
+    return date_range_of(_by_key(fact, "pickup_date_key"), dim_date)
+
+
+def date_range_of(days: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from trips per pickup_date_key."""
     joined = days.join(dim_date, days.pickup_date_key == dim_date.date_key, "inner")
     return joined.agg(F.min("full_date").alias("first_date"), F.max("full_date").alias("last_date"))
 
 
 def trips_by_borough(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
     """Trips per pickup borough, most first."""
-    per_zone = _by_key(fact, "pickup_zone_key")
+    return boroughs_of(_by_key(fact, "pickup_zone_key"), dim_zone)
+
+
+def boroughs_of(per_zone: DataFrame, dim_zone: DataFrame) -> DataFrame:
+    """The same from trips per pickup_zone_key."""
     joined = per_zone.join(dim_zone, per_zone.pickup_zone_key == dim_zone.zone_key, "inner")
     return (joined.groupBy("borough").agg(F.sum("trips").cast("bigint").alias("trips"))
             .orderBy(F.desc("trips"), F.asc("borough")))
@@ -64,7 +72,11 @@ def trips_by_borough(fact: DataFrame, dim_zone: DataFrame) -> DataFrame:
 
 def top_zones(fact: DataFrame, dim_zone: DataFrame, k: int = 10) -> DataFrame:
     """Top-k pickup zone NAMES by trips; equal names merge, ties break by name."""
-    per_zone = _by_key(fact, "pickup_zone_key")
+    return top_zones_of(_by_key(fact, "pickup_zone_key"), dim_zone, k)
+
+
+def top_zones_of(per_zone: DataFrame, dim_zone: DataFrame, k: int = 10) -> DataFrame:
+    """The same from trips per pickup_zone_key."""
     joined = per_zone.join(dim_zone, per_zone.pickup_zone_key == dim_zone.zone_key, "inner")
     return (joined.groupBy("zone_name").agg(F.sum("trips").cast("bigint").alias("trips"))
             .orderBy(F.desc("trips"), F.asc("zone_name")).limit(k))
@@ -81,8 +93,12 @@ def trips_by_hour_dense(spark: SparkSession, fact: DataFrame) -> DataFrame:
     The per-hour counts hold at most 25 rows (hour() is 0-23 or NULL), a
     bound fixed by the expression's domain, so they are broadcast.
     """
+    return dense_hours(spark, fact.groupBy("pickup_hour").agg(F.count(F.lit(1)).alias("trips")))
+
+
+def dense_hours(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """The same from trips per pickup_hour."""
     hours = spark.range(24).select(F.col("id").cast("int").alias("pickup_hour"))
-    counts = fact.groupBy("pickup_hour").agg(F.count(F.lit(1)).alias("trips"))
     return (hours.join(F.broadcast(counts), "pickup_hour", "left")
             .select("pickup_hour", F.coalesce("trips", F.lit(0)).cast("bigint").alias("trips"))
             .orderBy("pickup_hour"))
@@ -94,22 +110,29 @@ def weekday_avg(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     Counting per date first makes the distinct count exact and cheap: each
     date is one row after the first aggregate.
     """
-    days = _by_key(fact, "pickup_date_key")
+    return weekday_avg_of(_by_key(fact, "pickup_date_key"), dim_date)
+
+
+def weekday_avg_of(days: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from trips per pickup_date_key."""
     joined = days.join(dim_date, days.pickup_date_key == dim_date.date_key, "inner")
     return (joined.groupBy("day_of_week", "day_name")
             .agg(_r6(F.sum("trips").cast("double") / F.count_distinct("full_date")).alias("avg_trips_per_day"))
             .orderBy("day_of_week"))
 
 
-def _per_payment(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
-    """Per payment name: trips, exact money sums and counts, and the trips of the whole fact (one scan)."""
+def _per_payment(fact: DataFrame) -> DataFrame:
+    """Per payment type: trips, exact money sums and counts, and the trips of the whole fact (one scan)."""
     per_key = fact.groupBy("payment_type_key").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("total_amount").alias("_st"), F.count("total_amount").alias("_nt"),
         F.sum("tip_amount").alias("_sp"), F.count("tip_amount").alias("_np"),
     )
     # a handful of keys: their total is taken before the inner join drops unknown ones
-    per_key = per_key.withColumn("_all", F.sum("trips").over(Window.partitionBy(F.lit(1))))
+    return per_key.withColumn("_all", F.sum("trips").over(Window.partitionBy(F.lit(1))))
+
+
+def _payment_names(per_key: DataFrame, dim_payment: DataFrame) -> DataFrame:
     return (per_key.join(dim_payment, "payment_type_key", "inner").groupBy("payment_type_name").agg(
         F.sum("trips").cast("bigint").alias("trips"),
         _mean_money(F.sum("_st"), F.sum("_nt")).alias("avg_total"),
@@ -119,12 +142,22 @@ def _per_payment(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
 
 def payments(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
     """Trips, average total and tip per payment name, most trips first."""
-    return _per_payment(fact, dim_payment).drop("_all").orderBy(F.desc("trips"), F.asc("payment_type_name"))
+    return payments_of(_per_payment(fact), dim_payment)
+
+
+def payments_of(per_key: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """The same from the sums per payment_type_key."""
+    return _payment_names(per_key, dim_payment).drop("_all").orderBy(F.desc("trips"), F.asc("payment_type_name"))
 
 
 def payment_share(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
     """Payment rows with their share of ALL fact trips."""
-    return (_per_payment(fact, dim_payment)
+    return payment_share_of(_per_payment(fact), dim_payment)
+
+
+def payment_share_of(per_key: DataFrame, dim_payment: DataFrame) -> DataFrame:
+    """The same from the sums per payment_type_key."""
+    return (_payment_names(per_key, dim_payment)
             .select("payment_type_name", "trips", "avg_total", "avg_tip",
                     _r6(F.lit(100.0) * F.col("trips") / F.col("_all")).alias("share_pct"))
             .orderBy(F.desc("trips"), F.asc("payment_type_name")))

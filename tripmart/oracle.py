@@ -150,6 +150,17 @@ fact AS (
     payment_type AS payment_type_key, {", ".join(FACT_MEASURES)}
   FROM stg
 ),
+stg_all AS (
+  SELECT {", ".join("CAST(pickup_datetime AS DATE) AS pickup_date" if c == "pickup_date" else
+                    "CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour" if c == "pickup_hour" else c for c in STG)}
+  FROM staging_all
+),
+fact_all AS (
+  SELECT CAST(strftime(pickup_date, '%Y%m%d') AS INTEGER) AS pickup_date_key, pickup_hour, pickup_datetime,
+    dropoff_datetime, pickup_location_id AS pickup_zone_key, dropoff_location_id AS dropoff_zone_key,
+    payment_type AS payment_type_key, {", ".join(FACT_MEASURES)}
+  FROM stg_all
+),
 dim_zone AS (
   SELECT CAST(LocationID AS INTEGER) AS zone_key, coalesce(Borough, 'N/A') AS borough,
          coalesce(Zone, 'N/A') AS zone_name, coalesce(service_zone, 'N/A') AS service_zone
@@ -301,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
                       FROM gate WHERE month = '2024-01') ELSE 'n/a' END AS status FROM runs r ORDER BY 1""",
         "trips_by_hour_dense": """SELECT CAST(h.pickup_hour AS INTEGER) AS pickup_hour, coalesce(c.trips, 0) AS trips
                  FROM range(24) h(pickup_hour)
-                 LEFT JOIN (SELECT pickup_hour, count(*) AS trips FROM fact GROUP BY 1) c ON c.pickup_hour = h.pickup_hour
+                 LEFT JOIN (SELECT pickup_hour, count(*) AS trips FROM fact_all GROUP BY 1) c ON c.pickup_hour = h.pickup_hour
                  ORDER BY 1""",
         "counts_by_reason": """SELECT source_month, coalesce(reject_reason, 'clean') AS reason, count(*) AS rows
                  FROM tagged_jan GROUP BY 1, 2""",
@@ -332,27 +343,27 @@ def oracle_sql() -> dict[str, str]:
                  tpep_dropoff_datetime ASC NULLS LAST LIMIT 5""",
         "kpi": """SELECT count(*) AS trips, round(CAST(coalesce(sum(total_amount), 0) AS DOUBLE), 2) AS revenue,
                  round(CAST(sum(fare_amount) AS DOUBLE) / count(fare_amount), 6) AS avg_fare,
-                 round(avg(trip_distance), 6) AS avg_distance, round(avg(trip_duration_minutes), 6) AS avg_duration_minutes FROM fact""",
+                 round(avg(trip_distance), 6) AS avg_distance, round(avg(trip_duration_minutes), 6) AS avg_duration_minutes FROM fact_all""",
         "card_tip_rate": """SELECT round(CAST(sum(f.tip_amount) AS DOUBLE) / nullif(CAST(sum(f.fare_amount) AS DOUBLE), 0), 6) AS card_tip_rate
-                 FROM fact AS f JOIN dim_payment_type AS p USING (payment_type_key)
+                 FROM fact_all AS f JOIN dim_payment_type AS p USING (payment_type_key)
                  WHERE p.payment_type_name = 'Credit card' AND f.fare_amount > 0""",
         "date_range": """SELECT CAST(min(d.full_date) AS TIMESTAMP) AS first_date, CAST(max(d.full_date) AS TIMESTAMP) AS last_date
-                 FROM fact AS f JOIN dim_date AS d ON f.pickup_date_key = d.date_key""",
-        "trips_by_borough": """SELECT z.borough, count(*) AS trips FROM fact AS f JOIN dim_zone AS z ON f.pickup_zone_key = z.zone_key GROUP BY z.borough""",
-        "top_zones": """SELECT z.zone_name, count(*) AS trips FROM fact AS f JOIN dim_zone AS z ON f.pickup_zone_key = z.zone_key
+                 FROM fact_all AS f JOIN dim_date AS d ON f.pickup_date_key = d.date_key""",
+        "trips_by_borough": """SELECT z.borough, count(*) AS trips FROM fact_all AS f JOIN dim_zone AS z ON f.pickup_zone_key = z.zone_key GROUP BY z.borough""",
+        "top_zones": """SELECT z.zone_name, count(*) AS trips FROM fact_all AS f JOIN dim_zone AS z ON f.pickup_zone_key = z.zone_key
                  GROUP BY z.zone_name ORDER BY count(*) DESC, z.zone_name LIMIT 10""",
-        "trips_by_hour": "SELECT pickup_hour, count(*) AS trips FROM fact GROUP BY pickup_hour",
+        "trips_by_hour": "SELECT pickup_hour, count(*) AS trips FROM fact_all GROUP BY pickup_hour",
         "weekday_avg": """SELECT d.day_of_week, d.day_name, round(count(*) / count(DISTINCT d.full_date), 6) AS avg_trips_per_day
-                 FROM fact AS f JOIN dim_date AS d ON f.pickup_date_key = d.date_key GROUP BY d.day_of_week, d.day_name""",
+                 FROM fact_all AS f JOIN dim_date AS d ON f.pickup_date_key = d.date_key GROUP BY d.day_of_week, d.day_name""",
         "payments": """SELECT p.payment_type_name, count(*) AS trips,
                  round(CAST(sum(f.total_amount) AS DOUBLE) / count(f.total_amount), 6) AS avg_total,
                  round(CAST(sum(f.tip_amount) AS DOUBLE) / count(f.tip_amount), 6) AS avg_tip
-                 FROM fact AS f JOIN dim_payment_type AS p USING (payment_type_key) GROUP BY p.payment_type_name""",
+                 FROM fact_all AS f JOIN dim_payment_type AS p USING (payment_type_key) GROUP BY p.payment_type_name""",
         "payment_share": """SELECT p.payment_type_name, count(*) AS trips,
                  round(CAST(sum(f.total_amount) AS DOUBLE) / count(f.total_amount), 6) AS avg_total,
                  round(CAST(sum(f.tip_amount) AS DOUBLE) / count(f.tip_amount), 6) AS avg_tip,
-                 round(100.0 * count(*) / (SELECT count(*) FROM fact), 6) AS share_pct
-                 FROM fact AS f JOIN dim_payment_type AS p USING (payment_type_key) GROUP BY p.payment_type_name""",
+                 round(100.0 * count(*) / (SELECT count(*) FROM fact_all), 6) AS share_pct
+                 FROM fact_all AS f JOIN dim_payment_type AS p USING (payment_type_key) GROUP BY p.payment_type_name""",
         "latest_reject_reasons": """SELECT month, reason, rows FROM reasons
                  WHERE month = (SELECT max(month) FROM reasons) AND reason <> 'clean' ORDER BY rows DESC, reason""",
         "partition_counts": "SELECT year, month, count(*) AS rows FROM clean_all GROUP BY year, month",

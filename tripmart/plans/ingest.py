@@ -1,9 +1,9 @@
 """Validated publish of landed files into the raw zone, with an ingestion log.
 
 A landed month (any readable parquet) is copied by Spark into
-``raw/yellow/<month>/`` through the lake's work folder: validate, write aside,
-verify the row count, then swap into place. On failure the old month stays and
-nothing is left behind; an existing month is skipped unless ``force``. The log
+``raw/yellow/<month>/version=<run>/``: validate, write, verify the row count, then
+make it current. On failure the old month stays and nothing is left behind; an
+existing month is skipped unless ``force``. The log
 holds size and SHA-256 of the landed file itself, to compare with its source.
 """
 
@@ -11,12 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.functions.months import validate_month
-from tripmart.plans.publish import FileOps, recover_swaps, replace_folder
+from tripmart.plans.publish import FileOps, commit, folder_of, new_version, writing
 from tripmart.sources.lake import Lake
 from tripmart.sources.reference import ValidationError, validate_parquet_file, validate_zones_file
 
@@ -26,21 +25,20 @@ INGESTION_LOG_SCHEMA = ("dataset string, source_url string, file string, bytes b
 
 def publish_validated(spark: SparkSession, df: DataFrame, lake: Lake, dest: str, expected_rows: int | None = None,
                       force: bool = False, fmt: str = "parquet") -> str:
-    """Replace the folder ``dest`` by ``df`` once its rows are counted. Returns 'skipped' or 'published'."""
-    ops = FileOps(spark)
-    recover_swaps(ops, lake.journal)
-    if ops.exists(dest) and not force:
-        return "skipped"
-    tmp = lake.work(f"ingest-{uuid.uuid4().hex[:12]}")
-    try:
-        writer = df.write.mode("overwrite")
-        (writer.option("header", True).csv(tmp) if fmt == "csv" else writer.parquet(tmp))
-        got = (spark.read.option("header", True).csv(tmp).count() if fmt == "csv" else spark.read.parquet(tmp).count())
-        if expected_rows is not None and got != expected_rows:
-            raise ValidationError(f"wrote {got} rows, expected {expected_rows}")
-        replace_folder(ops, tmp, dest, lake.journal)
-    finally:
-        ops.delete(tmp)
+    """Make ``df`` the current version of the folder ``dest`` once its rows are counted. Returns 'skipped' or 'published'."""
+    with writing(spark, lake) as lease:
+        if folder_of(lease.ops, lake, dest) is not None and not force:
+            return "skipped"
+        new = f"{dest}/{new_version()}"
+        try:
+            (df.write.option("header", True).csv(new) if fmt == "csv" else df.write.parquet(new))
+            got = (spark.read.option("header", True).csv(new).count() if fmt == "csv" else spark.read.parquet(new).count())
+            if expected_rows is not None and got != expected_rows:
+                raise ValidationError(f"wrote {got} rows, expected {expected_rows}")
+            commit(lease, {(dest, ""): new})
+        except Exception:
+            lease.ops.delete(new)
+            raise
     return "published"
 
 

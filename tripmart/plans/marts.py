@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import DIM_DATE_END, DIM_DATE_START
 from tripmart.operators import dq
+from tripmart.operators.report_states import report_state
 from tripmart.operators.marts import dim_date, dim_payment_type, dim_zone, fact_trips, stg_trips
 from tripmart.functions.months import partition_filter, validate_months
-from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, replace_folder, replace_partition
+from tripmart.plans.publish import clean_partition, commit, new_version, writing, written_partitions
 from tripmart.plans.warehouse import read_staging_table
-from tripmart.sources.lake import Lake
+from tripmart.sources.lake import Lake, read_table
 
+#: The fact's mergeable sums per month, which reports read instead of the fact.
+STATE_NAME = "report_state"
 MART_NAMES = ("dim_date", "dim_zone", "dim_payment_type", "fact_trips")
 
 
@@ -29,9 +30,9 @@ def build_marts(spark: SparkSession, lake: Lake, zone_seed: DataFrame, payment_c
     """Write the dims and the fact; stg stays a view (temp view ``stg_yellow_trips``).
 
     The fact is stored partitioned by (year, month) like the staging table.
-    With ``months`` only those months' fact partitions are rebuilt (staged,
-    then swapped in), so a monthly load does not rewrite the whole history;
-    without it the fact is rebuilt in full.
+    With ``months`` only those months' fact partitions are rebuilt, so a monthly
+    load does not rewrite the whole history; without it the fact is rebuilt in
+    full. Dimensions and fact become current by one commit.
     """
     stg = stg_trips(staging_view(spark, lake))
     stg.createOrReplaceTempView("stg_yellow_trips")
@@ -40,33 +41,43 @@ def build_marts(spark: SparkSession, lake: Lake, zone_seed: DataFrame, payment_c
         "dim_zone": dim_zone(zone_seed),
         "dim_payment_type": dim_payment_type(payment_codes),
     }
-    paths = {}
-    for name, df in dims.items():
-        df.write.mode("overwrite").parquet(lake.mart(name))
-        paths[name] = lake.mart(name)
     fact = fact_trips(stg, keep=("year", "month"))
-    target = lake.mart("fact_trips")
-    ops = FileOps(spark)
-    recover_swaps(ops, lake.journal)
-    staged = lake.work(f"fact-{uuid.uuid4().hex[:12]}")
-    try:
-        if months is None:
-            fact.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-            replace_folder(ops, staged, target, lake.journal)  # the whole table: months gone from staging go
-        else:
-            months = validate_months(months)
-            fact.filter(partition_filter(months)).write.mode("overwrite").partitionBy("year", "month").parquet(staged)
-            for m in months:
-                replace_partition(ops, staged, target, clean_partition(m), lake.journal)
-    finally:
-        ops.delete(staged)
-    paths["fact_trips"] = target
-    return paths
+    version, target = new_version(), lake.mart("fact_trips")
+    staged = f"{target}/{version}"
+    with writing(spark, lake) as lease:
+        try:
+            for name, df in dims.items():
+                df.write.parquet(f"{lake.mart(name)}/{version}")
+            if months is not None:
+                months = validate_months(months)
+                fact = fact.filter(partition_filter(months))
+            fact.write.partitionBy("year", "month").parquet(staged)
+            written = written_partitions(lease.ops, staged)
+            changes = {(lake.mart(name), ""): f"{lake.mart(name)}/{version}" for name in dims}
+            changes |= {(target, p): f"{staged}/{p}" for p in written}
+            state, sums = lake.mart(STATE_NAME), f"{lake.mart(STATE_NAME)}/{version}"
+            if written:  # sums of what was written, a few hundred rows a month
+                held = spark.read.parquet(staged)
+                (report_state(held).repartition("year", "month").write.partitionBy("year", "month").parquet(sums))
+                changes |= {(state, p): f"{sums}/{p}" for p in written}
+            if months is not None:
+                changes |= {(t, p): None for t in (target, state) for p in map(clean_partition, months) if p not in written}
+            commit(lease, changes, whole=(target, state) if months is None else ())  # dimensions, fact and sums switch together
+        except Exception:
+            for name in (*MART_NAMES, STATE_NAME):
+                lease.ops.delete(f"{lake.mart(name)}/{version}")
+            raise
+    return {name: lake.mart(name) for name in MART_NAMES}
+
+
+def read_report_state(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The sums of every month of the fact."""
+    return read_table(spark, lake, lake.mart(STATE_NAME))
 
 
 def read_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The marts as their models define them (the fact's storage partition columns dropped)."""
-    out = {n: spark.read.parquet(lake.mart(n)) for n in MART_NAMES}
+    out = {n: read_table(spark, lake, lake.mart(n)) for n in MART_NAMES}
     out["fact_trips"] = out["fact_trips"].drop("year", "month")
     return out
 
@@ -79,7 +90,7 @@ def run_data_tests(spark: SparkSession, lake: Lake, months=None) -> DataFrame:
     staging = staging_view(spark, lake)
     if months is not None:
         keep = partition_filter(months)
-        fact = spark.read.parquet(lake.mart("fact_trips")).filter(keep).drop("year", "month")
+        fact = read_table(spark, lake, lake.mart("fact_trips")).filter(keep).drop("year", "month")
         marts = {**marts, "fact_trips": fact}
         staging = staging.filter(keep)
     return dq.dq_summary(staging, marts["fact_trips"], marts)

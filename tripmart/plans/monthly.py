@@ -5,14 +5,14 @@ Flow per call, for all months together:
 1. raw months -> standardize (one scan per month folder, each with its own
    footer schema and a literal ``source_month``);
 2. clean (enriched, broadcast zone joins) and rejected rows, each written
-   ONCE to a staging folder in the lake (no cache: a lost executor recomputes
+   ONCE to a new version folder of its table (no cache: a lost executor recomputes
    its split from the immutable raw files); the count of every reason is an
    observed metric of the clean write; rows_in is counted on its own, from the
    raw files' footers;
 3. read-back counts of the staged outputs (independent of the plan);
-4. months whose counts reconcile are published partition by partition (a
-   readable month of zero rows too: the gate refuses it); months that do not
-   are left untouched and reported;
+4. months whose counts reconcile are published by one commit, clean and rejected
+   rows together (a readable month of zero rows too: the gate refuses it); months
+   that do not are left untouched and reported;
 5. one run-summary row per month, persisted as JSON partitioned by month.
 """
 
@@ -29,8 +29,8 @@ from tripmart.contracts import CLEAN_LABEL, REASON_ORDER
 from tripmart.functions.months import validate_months
 from tripmart.operators.clean import enrich, split_clean, split_rejected, tag_rows
 from tripmart.operators.quality import run_summary
-from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, rejected_partition, replace_partition
-from tripmart.sources.lake import Lake, raw_month_scan, raw_row_counts, union_by_name
+from tripmart.plans.publish import FileOps, Lease, clean_partition, commit, new_version, rejected_partition, writing
+from tripmart.sources.lake import Lake, raw_folder, raw_month_scan, raw_row_counts, union_by_name
 
 OK, FAILED_INPUT, INVALID_MONTH, MISMATCH = 0, 1, 2, 3  # outcome codes (N3)
 
@@ -54,7 +54,6 @@ class MonthOutcome:
 class RunResult:
     months: list[str]
     outcomes: dict[str, MonthOutcome] = field(default_factory=dict)
-    staged_root: str = ""
     duration_seconds: float = 0.0
 
     @property
@@ -79,13 +78,17 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     DataFrame}) overrides reading the ``lake.raw_month(m)`` folders. With
     ``strict`` a month that does not reconcile raises :class:`CountMismatch`
     (after the months that do reconcile are published)."""
+    with writing(spark, lake) as lease:
+        return _run_months(spark, lake, lease, validate_months(months), zones, raw, strict)
+
+
+def _run_months(spark: SparkSession, lake: Lake, lease: Lease, months: list[str], zones: DataFrame,
+                raw: dict[str, DataFrame] | None, strict: bool) -> RunResult:
     started = time.time()
-    months = validate_months(months)
-    ops = FileOps(spark)
-    recover_swaps(ops, lake.journal)
+    ops = lease.ops
     result = RunResult(months=months)
     if raw is None:
-        missing = [m for m in months if not ops.has_files(lake.raw_month(m), ".parquet")]
+        missing = [m for m in months if not ops.has_files(raw_folder(spark, lake, m) or lake.raw_month(m), ".parquet")]
         for m in missing:  # no input files: failed input, nothing else runs for it
             result.outcomes[m] = MonthOutcome(m, 0, 0, 0, 0, False, FAILED_INPUT)
         scans = {m: raw_month_scan(spark, lake, m) for m in months if m not in missing}
@@ -96,8 +99,8 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         return result
 
     run_id = uuid.uuid4().hex[:12]
-    staged = lake.work(f"run-{run_id}")
-    clean_stage, rejected_stage = f"{staged}/yellow_trips", f"{staged}/rejected_trips"
+    version = new_version()  # folders that no reader sees before the commit
+    clean_stage, rejected_stage = f"{lake.clean}/{version}", f"{lake.rejected}/{version}"
 
     # Tag each month with its literal bounds (constant-folded), then union. Each
     # month's branch is observed BEFORE the clean filter, so the clean write
@@ -122,7 +125,7 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         (rejected.hint("rebalance", "source_month").write.mode("overwrite")
          .partitionBy("source_month").parquet(rejected_stage))
     except Exception:
-        ops.delete(staged)  # nothing was published; leave no partial staging behind
+        _drop(ops, clean_stage, rejected_stage)  # nothing was published; leave no partial version behind
         raise
 
     metrics = [(m, o.get) for m, o in observations.items()]
@@ -147,7 +150,7 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     collected = summary.collect()  # one small row per month
     rows = {r["month"]: r for r in collected}
 
-    result.staged_root = staged
+    changes: dict[tuple[str, str], str | None] = {}
     for m in scans:
         r = rows.get(m)
         rows_in_m = int(r["rows_in"]) if r else 0
@@ -155,9 +158,12 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
         rej_m = int(r["rows_rejected_or_quarantined"]) if r else 0
         reasons_m = int(sum((r["counts_by_reason"] or {}).values())) if r else 0
         good = clean_m + rej_m == rows_in_m and reasons_m == rows_in_m
-        if good:
-            replace_partition(ops, clean_stage, lake.clean, clean_partition(m), lake.journal)
-            replace_partition(ops, rejected_stage, lake.rejected, rejected_partition(m), lake.journal)
+        for table, staged, part in ((lake.clean, clean_stage, clean_partition(m)), (lake.rejected, rejected_stage, rejected_partition(m))):
+            written = ops.exists(f"{staged}/{part}")
+            if good:  # a month without such rows has no folder, and its earlier one goes
+                changes[(table, part)] = f"{staged}/{part}" if written else None
+            elif written:
+                ops.delete(f"{staged}/{part}")
         code = OK if good else MISMATCH
         result.outcomes[m] = MonthOutcome(m, rows_in_m, clean_m, rej_m, reasons_m, good, code)
 
@@ -165,9 +171,14 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
     result.duration_seconds = duration
     published = [r for r in collected if result.outcomes.get(r["month"]) and result.outcomes[r["month"]].published]
     if not published:
-        ops.delete(staged)
+        _drop(ops, clean_stage, rejected_stage)
         _check(result, strict)
         return result
+    try:
+        commit(lease, changes)  # clean and rejected rows of all these months, at once
+    except Exception:
+        _drop(ops, clean_stage, rejected_stage)
+        raise
     persisted = spark.createDataFrame(published, summary.schema)
     (persisted.withColumn("finished_at_utc",
                           F.date_format(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp()),
@@ -175,11 +186,15 @@ def run_months(spark: SparkSession, lake: Lake, months, zones: DataFrame,
      .withColumn("duration_seconds", F.lit(duration))
      .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").json(lake.runs))
-    ops.delete(staged)
     _check(result, strict)
     return result
 
 
+def _drop(ops: FileOps, *folders: str) -> None:
+    for folder in folders:
+        ops.delete(folder)
+
+
 def _check(result: RunResult, strict: bool) -> None:
     if strict:
         bad = [o for o in result.outcomes.values() if o.code != OK]

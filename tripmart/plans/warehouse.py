@@ -6,11 +6,11 @@ set of months, in one job:
 * expected rows per month = rows in that month's clean partition (a
   column-free count, E4);
 * rows are projected to the staging contract (money decimal(12,2), ...)
-  and written to a staging folder;
+  and written to a new version folder of the table;
 * staged rows are counted back per month together with the NOT NULL
-  contract (one aggregation over a few columns); a month is swapped in only
-  if its contract holds and its counts match; otherwise, or if its swap fails,
-  the table keeps the old month and the others go on;
+  contract (one aggregation over a few columns); months whose contract holds
+  and whose counts match become current by one commit; the table keeps the old
+  version of any other month;
 * a source with columns or types outside the contract is refused whole;
 * every attempt appends one audit row, whatever failed and wherever (success
   or failed, error text cut at 1000 characters).
@@ -19,17 +19,16 @@ set of months, in one job:
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, AUDIT_STATUSES, DATASET_NAME, STAGING_CONTRACT
-from tripmart.functions.months import partition_filter, validate_months
+from tripmart.functions.months import validate_months
 from tripmart.operators.warehouse import extra_columns, mistyped_columns, to_staging
-from tripmart.plans.publish import FileOps, clean_partition, recover_swaps, replace_partition
-from tripmart.sources.lake import Lake
+from tripmart.plans.publish import FileOps, Lease, clean_partition, commit, new_version, partitions, writing
+from tripmart.sources.lake import Lake, read_table
 
 AUDIT_SCHEMA = ", ".join(f"{c} {t}" for c, t, _ in AUDIT_COLUMNS)
 NOT_NULL = [c for c, _, nullable in STAGING_CONTRACT if not nullable and c != "loaded_at"]
@@ -60,12 +59,17 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
     """Replace ``months`` in the staging table. Returns one outcome per month;
     with ``strict`` a failed month raises (after it is audited) and a month
     without files raises FileNotFoundError."""
-    months = validate_months(months)
-    ops = FileOps(spark)
+    with writing(spark, lake) as lease:
+        return _load_months(spark, lake, lease, validate_months(months), strict)
+
+
+def _load_months(spark: SparkSession, lake: Lake, lease: Lease, months: list[str], strict: bool) -> dict[str, LoadOutcome]:
+    ops = lease.ops
     started = dt.datetime.now(dt.timezone.utc)
     outcomes: dict[str, LoadOutcome] = {}
 
-    present = [m for m in months if ops.exists(f"{lake.clean}/{clean_partition(m)}")]
+    held = partitions(ops, lake, lake.clean)
+    present = [m for m in months if clean_partition(m) in held]
     for m in months:
         if m not in present:
             # Like the original loader: no files is an input error, raised before any audit.
@@ -75,11 +79,10 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
             _raise_first_failure(outcomes)
         return outcomes
 
-    recover_swaps(ops, lake.journal)
-    staged = lake.work(f"load-{uuid.uuid4().hex[:12]}")
+    staged = f"{lake.staging_table}/{new_version()}"
     expected: dict[str, int] = {}
     try:
-        clean = spark.read.parquet(lake.clean).filter(partition_filter(present))  # partition pruning
+        clean = read_table(spark, lake, lake.clean, [clean_partition(m) for m in present])
         expected = {r["m"]: int(r["n"]) for r in
                     clean.groupBy(_month_col().alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
         table = to_staging(clean)
@@ -90,14 +93,15 @@ def load_months(spark: SparkSession, lake: Lake, months, strict: bool = False) -
         else:
             table.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
             checked = _read_back(spark, staged) if ops.list_dirs(staged) else {}
-            for m in present:
-                outcomes[m] = _publish_month(ops, lake, staged, m, expected.get(m, 0), checked.get(m))
+            outcomes |= {m: _verified(m, expected.get(m, 0), checked.get(m)) for m in present}
+            _publish(lease, staged, outcomes)
     except Exception as exc:  # a failure of the job itself: audited for every month without an outcome, then raised
         for m in present:
             outcomes.setdefault(m, LoadOutcome(m, expected.get(m, 0), None, "failed", f"{type(exc).__name__}: {exc}"))
         raise
     finally:
-        ops.delete(staged)
+        if not any(o.status == "success" for o in outcomes.values()):
+            ops.delete(staged)
         append_audit(spark, lake, [(o.month, o.expected, o.loaded, o.status, o.error[:AUDIT_ERROR_MAX_CHARS] if o.error else None)
                                    for o in (outcomes[m] for m in present if m in outcomes)], started)
     if strict:
@@ -112,19 +116,32 @@ def _read_back(spark: SparkSession, staged: str) -> dict:
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
 
 
-def _publish_month(ops: FileOps, lake: Lake, staged: str, m: str, expected: int, row) -> LoadOutcome:
-    """Swap one verified month in; a month that fails, fails alone."""
+def _verified(m: str, expected: int, row) -> LoadOutcome:
+    """Whether a staged month holds its contract and all of its rows; a month that does not, fails alone."""
     got = int(row["n"]) if row else 0
     violations = {c: int(row[c]) for c in NOT_NULL if row and row[c]}
     if violations:
         return LoadOutcome(m, expected, None, "failed", f"ContractViolation: NOT NULL violated in {m}: {violations}")
     if got != expected:
         return LoadOutcome(m, expected, None, "failed", f"CountMismatch: staged {got} rows for {m}, clean partition holds {expected}")
+    return LoadOutcome(m, expected, got, "success", None)
+
+
+def _publish(lease: Lease, staged: str, outcomes: dict[str, LoadOutcome]) -> None:
+    """Make all verified months current at once; the staged rows of the others go. If the commit fails, all fail."""
+    ops, table = lease.ops, lease.lake.staging_table
+    good = [m for m, o in outcomes.items() if o.status == "success"]
+    for m, o in outcomes.items():
+        if o.status == "failed":
+            ops.delete(f"{staged}/{clean_partition(m)}")
+    if not good:
+        return
     try:
-        replace_partition(ops, staged, lake.staging_table, clean_partition(m), lake.journal)
+        commit(lease, {(table, clean_partition(m)): f"{staged}/{clean_partition(m)}" if ops.exists(f"{staged}/{clean_partition(m)}") else None
+                       for m in good})
     except Exception as exc:
-        return LoadOutcome(m, expected, None, "failed", f"{type(exc).__name__}: {exc}")
-    return LoadOutcome(m, expected, got, "success", None)
+        for m in good:
+            outcomes[m] = LoadOutcome(m, outcomes[m].expected, None, "failed", f"{type(exc).__name__}: {exc}")
 
 
 def _raise_first_failure(outcomes: dict[str, LoadOutcome]) -> None:
@@ -159,4 +176,4 @@ def read_audit(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def read_staging_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.parquet(lake.staging_table)
+    return read_table(spark, lake, lake.staging_table)

@@ -4,15 +4,20 @@ Layout under one root (any Hadoop path: file:/, hdfs://, s3a://)::
 
     raw/yellow/<YYYY-MM>/*.parquet            raw months, schema drifts between months
     raw/zones/*.csv                           zone lookup
-    processed/yellow_trips/year=Y/month=M/    clean trips
-    processed/rejected_trips/source_month=M/  rejected + quarantined trips
+    processed/yellow_trips/version=V/year=Y/month=M/    clean trips
+    processed/rejected_trips/version=V/source_month=M/  rejected + quarantined trips
     processed/_run_summaries/month=M/         run summaries (JSON, one folder per month)
     processed/_gate_reports/month=M/          gate reports (JSON, one folder per month)
     processed/_runs/clean_<M>.json            earlier one-document-per-month summaries (read only)
     processed/_quality/quality_<M>.json       earlier one-document-per-month gate reports (read only)
-    warehouse/staging/yellow_trips/year=Y/month=M/
+    warehouse/staging/yellow_trips/version=V/year=Y/month=M/
     warehouse/audit/load_history/
-    warehouse/marts/<model>/
+    warehouse/marts/<model>/version=V/
+    _current/<number>.json                    which version of every partition is current (``plans/publish.py``)
+    _writers/<number>.json                    leases of the lake's writers
+
+Partition folders without ``version=`` (an earlier lake) are read where no map names a newer one; raw months
+that are put in place by hand stay plain.
 """
 
 from __future__ import annotations
@@ -89,9 +94,20 @@ class Lake:
         return self._p("_work", name)
 
     @property
-    def journal(self) -> str:
-        """Records and moved-aside folders of swaps in progress."""
-        return self.work("swaps")
+    def maps(self) -> str:
+        """Numbered maps of current folders (see ``plans/publish.py``)."""
+        return self._p("_current")
+
+    @property
+    def leases(self) -> str:
+        """Numbered records of the writers of this lake."""
+        return self._p("_writers")
+
+    def versioned_tables(self, ops) -> list[str]:
+        """Every folder that may hold ``version=`` folders."""
+        marts = self._p("warehouse", "marts")
+        return [self.clean, self.rejected, self.staging_table, self.raw_zones, *(f"{marts}/{n}" for n in ops.list_dirs(marts)),
+                *(self.raw_month(m) for m in ops.list_dirs(self.raw_trips))]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -126,16 +142,23 @@ def raw_month_scan(spark: SparkSession, lake: Lake, month: str) -> DataFrame:
     from tripmart.operators.clean import standardize  # local import: operators depend on sources
     from tripmart.plans.publish import FileOps
 
-    files = FileOps(spark).list_files(lake.raw_month(month), ".parquet")
-    groups = schema_groups(spark, files) or [[lake.raw_month(month)]]
+    folder = raw_folder(spark, lake, month) or lake.raw_month(month)
+    groups = schema_groups(spark, FileOps(spark).list_files(folder, ".parquet")) or [[folder]]
     return union_by_name(
         standardize(spark.read.parquet(*group).withColumn("source_month", F.lit(month)), keep=("source_month",))
         for group in groups)
 
 
+def raw_folder(spark: SparkSession, lake: Lake, month: str) -> str | None:
+    """The current folder of a raw month: a published version, or what was put in place by hand."""
+    from tripmart.plans.publish import FileOps, folder_of
+
+    return folder_of(FileOps(spark), lake, lake.raw_month(month))
+
+
 def raw_row_counts(spark: SparkSession, lake: Lake, months) -> DataFrame:
     """(source_month, rows_in) of raw months from the files alone: no column is read, whatever their schemas."""
-    parts = [spark.read.schema("`_none` string").option("pathGlobFilter", "*.parquet").parquet(lake.raw_month(m))
+    parts = [spark.read.schema("`_none` string").option("pathGlobFilter", "*.parquet").parquet(raw_folder(spark, lake, m))
              .select(F.lit(m).alias("source_month")) for m in months]
     return union_by_name(parts).groupBy("source_month").agg(F.count(F.lit(1)).alias("rows_in"))
 
@@ -159,18 +182,36 @@ def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 
 
-def read_month_partition(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """Only one (year, month) partition's ``*.parquet`` files, partition columns kept (A5).
+def read_table(spark: SparkSession, lake: Lake, table: str, parts=None) -> DataFrame:
+    """The current version of a lake table (``lake.clean``, ``lake.mart(...)``, ...): all of one commit, whatever is written meanwhile.
 
-    Reads the partition folder directly with ``basePath``; a missing folder
-    yields an empty DataFrame with the table schema.
+    Folders come from one map; filters on partition columns prune them (A4). ``parts`` reads only those
+    partitions. A partition of another schema than the first keeps to the first's columns, as in any Parquet table.
+    """
+    from tripmart.plans.publish import FileOps, partitions
+
+    found = partitions(FileOps(spark), lake, table)
+    if not found:
+        if FileOps(spark).has_files(table, ".parquet"):
+            return spark.read.parquet(table)  # written without versions or partitions
+        raise FileNotFoundError(f"no table at {table}")
+    wanted = [found[p] for p in (found if parts is None else parts) if p in found]
+    if not wanted:
+        return read_table(spark, lake, table).limit(0)
+    versioned = [f for f in wanted if "/version=" in f]
+    plain = [f for f in wanted if "/version=" not in f]
+    scan = spark.read.option("basePath", table)
+    scans = ([scan.parquet(*versioned).drop("version")] if versioned else []) + ([scan.parquet(*plain)] if plain else [])
+    return union_by_name(scans)
+
+
+def read_month_partition(spark: SparkSession, lake: Lake, table: str, year: int, month: int) -> DataFrame:
+    """Only one (year, month) partition of a lake table, partition columns kept (A5).
+
+    Reads that partition's folder alone; a month that the table does not hold yields an empty
+    DataFrame with the table's schema.
     """
-    folder = f"{root.rstrip('/')}/year={year}/month={month}"
-    if not path_exists(spark, folder):
-        if not path_exists(spark, root):
-            raise FileNotFoundError(f"no table at {root}")
-        return spark.read.parquet(root).limit(0)
-    return spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet").parquet(folder)
+    return read_table(spark, lake, table, [f"year={year}/month={month}"])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -32,6 +32,13 @@ def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=ZONE_CSV_SCHEMA, enforceSchema=False)
 
 
+def read_lake_zones(spark: SparkSession, lake) -> DataFrame:
+    """The lake's current zone lookup."""
+    from tripmart.plans.publish import FileOps, folder_of
+
+    return read_zones_csv(spark, folder_of(FileOps(spark), lake, lake.raw_zones) or lake.raw_zones)
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header and type inference (A3). Inference costs an extra pass: use for exploration only."""
     return spark.read.csv(path, header=True, inferSchema=True)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmart.functions.months import month_of_path, valid_month_col
 from tripmart.plans.monthly import run_months
 from tripmart.sources.lake import Lake
-from tripmart.sources.reference import read_zones_csv
+from tripmart.sources.reference import read_lake_zones
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -44,7 +44,7 @@ def start_landing_stream(spark: SparkSession, lake: Lake, checkpoint: str | None
         months = sorted(r["month"] for r in batch.select("month").distinct().collect())  # months in this batch
         if not months:
             return
-        zones = read_zones_csv(spark, lake.raw_zones)
+        zones = read_lake_zones(spark, lake)
         result = run_months(spark, lake, months, zones)
         if on_result is not None:
             on_result(batch_id, result)

@@ -1,8 +1,9 @@
 """Benchmark decontamination by a positional inverted index, in DataFrame functions only.
 
 Three tables make the index, written once to the shared folder (or to ``path``): ``tokens`` (a row
-per document: key, doc_id, n_words, words), ``postings`` (a row per word of a document: term, key,
-pos), each file of it a range of documents sorted by term, and ``terms`` (how often each term occurs).
+per document: key, doc_id, n_words, and its words with one space between), ``postings`` (a row per word
+of a document: term, key, pos), each file of it a range of documents with the places of a term
+together, and ``terms`` (how often each term occurs).
 Neither documents nor postings are shuffled to build it, so no term, however frequent, meets in one task.
 
 A search cuts every item into windows of consecutive words. The terms of a window are ranked by how
@@ -35,14 +36,27 @@ from tripmart.session import shared_dir
 WINDOW = 10
 #: Posting lists that are intersected, from the rarest on, before words are compared.
 LISTS = 3
+#: Bytes of a row group of the stored words.
+ROW_GROUP = 8 * 2**20
 #: What stands between words, once A-Z are lower-cased.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def spaced(text: Column) -> Column:
+    """The words of a text with one space between; empty of a null one."""
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = F.octet_length(text) == F.char_length(text)  # then lower() touches nothing but A-Z, and is faster
+    lowered = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+    return F.trim(F.regexp_replace(lowered, _BETWEEN, " "))
+
+
+def split(words: Column) -> Column:
+    """The words of ``spaced``; none of an empty text."""
+    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+
+
 def words(text: Column) -> Column:
-    """The words of a text, in order; none of a null one."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(lowered, _BETWEEN), "")
+    return split(spaced(text))
 
 
 @dataclass(frozen=True)
@@ -60,11 +74,16 @@ def build(docs: DataFrame, path: str | None = None) -> Index:
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/llm/positional-{uuid.uuid4().hex[:12]}"
     # the number of a row is given once and stored: jobs that read it see the same one whenever tasks run again
-    own = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", words(F.col("text")).alias("words"))
-    own.select("key", "doc_id", F.size("words").cast("long").alias("n_words"), "words").write.parquet(f"{path}/{TOKENS}")
+    own = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", spaced(F.col("text")).alias("words"))
+    spaces = F.char_length("words") - F.char_length(F.replace("words", F.lit(" ")))
+    n_words = F.when(F.col("words") == "", 0).otherwise(spaces + 1).cast("long")
+    # plain and in small row groups: a split of this table then bounds the words that a task sorts below
+    (own.select("key", "doc_id", n_words.alias("n_words"), "words").write.option("compression", "uncompressed")
+     .option("parquet.block.size", ROW_GROUP).parquet(f"{path}/{TOKENS}"))
     tokens = spark.read.parquet(f"{path}/{TOKENS}")
-    (tokens.select("key", F.posexplode("words").alias("pos", "term")).select("term", "key", "pos")
-     .sortWithinPartitions("term", "key", "pos").write.parquet(f"{path}/{POSTINGS}"))
+    # places of a term come together by its hash: numbers sort several times as fast as words
+    (tokens.select("key", F.posexplode(split(F.col("words"))).alias("pos", "term")).select("term", "key", "pos")
+     .sortWithinPartitions(F.xxhash64("term")).write.parquet(f"{path}/{POSTINGS}"))
     postings = spark.read.parquet(f"{path}/{POSTINGS}")
     postings.groupBy("term").agg(F.count("*").alias("n")).write.parquet(f"{path}/{TERMS}")
     return open_index(spark, path)
@@ -110,20 +129,25 @@ def phrase_matches(index: Index, wins: Windows, lists: int = LISTS) -> DataFrame
     found = (index.postings.join(rarest, "term")
              .select("win", "key", (F.col("pos") - F.col("place")).alias("start"), "len").filter("start >= 0"))
     for r in range(2, lists + 1):
-        found = stored(found, f"starts-{r - 1}")
         level = ranked.filter(F.col("rank") == r).select("win", "term", "place")
-        wanted = found.join(level, "win").withColumn("pos", F.col("start") + F.col("place"))
-        kept = wanted.join(_list(index, level), ["term", "key", "pos"]).select("win", "key", "start", "len")
-        found = kept.unionByName(found.filter(F.col("len") < r))  # a window of fewer words has no such list
+        # stored with the term that they want next: their size is known before postings are moved for the join
+        wanted = stored(found.join(level, "win", "left").select("win", "key", "start", "len", "term", (F.col("start") + F.col("place")).alias("pos")),
+                        f"starts-{r - 1}")
+        kept = _list(index, level).join(wanted, ["term", "key", "pos"]).select("win", "key", "start", "len")
+        found = kept.unionByName(wanted.filter("term IS NULL").select("win", "key", "start", "len"))  # windows of fewer words
     found = stored(found, f"starts-{lists}")
     # the documents of the last list, and their words at these places
     at = found.groupBy("key").agg(F.collect_list(F.struct("win", "start", "len")).alias("starts"))
-    there = (index.tokens.select("key", "words").join(at, "key")
-             .select("key", "words", F.explode("starts").alias("s"))
+    there = (_held(index, found).join(at, "key").select("key", split(F.col("words")).alias("words"), F.explode("starts").alias("s"))
              .select("key", "s.*", F.slice("words", F.col("s.start") + 1, F.col("s.len")).alias("phrase")))
     return there.join(wins.phrases, ["win", "phrase"]).select("win", "key", "start", "len")
 
 
+def _held(index: Index, found: DataFrame) -> DataFrame:
+    """The documents of some starts. Their stored keys pick them: where those are few, Spark sees it and moves no other text."""
+    return index.tokens.join(stored(found.select("key").distinct(), "start-keys"), "key", "left_semi")
+
+
 def proximity_matches(index: Index, wins: Windows, slop: int) -> DataFrame:
     """Every stretch of a document that holds all different words of a window, in any order: win, key, start, len.
 
@@ -140,8 +164,8 @@ def proximity_matches(index: Index, wins: Windows, slop: int) -> DataFrame:
     found = stored(kept.unionByName(found.filter("len = 1")), "near-2")
     last = F.greatest(F.col("n_words") - span, F.lit(0))
     starts = F.explode(F.sequence(F.greatest(F.least(F.col("p") - span + 1, last), F.lit(0)), F.least(F.col("p"), last)))
-    tried = (found.join(index.tokens, "key").withColumn("n_words", F.col("n_words").cast("int"))
-             .select("win", "key", "len", "words", starts.alias("start"))
+    tried = (found.join(_held(index, found), "key").withColumn("n_words", F.col("n_words").cast("int"))
+             .select("win", "key", "len", split(F.col("words")).alias("words"), starts.alias("start"))
              .select("win", "key", "start", span.alias("len"), F.slice("words", F.col("start") + 1, span).alias("stretch"))
              .join(wins.phrases, "win"))
     return tried.filter(F.size(F.array_except("phrase", "stretch")) == 0).select("win", "key", "start", "len").distinct()

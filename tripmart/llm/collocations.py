@@ -36,8 +36,8 @@ SCALE = 1_000_000
 SIDE, DENSE_TILES, DENSE_PAIRS = 256, 8, 2048
 #: Distinct coordinates that a task holds before it gives them out.
 HELD = 1 << 21
-#: Equal ranges that rankings are cut into, so that no task sees all phrases of a language.
-SPREAD = 64
+#: Parts that the phrases of a language are dealt to before their best meet: no task sees all of them.
+SPREAD = (64, 8)
 
 _BREAK = b"\n"
 _TABLE = bytes(0x20 if c == 0x09 else 0x0A if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
@@ -123,9 +123,6 @@ class Tiles:
         np.add.at(counts, back, np.concatenate([self.counts, n]))
         self.codes, self.counts = every, counts
 
-    def _frame(self, codes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"code": codes, "n": counts})
-
     def overflow(self) -> Iterator[pd.DataFrame]:
         """The coordinates, once they are many; counting goes on from none."""
         if len(self.codes) > self.held:
@@ -141,7 +138,7 @@ class Tiles:
 
     def _parts(self, codes: np.ndarray, counts: np.ndarray, size: int = 1 << 18) -> Iterator[pd.DataFrame]:
         for i in range(0, len(codes), size):
-            yield self._frame(codes[i:i + size], counts[i:i + size])
+            yield pd.DataFrame({"code": codes[i:i + size], "n": counts[i:i + size]})
 
 
 def _ints(raw) -> np.ndarray:
@@ -234,7 +231,8 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAS
     levels = [level]
     encoded = stored(encode_words(held, words), "encoded-1") if max_words > 1 else None
     for m in range(1, max_words):
-        pairs = stored(ranked(count_next(encoded, m, least), ["code"]), f"phrases-{m + 1}")
+        counted = stored(count_next(encoded, m, least), f"counts-{m + 1}")  # ranking reads them more than once
+        pairs = stored(ranked(counted, ["code"]), f"phrases-{m + 1}")
         front, behind = F.shiftright("code", 32), F.col("code").bitwiseAND(0xFFFFFFFF)
         level = stored(
             pairs.select("id", "n", front.cast("int").alias("front"), behind.cast("int").alias("behind"))
@@ -297,8 +295,10 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST
     totals, phrases = phrase_counts(docs, max_words, least)
     kept = _without_contained(stored(scored(phrases, max_words), "candidates"), inside, max_words)
     order = [F.desc("score"), F.desc("a"), "phrase"]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD))
-    near = kept.withColumn("place", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).filter(F.col("place") <= top)
+    near = kept
+    for parts in SPREAD:
+        part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+        near = near.withColumn("place", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).filter(F.col("place") <= top)
     best = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

@@ -34,8 +34,8 @@ MAX_WORDS, LEAST, INSIDE, TOP = 3, 10, 50, 2000
 SCALE = 1_000_000
 #: Side of a tile, tiles along each axis that may be dense, pairs that a dense tile must get in one step.
 SIDE, DENSE_TILES, DENSE_PAIRS = 256, 8, 2048
-#: Distinct coordinates that a task holds before it gives them out.
-HELD = 1 << 21
+#: Pairs counted in one step, distinct coordinates that a task holds before it gives them out (Spark adds them up).
+STEP, HELD = 1 << 17, 1 << 19
 #: Parts that the phrases of a language are dealt to before their best meet: no task sees all of them.
 SPREAD = (64, 8)
 
@@ -136,7 +136,7 @@ class Tiles:
             yield from self._parts(row << 32 | column, cells[at])
         yield from self._parts(self.codes, self.counts)
 
-    def _parts(self, codes: np.ndarray, counts: np.ndarray, size: int = 1 << 18) -> Iterator[pd.DataFrame]:
+    def _parts(self, codes: np.ndarray, counts: np.ndarray, size: int = 1 << 16) -> Iterator[pd.DataFrame]:
         for i in range(0, len(codes), size):
             yield pd.DataFrame({"code": codes[i:i + size], "n": counts[i:i + size]})
 
@@ -170,9 +170,9 @@ def _adjacent(ids: np.ndarray, symbols: np.ndarray, words: int) -> tuple[np.ndar
     """(places, codes) of frequent phrases of ``words`` words with one more frequent word behind, whose last ``words`` are frequent too."""
     if len(ids) <= words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    here, behind = symbols[:-words].astype(np.int64), ids[words:].astype(np.int64)
+    here, behind = symbols[:-words], ids[words:]
     at = np.flatnonzero((here >= 0) & (behind >= 0) & (symbols[1:len(here) + 1] >= 0))
-    return at, here[at] << 32 | behind[at]
+    return at, here[at].astype(np.int64) << 32 | behind[at].astype(np.int64)
 
 
 def count_next(encoded: DataFrame, words: int, least: int) -> DataFrame:
@@ -182,8 +182,9 @@ def count_next(encoded: DataFrame, words: int, least: int) -> DataFrame:
         for pdf in freed(frames):
             for ids, symbols in zip(pdf["ids"], pdf["symbols"]):
                 _, codes = _adjacent(_ints(ids), _ints(symbols), words)
-                tiles.add(codes >> 32, codes & 0xFFFFFFFF)
-                yield from tiles.overflow()
+                for i in range(0, len(codes), STEP):
+                    tiles.add(codes[i:i + STEP] >> 32, codes[i:i + STEP] & 0xFFFFFFFF)
+                    yield from tiles.overflow()
         yield from tiles.rest()
 
     return (encoded.select("ids", "symbols").mapInPandas(run, "code long, n long")
@@ -196,7 +197,8 @@ def encode_next(encoded: DataFrame, words: int, phrases: DataFrame) -> DataFrame
         for pdf in freed(frames):
             for batch, ids, symbols in zip(pdf["batch"], pdf["ids"], pdf["symbols"]):
                 codes = np.unique(_adjacent(_ints(ids), _ints(symbols), words)[1])
-                yield pd.DataFrame({"batch": np.full(len(codes), batch, np.int64), "code": codes})
+                for i in range(0, len(codes), STEP):
+                    yield pd.DataFrame({"batch": batch, "code": codes[i:i + STEP]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in freed(frames):

@@ -35,7 +35,9 @@ SCALE = 1_000_000
 #: Side of a tile, tiles along each axis that may be dense, pairs that a dense tile must get in one step.
 SIDE, DENSE_TILES, DENSE_PAIRS = 256, 8, 2048
 #: Pairs counted in one step, distinct coordinates that a task holds before it gives them out (Spark adds them up).
-STEP, HELD = 1 << 17, 1 << 19
+STEP, HELD = 1 << 17, 1 << 20
+#: Bits of the filter of frequent phrases, at every size of the input; a full one saves no shuffle and changes no result.
+FILTER_BITS = 1 << 24
 #: Parts that the phrases of a language are dealt to before their best meet: no task sees all of them.
 SPREAD = (64, 8)
 
@@ -191,12 +193,37 @@ def count_next(encoded: DataFrame, words: int, least: int) -> DataFrame:
             .groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
+_FRONT, _BEHIND, _SHIFT = 2654435761, 2246822507, 16  # odd numbers under 2^32: products of ids stay under 2^63
+
+
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (((codes >> 32) * _FRONT ^ (codes & 0xFFFFFFFF) * _BEHIND) >> _SHIFT) & (FILTER_BITS - 1)
+
+
+def phrase_filter(phrases: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, those of the ``code`` of each phrase set: a code whose bit is not set is no phrase."""
+    front, behind = F.shiftright("code", 32), F.col("code").bitwiseAND(0xFFFFFFFF)
+    slot = F.shiftright((front * F.lit(_FRONT)).bitwiseXOR(behind * F.lit(_BEHIND)), _SHIFT).bitwiseAND(FILTER_BITS - 1)
+    found = (phrases.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at"))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("bits")).toArrow())  # at most FILTER_BITS / 64 rows
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def _maybe(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    slots = _slots(codes)
+    return codes[(bits[slots >> 6] >> (slots & 63)) & 1 == 1]
+
+
 def encode_next(encoded: DataFrame, words: int, phrases: DataFrame) -> DataFrame:
     """The batches with the ids of ``phrases`` (code, id; one word longer) as symbols."""
+    bits = phrase_filter(phrases)
+
     def codes_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in freed(frames):
             for batch, ids, symbols in zip(pdf["batch"], pdf["ids"], pdf["symbols"]):
-                codes = np.unique(_adjacent(_ints(ids), _ints(symbols), words)[1])
+                codes = np.unique(_maybe(bits, _adjacent(_ints(ids), _ints(symbols), words)[1]))
                 for i in range(0, len(codes), STEP):
                     yield pd.DataFrame({"batch": batch, "code": codes[i:i + STEP]})
 

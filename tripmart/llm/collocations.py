@@ -147,8 +147,14 @@ def _ints(raw) -> np.ndarray:
     return np.frombuffer(raw, np.int32)
 
 
+def _sequences(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, symbols) of each row; without a column for them, words are their own symbols."""
+    ids = map(_ints, pdf["ids"])
+    return zip(ids, map(_ints, pdf["symbols"])) if "symbols" in pdf else ((x, x) for x in ids)
+
+
 def encode_words(held: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(batch, ids, symbols): the word ids of each batch in order, -1 for a break or a rare word; one word is its own symbol."""
+    """(batch, ids): the word ids of each batch in order, -1 for a break or a rare word."""
     each = held.select("batch", "lang", F.posexplode("words").alias("number", "word"))
     known = each.join(vocabulary, ["lang", "word"]).groupBy("batch").agg(
         F.collect_list(F.shiftleft(F.col("number").cast("long"), 32) + F.col("id")).alias("known"))
@@ -160,12 +166,10 @@ def encode_words(held: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 to = np.full(int(n) + 1, -1, np.int32)  # the last place is that of breaks (-1)
                 known = np.asarray(known, np.int64)
                 to[known >> 32] = known & 0xFFFFFFFF
-                ids = to[_ints(codes)].tobytes()
-                out.append((batch, ids, ids))
-            yield pd.DataFrame(out, columns=["batch", "ids", "symbols"])
+                out.append((batch, to[_ints(codes)].tobytes()))
+            yield pd.DataFrame(out, columns=["batch", "ids"])
 
-    return held.select("batch", "codes", F.size("words").alias("n")).join(known, "batch").mapInPandas(
-        run, "batch long, ids binary, symbols binary")
+    return held.select("batch", "codes", F.size("words").alias("n")).join(known, "batch").mapInPandas(run, "batch long, ids binary")
 
 
 def _adjacent(ids: np.ndarray, symbols: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,14 +186,14 @@ def count_next(encoded: DataFrame, words: int, least: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tiles = Tiles()
         for pdf in freed(frames):
-            for ids, symbols in zip(pdf["ids"], pdf["symbols"]):
-                _, codes = _adjacent(_ints(ids), _ints(symbols), words)
+            for ids, symbols in _sequences(pdf):
+                _, codes = _adjacent(ids, symbols, words)
                 for i in range(0, len(codes), STEP):
                     tiles.add(codes[i:i + STEP] >> 32, codes[i:i + STEP] & 0xFFFFFFFF)
                     yield from tiles.overflow()
         yield from tiles.rest()
 
-    return (encoded.select("ids", "symbols").mapInPandas(run, "code long, n long")
+    return (encoded.drop("batch").mapInPandas(run, "code long, n long")
             .groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
 
 
@@ -222,30 +226,30 @@ def encode_next(encoded: DataFrame, words: int, phrases: DataFrame) -> DataFrame
 
     def codes_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in freed(frames):
-            for batch, ids, symbols in zip(pdf["batch"], pdf["ids"], pdf["symbols"]):
-                codes = np.unique(_maybe(bits, _adjacent(_ints(ids), _ints(symbols), words)[1]))
+            for batch, (ids, symbols) in zip(pdf["batch"], _sequences(pdf)):
+                codes = np.unique(_maybe(bits, _adjacent(ids, symbols, words)[1]))
                 for i in range(0, len(codes), STEP):
                     yield pd.DataFrame({"batch": batch, "code": codes[i:i + STEP]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in freed(frames):
             out = []
-            for batch, ids, symbols, known, names in zip(pdf["batch"], pdf["ids"], pdf["symbols"], pdf["codes"], pdf["names"]):
-                at, codes = _adjacent(_ints(ids), _ints(symbols), words)
+            for batch, (ids, symbols), known, names in zip(pdf["batch"], _sequences(pdf), pdf["codes"], pdf["names"]):
+                at, codes = _adjacent(ids, symbols, words)
                 known, names = np.asarray(known, np.int64), np.asarray(names, np.int32)
                 order = np.argsort(known)
                 known, names = known[order], names[order]
                 place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
                 held = known[place] == codes
-                new = np.full(len(_ints(ids)), -1, np.int32)
+                new = np.full(len(ids), -1, np.int32)
                 new[at[held]] = names[place[held]]
-                out.append((batch, ids, new.tobytes()))
+                out.append((batch, ids.tobytes(), new.tobytes()))
             yield pd.DataFrame(out, columns=["batch", "ids", "symbols"])
 
     each = encoded.mapInPandas(codes_of, "batch long, code long")
     known = each.join(phrases.select("code", "id"), "code").groupBy("batch").agg(F.collect_list(F.struct("code", "id")).alias("k"))
     return encoded.join(known, "batch").select(
-        "batch", "ids", "symbols", F.transform("k", lambda x: x["code"]).alias("codes"), F.transform("k", lambda x: x["id"]).alias("names")
+        *encoded.columns, F.transform("k", lambda x: x["code"]).alias("codes"), F.transform("k", lambda x: x["id"]).alias("names")
     ).mapInPandas(run, "batch long, ids binary, symbols binary")
 
 

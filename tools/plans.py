@@ -39,7 +39,7 @@ def main():
     from tripmart.plans.warehouse import load_months
     from tripmart.session import build_session, scratch_path
     from tripmart.sources import fixture
-    from tripmart.sources.lake import Lake, raw_month_scan, union_by_name
+    from tripmart.sources.lake import Lake, raw_month_scan, read_table, union_by_name
     from tripmart.sources.reference import payment_type_codes, read_zones_csv
     from tripmart.operators import dq
 
@@ -61,7 +61,7 @@ def main():
         "Clean write input (two months, drifted schemas)": enrich(split_clean(tagged), zones),
         "Rejected write input": split_rejected(tagged).hint("rebalance", "source_month"),
         "Warehouse load input (one month, partition-pruned)": to_staging(
-            spark.read.parquet(lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 1))),
+            read_table(spark, lake, lake.clean).filter((F.col("year") == 2024) & (F.col("month") == 1))),
         "trips_by_borough over the marts": reports.trips_by_borough(marts["fact_trips"], marts["dim_zone"]),
         "weekday_avg over the marts": reports.weekday_avg(marts["fact_trips"], marts["dim_date"]),
         "Data tests (fact part, one scan)": dq._fact_tests(marts["fact_trips"], marts, pm.stg_trips(pm.staging_view(spark, lake))),

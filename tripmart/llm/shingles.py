@@ -80,3 +80,13 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
             short = (short * 0xD6E8FEB86659FD93 + w + 1) % 2**64
         h[at[i]] = short
     return mix(h), at
+
+
+def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` words from each word on that has as many behind it, whatever texts they are of."""
+    if len(words) < k:
+        return np.empty(0, _U)
+    power, inverse = _tables(len(words) + 1)
+    total = np.zeros(len(words) + 1, dtype=_U)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return mix((total[k:] - total[:-k]) * inverse[: len(words) - k + 1])

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
-from tests_llm_data import edited, prose
+from tests_llm_data import doubled, edited, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -82,6 +82,16 @@ def test_filter_keeps_one_of_each_class(docs, doc_rows, no_docs):
     assert jaccard_join.filter_documents(no_docs).count() == 0
 
 
+def test_texts_of_a_doubling_pattern_are_no_copies(spark):
+    a, b = doubled()
+    words, _ = word_hashes([a, b])
+    assert words[0] != words[1]
+    docs = spark.createDataFrame([(0, a), (1, b), (2, f"one {a} two"), (3, f"one {b} two")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["class_id"], r["links"], r["copies"]) for r in jaccard_join.join(docs).collect())
+    assert got == [(i, i, 0, 1) for i in range(4)]
+    assert jaccard_join.filter_documents(docs).count() == 4
+
+
 def test_tiles_count_links_of_one_large_group(monkeypatch, spark):
     monkeypatch.setattr(jaccard_join, "TILE", 8)
     base = prose(5, 200)

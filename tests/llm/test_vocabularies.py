@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tests_llm_data import doubled
 
 from tripmart.llm import best_fit, repair_output, token_counts, trie_bpe
 from tripmart.llm.common import slices, stored
@@ -27,6 +28,17 @@ def test_both_encoders_agree_with_the_library(text):
         assert memo.lookup([text, text])[0].tolist() == reference_ids(text) * 2
 
 
+def test_pieces_on_a_doubling_pattern_are_told_apart(pieces_library):
+    words = list(doubled())
+    want = [reference_ids(w) for w in words]
+    assert want[0] != want[1]
+    for memo in (word_ids(PATH), trie_bpe.encoder(PATH)):
+        flat, at = memo.lookup(words)
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    texts = [f"{a} x {b}" for a in words for b in words]
+    assert token_counts.count_texts(texts, vocabulary_path("piece_bpe_32k.model")).tolist() == [len(pieces_library.encode(t)) for t in texts]
+
+
 def test_a_memory_that_starts_anew_loses_nothing(doc_rows):
     texts = [r[1] or "" for r in doc_rows]
     memo = trie_bpe.encoder.__wrapped__(PATH)

@@ -38,3 +38,11 @@ def rows():
     out += [(None, prose(11, 120), "en", "src1", 5), (None, None, None, None, None), (None, base[5][1], "en", None, 1)]
     out += [out[6], out[6], (7, prose(77, 70), "en", "src0", 3)]  # a row repeated, a doc_id repeated with another text
     return out
+
+
+def doubled(n: int = 11) -> tuple[str, str]:
+    """Two different words of 2^n letters that any polynomial hash modulo 2^64 takes for one: abba baab ... and its mirror."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b

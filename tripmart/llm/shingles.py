@@ -8,11 +8,36 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
+#: Bytes of a run are hashed by two polynomials modulo a prime: modulo 2^64 texts built on a doubling pattern always collide.
+_PRIME = 2**31 - 1
+_BASES = 1_610_612_741, 805_306_457
+#: Products of a byte and a power are below 2^39, so as many add up in 64 bits without a remainder in between.
+_PLAIN_BYTES = 1 << 24
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = []
+_prime_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n - 1) modulo the prime, doubled in length at a time."""
+    out = np.ones(n, dtype=_U)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done:done + more] = out[:more] * _U(pow(base, done, _PRIME)) % _U(_PRIME)
+        done += more
+    return out
+
+
+def _prime_tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base, at least n powers of it and of its inverse modulo the prime."""
+    if not _prime_powers or len(_prime_powers[0][0]) < n:
+        size = max(1 << 20, n)
+        _prime_powers[:] = [(_powers_of(b, size), _powers_of(pow(b, -1, _PRIME), size)) for b in _BASES]
+    return _prime_powers
 
 
 def _tables(n: int) -> list[np.ndarray]:
@@ -46,10 +71,17 @@ def hash_runs(raw: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if not outside[0]:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[0::2], edge[1::2]
-    power, inverse = _tables(len(raw) + 1)
+    value = raw.astype(_U) + _U(1)
     total = np.zeros(len(raw) + 1, dtype=_U)
-    np.cumsum((raw.astype(_U) + _U(1)) * power[: len(raw)], out=total[1:])
-    return starts, ends, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U))
+    found = np.zeros(len(starts), dtype=_U)
+    for power, inverse in _prime_tables(len(raw) + 1):
+        term = value * power[: len(raw)]
+        if len(raw) > _PLAIN_BYTES:
+            term %= _U(_PRIME)
+        np.cumsum(term, out=total[1:])
+        part = (total[ends] - total[starts]) % _U(_PRIME) * inverse[starts] % _U(_PRIME)
+        found = (found << _U(32)) | part
+    return starts, ends, mix(found)
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

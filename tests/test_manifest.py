@@ -48,6 +48,28 @@ def test_checksums_match_hashlib(spark, lake):
     assert got["a.parquet"] == (4, hashlib.sha256(b"PAR1").hexdigest())
 
 
+def test_large_files_are_streamed_and_other_names_left_out(spark, lake):
+    root = _local(lake.root)
+    make_tree(root)
+    os.makedirs(f"{root}/raw/yellow/2025 02", exist_ok=True)
+    open(f"{root}/raw/yellow/2025 02/b 1.parquet", "wb").write(b"x" * 5000)
+    want = {"a.parquet": (4, hashlib.sha256(b"PAR1").hexdigest()), "b 1.parquet": (5000, hashlib.sha256(b"x" * 5000).hexdigest())}
+    for most in (1, 100, 10**6):  # all streamed, the larger one streamed, none
+        got = file_checksums(spark, root + "/raw", ("parquet",), most).collect()
+        assert {os.path.basename(r["path"]).replace("%20", " "): (r["bytes"], r["sha256"]) for r in got} == want
+    one = file_checksums(spark, f"{root}/raw/yellow/2025-01/a.parquet.part", None).collect()
+    assert [(r["bytes"], r["sha256"]) for r in one] == [(7, hashlib.sha256(b"partial").hexdigest())]
+
+
+def test_landing_of_many_files_is_one_append(spark, lake):
+    landed = lake.work("landed-many")
+    fixture.raw_month(spark, SF).repartition(40).write.parquet(landed)
+    assert ingest_month(spark, lake, "2024-01", landed) == "published"
+    log = read_ingestion_log(spark, lake)
+    assert log.count() == 40 and log.select("file").distinct().count() == 40
+    assert len(FileOps(spark).list_files(lake.ingestion_log, ".json")) <= 8
+
+
 def test_sync_plan_is_idempotent_and_detects_size_changes(spark):
     local = spark.createDataFrame([("raw/a", "/x/a", 10), ("raw/b", "/x/b", 20), ("raw/c", "/x/c", 30)],
                                   "key string, path string, bytes bigint")

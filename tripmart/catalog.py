@@ -24,12 +24,12 @@ from tripmart.functions.money import money_sum
 from tripmart.functions.months import month_bounds, valid_month_col
 from tripmart.operators import clean as C
 from tripmart.operators import dq, marts, profile, quality, report_states, reports
-from tripmart.operators.manifest import sync_plan
+from tripmart.operators.manifest import file_checksums, file_manifest, sync_plan
 from tripmart.operators.warehouse import contract_violations, to_staging
 from tripmart.plans.flow import run_flow
 from tripmart.plans.gate import evaluate_months, read_gate_reports
 from tripmart.plans.marts import build_marts, read_report_state, staging_view
-from tripmart.plans.monthly import read_run_summaries, run_months
+from tripmart.plans.monthly import content_audit, read_run_summaries, run_months
 from tripmart.plans.publish import FileOps
 from tripmart.plans.warehouse import load_months, read_audit
 from tripmart.presentation import NULLABLE_INT_OUTPUTS
@@ -400,6 +400,18 @@ def q_sync_plan(spark, d):
         F.count("lake_bytes").alias("held"), F.coalesce(F.sum("lake_bytes"), F.lit(0)).alias("held_bytes"))
 
 
+def q_file_checksums(spark, d):
+    """Suppliers written as text, one file for each hundred keys: the manifest of those files with the checksum of each (A10, I16)."""
+    root = scratch_path(spark, "files")
+    (fixture.table(spark, d, "supplier")
+     .select(F.concat_ws("|", "s_suppkey", "s_name").alias("value"), F.expr("s_suppkey div 100").alias("hundred"), "s_suppkey")
+     .repartition("hundred").sortWithinPartitions("hundred", "s_suppkey").drop("s_suppkey")
+     .write.partitionBy("hundred").text(root))
+    sums = file_checksums(spark, root, ("txt",)).select("path", "sha256")
+    return file_manifest(spark, root, "raw", ("txt",)).join(sums, "path").select(
+        F.regexp_extract("key", r"^raw/hundred=(\d+)/", 1).cast("bigint").alias("hundred"), "bytes", "sha256")
+
+
 def q_quality_by_month(spark, d):
     lake = fixture_lake(spark, d)
     runs = read_run_summaries(spark, lake)
@@ -629,6 +641,10 @@ def q_reconcile(spark, d):
     )
 
 
+def q_content_digests(spark, d):
+    return content_audit(spark, fixture_lake(spark, d))
+
+
 def q_load_reconcile(spark, d):
     lake = fixture_lake(spark, d)
     audit = read_audit(spark, lake).filter(F.col("status") == "success")
@@ -717,6 +733,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flow_outcome": q_flow_outcome,  # N1, B11
         "gate_two_months": q_gate_two_months,  # J1-J6
         "sync_plan": q_sync_plan,  # A10, D10
+        "file_checksums": q_file_checksums,  # A10, I16
         "trips_by_hour_dense": q_trips_by_hour_dense,  # D12
         "counts_by_reason": q_counts_by_reason,  # E1, I1
         "reason_share": q_reason_share,  # E2
@@ -755,6 +772,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_violations": q_contract_violations,  # K8
         "reconcile": q_reconcile,  # K6, E4
         "load_reconcile": q_load_reconcile,  # K7
+        "content_digests": q_content_digests,  # K6
         "backfill_two_months": q_backfill_two_months,  # N2 (T11)
     }
     rule_keys = {  # C6-C10: each rule counted alone vs. first-match tagging (T4)

@@ -8,9 +8,16 @@ required).
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.plans.publish import FileOps
+
+#: Largest file whose bytes are held by one task; larger ones are streamed.
+WHOLE_FILE_BYTES = 256 * 2**20
+
 # File suffixes the lake holds.
 LAKE_SUFFIXES = ("parquet", "csv")
 
@@ -50,11 +57,28 @@ def lake_object_count(manifest: DataFrame) -> DataFrame:
     return manifest.agg(F.count(F.lit(1)).alias("objects"))
 
 
-def file_checksums(spark: SparkSession, root: str, suffixes=LAKE_SUFFIXES) -> DataFrame:
-    """SHA-256 and byte size per file (I16). One file per row: fine for monthly files."""
-    pattern = r"\.(" + "|".join(suffixes) + r")$"
-    return (_files(spark, root).filter(F.col("path").rlike(pattern))
-            .select("path", F.length("content").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256")))
+def file_checksums(spark: SparkSession, root: str, suffixes=LAKE_SUFFIXES, most: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """(path, bytes, sha256) of every file under ``root`` (a folder or one file), hashed by the tasks that read them (I16).
+
+    A task hashes its files one by one: a file is one row with its bytes meanwhile, so only files of at
+    most ``most`` bytes go that way. Larger ones, if any, are streamed one after another
+    (``FileOps.size_and_sha256``), in constant memory. ``suffixes`` None takes files of any name.
+    """
+    glob = "*" if suffixes is None else "*.{" + ",".join(suffixes) + "}"  # other files are not even listed, so never read
+    named = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    large = [r["path"] for r in named.filter(F.col("length") > most).select("path").collect()]
+    hashed = named.filter(F.col("length") <= most).select(
+        "path", F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
+    if not large:
+        return hashed
+    ops = FileOps(spark)
+    return hashed.unionByName(spark.createDataFrame([(p, *ops.size_and_sha256(_decoded(p))) for p in large],
+                                                    "path string, bytes bigint, sha256 string"))
+
+
+def _decoded(path: str) -> str:
+    """The ``path`` column is a URI with its escapes; file calls take it without."""
+    return unquote(path)
 
 
 def sync_plan(local: DataFrame, lake: DataFrame, force: bool = False) -> DataFrame:

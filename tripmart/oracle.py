@@ -393,6 +393,12 @@ def oracle_sql() -> dict[str, str]:
                  FROM gate WHERE month = '2024-01' GROUP BY 1""",
         "reconcile": """SELECT month, rows_in, rows_clean AS clean_out, rows_rejected_or_quarantined AS rejected_out,
                  rows_in AS reasons_total, TRUE AS reconciled FROM runs""",
+        "file_checksums": """SELECT CAST(s_suppkey // 100 AS BIGINT) AS hundred,
+                 CAST(sum(strlen(s_suppkey || '|' || s_name) + 1) AS BIGINT) AS bytes,
+                 sha256(string_agg(s_suppkey || '|' || s_name || chr(10), '' ORDER BY s_suppkey)) AS sha256
+                 FROM supplier GROUP BY 1""",
+        "content_digests": """SELECT month, 'clean' AS kind, rows_clean AS rows, TRUE AS content_ok FROM runs
+                 UNION ALL SELECT month, 'rejected', rows_rejected_or_quarantined, TRUE FROM runs""",
         "load_reconcile": """SELECT month AS source_month, rows_clean AS rows_in_parquet, rows_clean AS rows_loaded,
                  rows_clean AS table_rows, TRUE AS ok FROM runs""",
         "backfill_two_months": """SELECT 'yellow_trips' AS dataset, 'year=' || year || '/month=' || month AS partition,

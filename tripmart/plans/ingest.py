@@ -13,8 +13,10 @@ import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.functions.months import validate_month
+from tripmart.operators.manifest import file_checksums
 from tripmart.plans.publish import FileOps, commit, folder_of, new_version, writing
 from tripmart.sources.lake import Lake
 from tripmart.sources.reference import ValidationError, validate_parquet_file, validate_zones_file
@@ -67,11 +69,16 @@ def ingest_zones(spark: SparkSession, lake: Lake, landed_csv: str, source_url: s
 
 def log_landed(spark: SparkSession, lake: Lake, dataset: str, source_url: str, landed: str, suffix: str, rows: int,
                duration: float) -> None:
-    """One record per landed file: its name, size and SHA-256; rows are those of the whole landing."""
-    ops = FileOps(spark)
-    for file in ops.list_files(landed, suffix) or [landed]:
-        size, digest = ops.size_and_sha256(file)
-        append_ingestion_log(spark, lake, dataset, source_url, file, size, digest, rows, duration)
+    """One record per landed file: its name, size and SHA-256; rows are those of the whole landing.
+
+    Files are hashed by Spark's tasks and the records of a landing are one append of bounded files, whatever their number.
+    """
+    now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
+    suffixes = (suffix.lstrip("."),) if FileOps(spark).has_files(landed, suffix) else None  # a single file may have any name
+    (file_checksums(spark, landed, suffixes).select(
+        F.lit(dataset).alias("dataset"), F.lit(source_url).alias("source_url"), F.col("path").alias("file"), "bytes", "sha256",
+        F.lit(rows).cast("bigint").alias("rows"), F.lit(now).alias("downloaded_at_utc"), F.lit(duration).cast("double").alias("duration_seconds"))
+     .hint("rebalance").write.mode("append").json(lake.ingestion_log))
 
 
 def append_ingestion_log(spark: SparkSession, lake: Lake, dataset: str, source_url: str, file: str, size: int,

@@ -8,9 +8,11 @@ set of months, in one job:
 * rows are projected to the staging contract (money decimal(12,2), ...)
   and written to a new version folder of the table;
 * staged rows are counted back per month together with the NOT NULL
-  contract (one aggregation over a few columns); months whose contract holds
+  contract and a digest of all columns (one aggregation); months whose contract holds
   and whose counts match become current by one commit; the table keeps the old
   version of any other month;
+* the digest of all rows read back must be that of the rows written (an observed metric of the write): else no
+  month of the job is published;
 * a source with columns or types outside the contract is refused whole;
 * every attempt appends one audit row, whatever failed and wherever (success
   or failed, error text cut at 1000 characters).
@@ -21,10 +23,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, AUDIT_STATUSES, DATASET_NAME, STAGING_CONTRACT
+from tripmart.contracts import AUDIT_COLUMNS, AUDIT_ERROR_MAX_CHARS, AUDIT_STATUSES, DATASET_NAME, STAGING_CONTRACT, STAGING_FILE_COLUMNS
+from tripmart.functions.digest import digest_of, row_hash
 from tripmart.functions.months import validate_months
 from tripmart.operators.warehouse import extra_columns, mistyped_columns, to_staging
 from tripmart.plans.publish import FileOps, Lease, clean_partition, commit, new_version, partitions, writing
@@ -38,6 +41,10 @@ class CountMismatch(RuntimeError):
     """A month's staged rows are not as many as its clean partition holds."""
 
 
+class ContentMismatch(RuntimeError):
+    """The staged rows are not those that were written."""
+
+
 class ContractViolation(RuntimeError):
     """Columns, types or NULLs of a month break the staging table's contract."""
 
@@ -91,9 +98,16 @@ def _load_months(spark: SparkSession, lake: Lake, lease: Lease, months: list[str
             for m in present:
                 outcomes[m] = LoadOutcome(m, expected.get(m, 0), None, "failed", f"ContractViolation: not in the contract: {refused}")
         else:
-            table.write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+            written = Observation(f"staged_{staged.rsplit('=', 1)[-1]}")
+            (table.withColumn("_row_hash", row_hash(STAGING_FILE_COLUMNS)).observe(written, digest_of(F.col("_row_hash")).alias("digest"))
+             .drop("_row_hash").write.mode("overwrite").partitionBy("year", "month").parquet(staged))
             checked = _read_back(spark, staged) if ops.list_dirs(staged) else {}
             outcomes |= {m: _verified(m, expected.get(m, 0), checked.get(m)) for m in present}
+            if sum(int(r["_digest"]) for r in checked.values()) != int(written.get["digest"]):
+                for m in present:
+                    if outcomes[m].status == "success":
+                        outcomes[m] = LoadOutcome(m, expected.get(m, 0), None, "failed",
+                                                  "ContentMismatch: the staged rows are not those that were written")
             _publish(lease, staged, outcomes)
     except Exception as exc:  # a failure of the job itself: audited for every month without an outcome, then raised
         for m in present:
@@ -110,10 +124,11 @@ def _load_months(spark: SparkSession, lake: Lake, lease: Lease, months: list[str
 
 
 def _read_back(spark: SparkSession, staged: str) -> dict:
-    """Per month: row count and NULLs of the NOT NULL columns, in one aggregation over a few columns."""
+    """Per month: row count, NULLs of the NOT NULL columns and the digest of all columns, in one aggregation."""
     back = spark.read.parquet(staged)
     return {r["m"]: r for r in back.groupBy(_month_col().alias("m")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
+        F.count(F.lit(1)).alias("n"), digest_of(row_hash(STAGING_FILE_COLUMNS)).alias("_digest"),
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL]).collect()}
 
 
 def _verified(m: str, expected: int, row) -> LoadOutcome:
@@ -149,7 +164,7 @@ def _raise_first_failure(outcomes: dict[str, LoadOutcome]) -> None:
         if o.status == "missing":
             raise FileNotFoundError(o.error)
         if o.status == "failed":
-            kind = next((k for k in (ContractViolation, CountMismatch) if o.error.startswith(k.__name__)), RuntimeError)
+            kind = next((k for k in (ContractViolation, CountMismatch, ContentMismatch) if o.error.startswith(k.__name__)), RuntimeError)
             raise kind(o.error)
 
 

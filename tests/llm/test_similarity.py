@@ -215,6 +215,30 @@ def test_repeats_made_of_frequent_lines_are_found_whole(spark, monkeypatch):
     assert covered(spark, texts, len(texts) - 1) == want
 
 
+def test_all_frequent_seeds_are_dealt_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 2)
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 1)
+    text = " ".join(f"w{i}" for i in range(110_004))
+    docs = spark.createDataFrame([(0, text), (1, text)], "dk long, text string")
+    assert len(substring_dedup.hot_seeds(docs)) > 110_000
+
+
+def test_packs_of_matches_grow_with_the_matches(spark, monkeypatch):
+    texts = [f"{plain(9500 + i, 30)} {plain(9600 + i % 40, 60)} {plain(9700 + i, 30)}" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {tuple(r) for r in substring_dedup.find(docs).collect()}
+    assert len({r[0] for r in want}) == 160
+    monkeypatch.setattr(substring_dedup, "CHARS", 500)  # many buckets of seeds
+    monkeypatch.setattr(substring_dedup, "FAN", 4, raising=False)
+    size = sum(map(len, texts))
+    one_level = substring_dedup.linked(substring_dedup.keyed(docs, ["text"]))
+    assert one_level.count() <= 2 * (size // 500) * 4
+    monkeypatch.setattr(substring_dedup, "PAIR_CHARS", 2_000, raising=False)  # groups of pairs are dealt on
+    monkeypatch.setattr(substring_dedup, "STEP", 1_000, raising=False)
+    assert substring_dedup.linked(substring_dedup.keyed(docs, ["text"])).agg({"bucket": "max"}).first()[0] >= 4
+    assert {tuple(r) for r in substring_dedup.find(docs).collect()} == want
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)

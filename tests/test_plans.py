@@ -133,3 +133,21 @@ def test_hot_month_rebalance_is_split_into_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else \
             spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_a_query_builds_the_lake_as_far_as_it_reads(spark, monkeypatch):
+    from tripmart import catalog
+
+    monkeypatch.setattr(catalog, "_LAKES", {})
+    done = {name: [] for name in ("load_months", "build_marts", "evaluate_months")}
+    for name, calls in done.items():
+        monkeypatch.setattr(catalog, name, lambda *a, calls=calls, real=getattr(catalog, name): (calls.append(1), real(*a)))
+    sf = "/root/testdata/sf0.001"
+    assert catalog.q_scan_raw_month(spark, sf).count() == catalog.fixture.table(spark, sf, "events").count()
+    assert set(catalog.LAKE_SECONDS) == {"land_raw"}
+    flags = catalog.q_clean_flag_sums(spark, sf).collect()
+    assert set(catalog.LAKE_SECONDS) == {"land_raw", "clean_two_months", "clean_rerun"} and not any(done.values())
+    lake = catalog.fixture_lake(spark, sf)
+    assert list(catalog.LAKE_SECONDS)[-1] == "marts" and [len(c) for c in done.values()] == [2, 1, 1]
+    assert catalog.q_clean_flag_sums(spark, sf).collect() == flags and catalog.fixture_lake(spark, sf).root == lake.root
+    assert [len(c) for c in done.values()] == [2, 1, 1]

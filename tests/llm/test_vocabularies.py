@@ -157,6 +157,38 @@ def test_grammar_shrinks_repeated_text():
     assert len(symbols) < len(ids) / 8 and repair_output.Shard(repair_output.to_bytes(ids, np.array([len(ids)]))).all_ids().tolist() == ids.tolist()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=40), min_size=1, max_size=30))
+def test_no_pair_worth_a_rule_is_left(documents):
+    ids = np.array([x for d in documents for x in d], np.uint16)
+    symbols, rules, per_doc = repair_output.compress(ids, np.cumsum([len(d) for d in documents]) - 1, least=2)
+    assert_no_pair_left(symbols, per_doc, 2)
+
+
+def assert_no_pair_left(symbols, per_doc, least):
+    left = Counter()
+    for end, n in zip(np.cumsum(per_doc).tolist(), per_doc.tolist()):
+        own = symbols[end - n:end].tolist()
+        last = None
+        for i, pair in enumerate(zip(own, own[1:])):
+            if last == (i - 1, pair):  # overlaps the one before it
+                continue
+            last = (i, pair) if pair[0] == pair[1] else None
+            left[pair] += 1
+    assert not [p for p, n in left.items() if n >= least]
+
+
+def test_pairs_beyond_one_round_and_runs_become_rules():
+    pairs = np.arange(12_000, dtype=np.uint16).reshape(-1, 2)  # 6000 pairs, each often enough
+    ids = np.concatenate([np.concatenate([p, np.array([20_000 + i % 9_000], np.uint16)]) for i, p in enumerate(np.tile(pairs, (32, 1)))])
+    ids = np.concatenate([ids, np.full(4_096, 50_000, np.uint16)])
+    symbols, rules, per_doc = repair_output.compress(ids, np.array([len(ids) - 1]))
+    made = {tuple(r) for r in rules.tolist()}
+    assert {tuple(p) for p in pairs.tolist()} <= made and (50_000, 50_000) in made
+    assert_no_pair_left(symbols, per_doc, 32)
+    assert repair_output.Shard(repair_output.to_bytes(ids, np.array([len(ids)]))).all_ids().tolist() == ids.tolist()
+
+
 def test_shard_files_of_documents(docs, doc_rows, no_docs):
     files = stored(repair_output.shards(docs, shard_ids=3000, rows_per_bucket=15), "test-shards")
     assert files.count() > 4

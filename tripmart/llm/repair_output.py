@@ -2,10 +2,11 @@
 
 Documents are encoded, an end id is appended to each, and the ids are written in ascending
 doc_id order as shards of about 2^21 ids. Every shard is compressed by Re-Pair: the most
-frequent pairs of neighbouring ids become new symbols (nonterminals), again and again until no pair is worth
-a rule. Pairs are taken in descending order of frequency in rounds: a pair joins a round if no
+frequent pairs of neighbouring ids become new symbols (nonterminals), again and again until no pair occurs
+LEAST_COUNT times. Pairs are taken in descending order of frequency in rounds: a pair joins a round if no
 chosen pair ends with its first symbol or begins with its last, so that replacements
-cannot overlap and a round is one pass over the shard. No rule crosses a document's end.
+cannot overlap and a round is one pass over the shard; the others wait for the next. A pair of two equal symbols is
+replaced from the left in each run of them. No rule crosses a document's end.
 
 Shard layout (little-endian): the magic, six unsigned 64-bit numbers (ids, symbols,
 rules, documents, first nonterminal, 0), then the symbols (u32), rule left and right
@@ -42,67 +43,124 @@ SHARD_IDS = 2**21
 ROWS_PER_BUCKET = 2_048
 FIRST_NEW = 2**16  # nonterminals are numbered from here; ids are below
 LEAST_COUNT = 32
-ROUND_PAIRS = 4_096
-ROUNDS = 4
+SHIFT = np.uint64(32)  # a pair is one number: its first symbol above, its last below
 
 
-def _choose(keys: np.ndarray, counts: np.ndarray, shift: int) -> list[int]:
-    """The round's pairs, most frequent first, whose first symbols are disjoint from their last ones."""
-    order = np.argsort(-counts, kind="stable")[:ROUND_PAIRS]
+def _choose(keys: np.ndarray, counts: np.ndarray) -> list[int]:
+    """The round's pairs, most frequent first, whose first symbols are disjoint from their last ones (but for pairs of equal symbols)."""
     first: set[int] = set()
     last: set[int] = set()
     out = []
-    mask = (1 << shift) - 1
-    for key in keys[order].tolist():
-        a, b = key >> shift, key & mask
-        if a != b and a not in last and b not in first:
+    for key in keys[np.argsort(-counts, kind="stable")].tolist():
+        a, b = key >> 32, key & 0xFFFFFFFF
+        if a not in last and b not in first and (a != b or a not in first and a not in last):
             first.add(a)
             last.add(b)
             out.append(key)
     return out
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules as an (n, 2) array, symbols of each document); ``ends`` are the documents' last places."""
-    shift = 20
-    symbols = ids.astype(np.uint64)
-    closes = np.zeros(len(ids), bool)
-    closes[ends] = True
+def _counted(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, count) of the pairs met ``least`` times, sorted."""
+    ranked = np.sort(pairs)
+    at = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])) if len(ranked) else np.zeros(1, int)
+    often = np.flatnonzero(np.diff(at) >= least)
+    return ranked[at[often]], np.diff(at)[often]
+
+
+def _once(places: np.ndarray) -> np.ndarray:
+    """The places sorted, once each."""
+    places = np.sort(places)
+    return places[np.concatenate([[True], places[1:] != places[:-1]])] if len(places) else places
+
+
+def _twice(at: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Every other one, from the left of each run, of the places ``at`` of pairs of equal symbols; ``after`` are their last symbols' places."""
+    if not len(at):
+        return at
+    start = np.flatnonzero(np.concatenate([[True], at[1:] != after[:-1]]))
+    begin = np.repeat(start, np.diff(np.append(start, len(at))))
+    return at[(np.arange(len(at)) - begin) % 2 == 0]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, rules as an (n, 2) array, symbols of each document); ``ends`` are the documents' last places. Rounds go on until no
+    pair occurs ``least`` times, unless ``rounds`` are given.
+
+    Pairs are counted once. A pair without new symbols only gets rarer, so that a round takes off the pairs it broke, adds those
+    of its new symbols, and looks at places whose pairs are still frequent alone: its work goes with those.
+    """
+    symbols = ids.astype(np.uint32)
+    after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
+    after[ends] = -1
+    before[np.concatenate([[0], ends[:-1] + 1])] = -1
+    alive = np.ones(len(ids), bool)
+
+    def pairs(at: np.ndarray) -> np.ndarray:
+        return symbols[at].astype(np.uint64) << SHIFT | symbols[after[at]]
+
+    def unequal(at: np.ndarray) -> np.ndarray:
+        """The places among ``at`` (-1: none), once each, where a pair of two symbols begins."""
+        at = _once(at[at >= 0])
+        at = at[after[at] >= 0]
+        return at[symbols[at] != symbols[after[at]]]
+
+    at = np.flatnonzero(after >= 0).astype(np.int32)  # places whose pair may be frequent
+    seen = np.zeros(len(ids), bool)
+    known, counts = _counted(pairs(unequal(at)), least)
     rules: list[tuple[int, int]] = []
-    for _ in range(rounds):
-        if len(symbols) < 2 or FIRST_NEW + len(rules) + ROUND_PAIRS >= 1 << shift:
-            break
-        pairs = symbols[:-1] << np.uint64(shift) | symbols[1:]
-        ranked = np.sort(pairs[~closes[:-1]])
-        if not len(ranked):
-            break
-        at = np.concatenate([[0], np.flatnonzero(ranked[1:] != ranked[:-1]) + 1, [len(ranked)]])
-        counts = np.diff(at)
-        often = counts >= least
-        chosen = _choose(ranked[at[:-1][often]], counts[often], shift)
+    done = 0
+    while rounds is None or done < rounds:
+        done += 1
+        is_left, is_right = (np.zeros(FIRST_NEW + len(rules), bool) for _ in range(2))
+        is_left[known >> SHIFT] = True
+        is_right[known & np.uint64(2**32 - 1)] = True
+        first, last = symbols[at], symbols[after[at]]
+        equal = first == last
+        often = np.flatnonzero(is_left[first] & is_right[last] | equal)
+        seen[at] = False
+        at, equal, first, last = at[often], equal[often], first[often], last[often]
+        seen[at] = True
+        twice = np.sort(at[equal])
+        twice = _twice(twice, after[twice])
+        same, same_counts = _counted(pairs(twice), least)
+        chosen = _choose(np.concatenate([known, same]), np.concatenate([counts, same_counts]))
         if not chosen:
             break
-        # left symbol and right symbol of the round's rules: a table over symbols tells candidates from others
-        top = FIRST_NEW + len(rules)
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        mask = (1 << shift) - 1
-        is_left[[k >> shift for k in chosen]] = True
-        is_right[[k & mask for k in chosen]] = True
         order = np.argsort(np.array(chosen, np.uint64))
-        known = np.array(chosen, np.uint64)[order]
-        where = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]] & ~closes[:-1])
-        place = np.searchsorted(known, pairs[where])
-        place[place == len(known)] = 0
-        hit = known[place] == pairs[where]
+        keys = np.array(chosen, np.uint64)[order]
+        is_left, is_right = (np.zeros(FIRST_NEW + len(rules), bool) for _ in range(2))
+        is_left[keys >> SHIFT] = True
+        is_right[keys & np.uint64(2**32 - 1)] = True
+        where = np.concatenate([at[is_left[first] & is_right[last] & ~equal], twice])
+        pair = pairs(where)
+        place = np.searchsorted(keys, pair)
+        place[place == len(keys)] = 0
+        hit = keys[place] == pair
         where, rule = where[hit], order[place[hit]]
-        symbols[where] = (top + rule).astype(np.uint64)
-        closes[where] |= closes[where + 1]
-        keep = np.ones(len(symbols), bool)
-        keep[where + 1] = False
-        symbols, closes = symbols[keep], closes[keep]
-        rules += [(k >> shift, k & mask) for k in chosen]
-    bounds = np.concatenate([[-1], np.flatnonzero(closes)])
-    return symbols.astype(np.uint32), np.array(rules, np.uint32).reshape(-1, 2), np.diff(bounds).astype(np.uint32)
+        right = after[where]
+        gone, lost = _counted(pairs(unequal(np.concatenate([before[where], where, right]))), 1)
+        symbols[where] = FIRST_NEW + len(rules) + rule
+        alive[right] = False
+        behind = after[right]
+        after[where] = behind
+        before[behind[behind >= 0]] = where[behind >= 0]
+        rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen]
+        near = np.concatenate([before[where], where])
+        made, more = _counted(pairs(unequal(near)), 1)
+        if len(known):
+            spot = np.minimum(np.searchsorted(known, gone), len(known) - 1)
+            held = known[spot] == gone
+            counts[spot[held]] -= lost[held]
+        known, counts = np.concatenate([known, made]), np.concatenate([counts, more])
+        known, counts = known[counts >= least], counts[counts >= least]
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+        at = at[alive[at]]
+        near = near[near >= 0]
+        at = np.concatenate([at, _once(near[~seen[near]])])
+        at = at[after[at] >= 0]
+    return symbols[alive], np.array(rules, np.uint32).reshape(-1, 2), np.diff(np.concatenate([[0], np.cumsum(alive)[ends]])).astype(np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:

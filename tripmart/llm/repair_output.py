@@ -68,99 +68,62 @@ def _counted(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return ranked[at[often]], np.diff(at)[often]
 
 
-def _once(places: np.ndarray) -> np.ndarray:
-    """The places sorted, once each."""
-    places = np.sort(places)
-    return places[np.concatenate([[True], places[1:] != places[:-1]])] if len(places) else places
+def _second(at: np.ndarray) -> np.ndarray:
+    """Which of the places ``at`` of pairs of equal symbols are the second, fourth, ... of a run of them: they overlap the one before."""
+    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+    return (at - np.repeat(at[start], np.diff(np.append(start, len(at))))) % 2 == 1
 
 
-def _twice(at: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Every other one, from the left of each run, of the places ``at`` of pairs of equal symbols; ``after`` are their last symbols' places."""
-    if not len(at):
-        return at
-    start = np.flatnonzero(np.concatenate([[True], at[1:] != after[:-1]]))
-    begin = np.repeat(start, np.diff(np.append(start, len(at))))
-    return at[(np.arange(len(at)) - begin) % 2 == 0]
+def _ends_of(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables over symbols: whether it is the first one of a pair, the last one."""
+    first, last = np.zeros(size, bool), np.zeros(size, bool)
+    first[keys >> SHIFT] = True
+    last[keys & np.uint64(2**32 - 1)] = True
+    return first, last
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules as an (n, 2) array, symbols of each document); ``ends`` are the documents' last places. Rounds go on until no
     pair occurs ``least`` times, unless ``rounds`` are given.
 
-    Pairs are counted once. A pair without new symbols only gets rarer, so that a round takes off the pairs it broke, adds those
-    of its new symbols, and looks at places whose pairs are still frequent alone: its work goes with those.
+    A pair without new symbols only gets rarer, so that a round counts pairs of new symbols and those that were frequent alone.
     """
     symbols = ids.astype(np.uint32)
-    after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
-    after[ends] = -1
-    before[np.concatenate([[0], ends[:-1] + 1])] = -1
-    alive = np.ones(len(ids), bool)
-
-    def pairs(at: np.ndarray) -> np.ndarray:
-        return symbols[at].astype(np.uint64) << SHIFT | symbols[after[at]]
-
-    def unequal(at: np.ndarray) -> np.ndarray:
-        """The places among ``at`` (-1: none), once each, where a pair of two symbols begins."""
-        at = _once(at[at >= 0])
-        at = at[after[at] >= 0]
-        return at[symbols[at] != symbols[after[at]]]
-
-    at = np.flatnonzero(after >= 0).astype(np.int32)  # places whose pair may be frequent
-    seen = np.zeros(len(ids), bool)
-    known, counts = _counted(pairs(unequal(at)), least)
+    closes = np.zeros(len(ids), bool)
+    closes[ends] = True
+    wanted = ~closes[:-1]  # places whose pair may be frequent
     rules: list[tuple[int, int]] = []
     done = 0
     while rounds is None or done < rounds:
         done += 1
-        is_left, is_right = (np.zeros(FIRST_NEW + len(rules), bool) for _ in range(2))
-        is_left[known >> SHIFT] = True
-        is_right[known & np.uint64(2**32 - 1)] = True
-        first, last = symbols[at], symbols[after[at]]
-        equal = first == last
-        often = np.flatnonzero(is_left[first] & is_right[last] | equal)
-        seen[at] = False
-        at, equal, first, last = at[often], equal[often], first[often], last[often]
-        seen[at] = True
-        twice = np.sort(at[equal])
-        twice = _twice(twice, after[twice])
-        same, same_counts = _counted(pairs(twice), least)
-        chosen = _choose(np.concatenate([known, same]), np.concatenate([counts, same_counts]))
+        top = FIRST_NEW + len(rules)
+        equal = np.flatnonzero((symbols[:-1] == symbols[1:]) & wanted)
+        if len(equal):
+            wanted[equal[_second(equal)]] = False
+        pair = symbols[:-1][wanted].astype(np.uint64) << SHIFT | symbols[1:][wanted]
+        known, counts = _counted(pair, least)
+        chosen = _choose(known, counts)
         if not chosen:
             break
         order = np.argsort(np.array(chosen, np.uint64))
         keys = np.array(chosen, np.uint64)[order]
-        is_left, is_right = (np.zeros(FIRST_NEW + len(rules), bool) for _ in range(2))
-        is_left[keys >> SHIFT] = True
-        is_right[keys & np.uint64(2**32 - 1)] = True
-        where = np.concatenate([at[is_left[first] & is_right[last] & ~equal], twice])
-        pair = pairs(where)
+        is_first, is_last = _ends_of(keys, top)
+        some = is_first[pair >> SHIFT] & is_last[pair & np.uint64(2**32 - 1)]
+        where, pair = np.flatnonzero(wanted)[some], pair[some]
         place = np.searchsorted(keys, pair)
         place[place == len(keys)] = 0
         hit = keys[place] == pair
         where, rule = where[hit], order[place[hit]]
-        right = after[where]
-        gone, lost = _counted(pairs(unequal(np.concatenate([before[where], where, right]))), 1)
-        symbols[where] = FIRST_NEW + len(rules) + rule
-        alive[right] = False
-        behind = after[right]
-        after[where] = behind
-        before[behind[behind >= 0]] = where[behind >= 0]
+        symbols[where] = top + rule
+        closes[where] |= closes[where + 1]
+        keep = np.ones(len(symbols), bool)
+        keep[where + 1] = False
+        symbols, closes = symbols[keep], closes[keep]
         rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen]
-        near = np.concatenate([before[where], where])
-        made, more = _counted(pairs(unequal(near)), 1)
-        if len(known):
-            spot = np.minimum(np.searchsorted(known, gone), len(known) - 1)
-            held = known[spot] == gone
-            counts[spot[held]] -= lost[held]
-        known, counts = np.concatenate([known, made]), np.concatenate([counts, more])
-        known, counts = known[counts >= least], counts[counts >= least]
-        order = np.argsort(known)
-        known, counts = known[order], counts[order]
-        at = at[alive[at]]
-        near = near[near >= 0]
-        at = np.concatenate([at, _once(near[~seen[near]])])
-        at = at[after[at] >= 0]
-    return symbols[alive], np.array(rules, np.uint32).reshape(-1, 2), np.diff(np.concatenate([[0], np.cumsum(alive)[ends]])).astype(np.uint32)
+        is_first, is_last = _ends_of(known, FIRST_NEW + len(rules))
+        new = symbols >= top
+        wanted = (is_first[symbols[:-1]] & is_last[symbols[1:]] | new[:-1] | new[1:]) & ~closes[:-1]
+    return symbols, np.array(rules, np.uint32).reshape(-1, 2), np.diff(np.concatenate([[-1], np.flatnonzero(closes)])).astype(np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:

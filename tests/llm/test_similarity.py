@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tripmart.llm import fingerprints, jaccard_join, license_scan, substring_dedup
+from tripmart.llm import shingles as shingles_module
 from tripmart.llm.shingles import shingle_hashes, word_hashes
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -299,3 +300,16 @@ def test_notices_are_found_anywhere_and_with_changes():
     long = license_scan.TEMPLATES["MIT"].replace("merge", "mix")
     assert [f[1] for f in license_scan.scan([prose(1, 30) + " " + long], known)] == ["MIT"]
     assert license_scan.scan([prose(1, 500)], known) == []
+
+
+def test_words_are_hashed_in_blocks_with_small_tables(monkeypatch):
+    texts = [plain(9800, 60_000), "x" * 150_000 + " y", "", " \n ", "z"]
+    whole = [word_hashes([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(shingles_module, "_prime_powers", [])
+    words, at = word_hashes([texts[0], *texts[2:]])
+    assert max(len(a) for pair in shingles_module._prime_powers for a in pair) <= 2**16  # a worker keeps them
+    assert [words[a:b].tolist() for a, b in zip(at, at[1:])] == [whole[0], *whole[2:]]
+    for block in (1, 7, 2**20):  # the same hashes wherever blocks end
+        monkeypatch.setattr(shingles_module, "_BLOCK", block)
+        words, at = word_hashes(texts)
+        assert [words[a:b].tolist() for a, b in zip(at, at[1:])] == whole

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tests_llm_data import doubled
 
-from tripmart.llm import best_fit, repair_output, token_counts, trie_bpe
+from tripmart.llm import best_fit, repair_output, token_counts, trie_bpe, word_bpe
 from tripmart.llm.common import slices, stored
 from tripmart.llm.word_bpe import library, vocabulary_path, word_ids
 
@@ -201,3 +201,15 @@ def test_shard_files_of_documents(docs, doc_rows, no_docs):
         at += len(ids)
     assert sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got), key=lambda r: r[1]) == want
     assert repair_output.digests(no_docs).count() == 0
+
+
+def test_plain_words_take_the_short_way(monkeypatch):
+    path = word_bpe.vocabulary_path()
+    pieces = ["The", "word", "end.", "a,", "NO!", "why?", "x;", "y:"]
+    learn = word_bpe.learner(path)
+
+    def refused(*_):
+        raise AssertionError("a word of ASCII letters needs no normal form")
+
+    monkeypatch.setattr(word_bpe.unicodedata, "is_normalized", refused)
+    assert learn(pieces) == [reference_ids(p) for p in pieces]

@@ -9,12 +9,25 @@ beyond ``most`` pieces it starts anew.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 
 from tripmart.llm.shingles import hash_runs, joined
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values, sorted; first place of each; which of them each value is): a hash table looks at all, only the distinct are sorted."""
+    which, values = pd.factorize(hashes)
+    first = np.empty(len(values), np.int64)
+    first[which[::-1]] = np.arange(len(hashes))[::-1]
+    order = np.argsort(values)
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return values[order], first[order], rank[which]
+
+
 class PieceMemo:
     """``learn(pieces)`` gives one list of numbers of type ``dtype`` for each piece; pieces lie
     between the bytes ``separators``."""
@@ -38,7 +51,7 @@ class PieceMemo:
             self._clear()
         values = self.learn(pieces)
         size = np.fromiter(map(len, values), np.int64, len(values))
-        flat = np.fromiter((x for v in values for x in v), self.dtype, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(values), self.dtype, int(size.sum()))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used:self.used + len(flat)] = flat
@@ -55,7 +68,7 @@ class PieceMemo:
         starts, ends, hashes = hash_runs(raw, self.cut)
         if not len(starts):
             return np.empty(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
-        distinct, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        distinct, where, which = _distinct(hashes)
         place = np.searchsorted(self.known, distinct)
         known = np.zeros(len(distinct), dtype=bool)
         inside = place < len(self.known)

@@ -74,12 +74,18 @@ def _second(at: np.ndarray) -> np.ndarray:
     return (at - np.repeat(at[start], np.diff(np.append(start, len(at))))) % 2 == 1
 
 
-def _ends_of(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tables over symbols: whether it is the first one of a pair, the last one."""
-    first, last = np.zeros(size, bool), np.zeros(size, bool)
-    first[keys >> SHIFT] = True
-    last[keys & np.uint64(2**32 - 1)] = True
-    return first, last
+def _ends_of(keys: np.ndarray, size: int) -> np.ndarray:
+    """A table over symbols: 1 if it is the first one of a pair, 2 if the last one, 3 if both."""
+    out = np.zeros(size, np.uint8)
+    out[keys >> SHIFT] = 1
+    out[keys & np.uint64(2**32 - 1)] |= 2
+    return out
+
+
+def _between(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places whose symbol is a first one by the table ``ends``, with a last one behind it."""
+    here = ends[symbols]
+    return (here[:-1] & (here[1:] >> 1)).view(bool)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,16 +106,14 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least
         equal = np.flatnonzero((symbols[:-1] == symbols[1:]) & wanted)
         if len(equal):
             wanted[equal[_second(equal)]] = False
-        pair = symbols[:-1][wanted].astype(np.uint64) << SHIFT | symbols[1:][wanted]
-        known, counts = _counted(pair, least)
+        known, counts = _counted((symbols[:-1].astype(np.uint64) << SHIFT | symbols[1:])[wanted], least)
         chosen = _choose(known, counts)
         if not chosen:
             break
         order = np.argsort(np.array(chosen, np.uint64))
         keys = np.array(chosen, np.uint64)[order]
-        is_first, is_last = _ends_of(keys, top)
-        some = is_first[pair >> SHIFT] & is_last[pair & np.uint64(2**32 - 1)]
-        where, pair = np.flatnonzero(wanted)[some], pair[some]
+        where = np.flatnonzero(_between(symbols, _ends_of(keys, top)) & wanted)
+        pair = symbols[where].astype(np.uint64) << SHIFT | symbols[where + 1]
         place = np.searchsorted(keys, pair)
         place[place == len(keys)] = 0
         hit = keys[place] == pair
@@ -120,9 +124,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least
         keep[where + 1] = False
         symbols, closes = symbols[keep], closes[keep]
         rules += [(k >> 32, k & 0xFFFFFFFF) for k in chosen]
-        is_first, is_last = _ends_of(known, FIRST_NEW + len(rules))
         new = symbols >= top
-        wanted = (is_first[symbols[:-1]] & is_last[symbols[1:]] | new[:-1] | new[1:]) & ~closes[:-1]
+        wanted = (_between(symbols, _ends_of(known, FIRST_NEW + len(rules))) | new[:-1] | new[1:]) & ~closes[:-1]
     return symbols, np.array(rules, np.uint32).reshape(-1, 2), np.diff(np.concatenate([[-1], np.flatnonzero(closes)])).astype(np.uint32)
 
 

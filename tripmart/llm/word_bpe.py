@@ -97,7 +97,18 @@ def learner(path: str):
             return merge(words[0].lower().encode("utf-8", "surrogatepass") + b"\x00")
         return [i for word in words for i in merge(word.lower().encode("utf-8", "surrogatepass") + b"\x00")]
 
-    return lambda pieces: [ids(p) for p in pieces]
+    marks = {c: merge(c.encode() + b"\x00") for c in ".,;:!?"}
+
+    def plain(piece: str) -> list[int]:
+        """The same, with a short way for ASCII letters, alone or before one mark."""
+        if piece.isascii():
+            if piece.isalpha():
+                return merge(piece.lower().encode() + b"\x00")
+            if piece[-1] in marks and piece[:-1].isalpha():
+                return merge(piece[:-1].lower().encode() + b"\x00") + marks[piece[-1]]
+        return ids(piece)
+
+    return lambda pieces: [plain(p) for p in pieces]
 
 
 _held: dict[str, PieceMemo] = {}

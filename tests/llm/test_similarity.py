@@ -1,6 +1,7 @@
 """Operators 3, 4, 7 and 10 against brute force."""
 import hashlib
 import random
+import weakref
 from collections import Counter, defaultdict
 
 import duckdb
@@ -10,7 +11,7 @@ from tests_llm_data import doubled, edited, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripmart.llm import fingerprints, jaccard_join, license_scan, substring_dedup
+from tripmart.llm import common, fingerprints, jaccard_join, license_scan, substring_dedup
 from tripmart.llm import shingles as shingles_module
 from tripmart.llm.shingles import shingle_hashes, word_hashes
 
@@ -313,3 +314,20 @@ def test_words_are_hashed_in_blocks_with_small_tables(monkeypatch):
         monkeypatch.setattr(shingles_module, "_BLOCK", block)
         words, at = word_hashes(texts)
         assert [words[a:b].tolist() for a, b in zip(at, at[1:])] == whole
+
+
+def test_a_task_gives_back_its_last_batch(monkeypatch):
+    """Memory is given back once more when nothing of the last batch is held any longer."""
+    held, alive = [], []
+    monkeypatch.setattr(common, "release", lambda: alive.append(sum(w() is not None for w in held)))
+
+    @common.trimmed
+    def run(frames):
+        for batch in common.freed(frames):
+            made = np.zeros(len(batch))
+            held.append(weakref.ref(made))
+            yield made
+
+    for _ in run(iter([np.zeros(3), np.zeros(4)])):
+        del _
+    assert len(held) == 2 and alive[-2:] == [1, 0]

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import freed, inner_id, outer_id, slices, stored
+from tripmart.llm.common import freed, inner_id, outer_id, slices, stored, trimmed
 from tripmart.llm.word_bpe import END, vocabulary_path, word_ids
 
 TOKENS = 4096
@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, tokens: int = TOKENS, vocabulary: str | None = None)
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(inner_id(F.col("doc_id")).alias("doc_id"), "text").mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        trimmed(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, tokens: int, max_docs: int, max_cost: float, rule: str = "norm",

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import freed, release, stored
+from tripmart.llm.common import freed, release, stored, trimmed
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
@@ -131,7 +131,7 @@ def fit(vectors: DataFrame, h: float = 0.75, steps: int = 4) -> tuple[DataFrame,
         sums = (scored.join(_small(cut, groups), "key").filter("d2 <= cut").groupBy("key").agg(
             F.count("*").alias("n"), F.array(*[F.sum(F.col("x")[i]) for i in range(P)]).alias("s1"),
             F.array(*[F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(P) for j in range(P)]).alias("s2")))
-        model = stored(sums.mapInPandas(_inverted, "key string, n long, mean array<double>, inverse array<double>"), "mcd-step")
+        model = stored(sums.mapInPandas(trimmed(_inverted), "key string, n long, mean array<double>, inverse array<double>"), "mcd-step")
     scored = vectors.join(_small(model, groups), "key").select("key", _distance2(F.col("x"), model_row()).alias("d2"))
     scale = scored.groupBy("key").agg(F.count("*").alias("rows"), F.percentile_approx("d2", 0.5, 1000).alias("median"))
     model = model.join(scale, "key").select("key", "rows", "mean", "inverse",

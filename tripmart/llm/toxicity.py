@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import freed, stored
+from tripmart.llm.common import freed, stored, trimmed
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS = 2**18
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_term
                 part = pdf.iloc[lo:lo + 500]
                 yield pd.DataFrame({"y": part["y"], "buckets": [np.array(sorted(_present(t, None, memo)), np.int32) for t in part["text"]]})
 
-    rows = stored(training_rows(docs, labels, max_train).mapInPandas(extract, "y double, buckets array<int>"), "toxic-train")
+    rows = stored(training_rows(docs, labels, max_train).mapInPandas(trimmed(extract), "y double, buckets array<int>"), "toxic-train")
     n, pos = rows.agg(F.count("*"), F.sum("y")).first()
     pos = pos or 0.0
     if not n or pos in (0.0, float(n)):
@@ -161,6 +161,7 @@ def score_column(text, model: Model):
     live = frozenset(model.terms)
 
     @F.pandas_udf("double")
+    @trimmed
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo: dict = {}
         for texts in freed(batches):

@@ -241,6 +241,19 @@ def test_packs_of_matches_grow_with_the_matches(spark, monkeypatch):
     assert {tuple(r) for r in substring_dedup.find(docs).collect()} == want
 
 
+def test_words_travel_once_for_a_pair_of_documents(spark):
+    lines = [plain(9800 + i, 55) for i in range(20)]
+    texts = [" ".join(f"{plain(base + i, 12)} {line}" for i, line in enumerate(order)) for base, order in ((9900, lines), (9950, lines[::-1]))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = substring_dedup.chained(substring_dedup.linked(substring_dedup.keyed(docs, ["text"]))).collect()
+    assert len(pairs) == 1  # not a row for each of the 20 passages
+    for side in ("own", "its"):
+        blocks = list(pairs[0][side])
+        assert blocks == sorted(set(blocks)) and len(blocks) <= 20 * 67 // substring_dedup.BLOCK + 2  # the margin may lie behind the end
+    found = {(r["start_word"], r["other_start_word"], r["end_word"] - r["start_word"]) for r in substring_dedup.find(docs).collect()}
+    assert {(12 + 67 * i, 12 + 67 * (19 - i), 55) for i in range(20)} == found
+
+
 def test_prefix_hashes_answer_spans_and_extensions():
     a, b = fingerprints.PrefixHash.of("abcabcabd" * 50), fingerprints.PrefixHash.of("xxabcabcabd" + "abcabcabe")
     assert a.span(0, 3) == a.span(3, 6) != a.span(6, 9)
